@@ -66,3 +66,96 @@ def filled(spark: SparkSession, sf: str):
     test = s.filter(F.col("split") == "test").drop("split")
     med = profile.medians(train, feats)
     return s, med, profile.fill_medians(train, med), profile.fill_medians(test, med)
+
+
+class Workflow:
+    """All stages of one (session, data folder) run, built lazily once.
+
+    The split table is persisted (recomputable from lineage if an executor is
+    lost); everything derived from it reuses that copy.
+    """
+
+    def __init__(self, spark: SparkSession, sf: str):
+        self.spark, self.sf = spark, sf
+        self._c: dict = {}
+
+    def _get(self, key, build):
+        if key not in self._c:
+            self._c[key] = build()
+        return self._c[key]
+
+    @property
+    def mapping(self) -> DataFrame:
+        return self._get("mapping", lambda: mapping(self.spark, self.sf).persist())
+
+    @property
+    def split(self) -> DataFrame:
+        def build():
+            e = encoded(self.spark, self.sf, mapping_df=self.mapping)
+            return sampling.stratified_split(e, "label_id", 0.2, SEED, key=[KEY]).persist()
+        return self._get("split", build)
+
+    @property
+    def features(self) -> list[str]:
+        return feature_names(self.split)
+
+    @property
+    def train(self) -> DataFrame:
+        return self.split.filter(F.col("split") == "train").drop("split")
+
+    @property
+    def test(self) -> DataFrame:
+        return self.split.filter(F.col("split") == "test").drop("split")
+
+    @property
+    def medians(self) -> DataFrame:
+        return self._get("medians", lambda: profile.medians(self.train, self.features).persist())
+
+    @property
+    def train_filled(self) -> DataFrame:
+        return self._get("train_f", lambda: profile.fill_medians(self.train, self.medians))
+
+    @property
+    def test_filled(self) -> DataFrame:
+        return self._get("test_f", lambda: profile.fill_medians(self.test, self.medians))
+
+    @property
+    def sample50(self) -> DataFrame:
+        """Stratified 50 % of train, taken before the median fill."""
+        return self._get("s50", lambda: sampling.stratified_sample(
+            self.train, "label_id", 0.5, SEED, key=[KEY]))
+
+    @property
+    def zero_var(self) -> DataFrame:
+        return self._get("zv", lambda: profile.zero_variance(self.train_filled, self.features).persist())
+
+    @property
+    def after_zv(self) -> list[str]:
+        gone = {r["feature"] for r in self.zero_var.collect()}
+        return [f for f in self.features if f not in gone]
+
+    @property
+    def pairs(self) -> DataFrame:
+        return self._get("pairs", lambda: profile.corr_pairs(self.train_filled, self.after_zv))
+
+    @property
+    def high(self) -> DataFrame:
+        return profile.high_corr_pairs(self.pairs)
+
+    @property
+    def redundant(self) -> DataFrame:
+        return profile.redundant_features(self.high)
+
+    @property
+    def final_features(self) -> list[str]:
+        gone = {r["feature"] for r in self.redundant.collect()}
+        return [f for f in self.after_zv if f not in gone]
+
+    def with_binary(self, df: DataFrame) -> DataFrame:
+        m = self.mapping.select("label_id", (F.lower("label") != "benign").cast("int").alias("label_binary"))
+        return df.join(F.broadcast(m), "label_id")
+
+    @property
+    def importance(self) -> DataFrame:
+        return self._get("imp", lambda: profile.corr_importance(
+            self.with_binary(self.train_filled), self.final_features, "label_binary"))

@@ -110,3 +110,39 @@ def stratified_sample_cte(name: str, src: str, frac: float, salt: str) -> str:
     return quota_cte(f"{name}_q", src, f"total - ceil(CAST({1.0 - frac!r} AS DOUBLE) * total)") + f""",
 {name} AS (SELECT s.* FROM (SELECT t.*, row_number() OVER (PARTITION BY t.label_id ORDER BY {h(salt, 't.row_key')}, t.row_key) AS _rn
                              FROM {src} t) s JOIN {name}_q q USING (label_id) WHERE s._rn <= q.quota)"""
+
+
+_F = list(FLOW_FEATURES)
+_MED = ", ".join(f"median({qi(f)}) AS m{i}" for i, f in enumerate(_F))
+_FILL = ", ".join(f"coalesce(t.{qi(f)}, med.m{i}) AS {qi(f)}" for i, f in enumerate(_F))
+_PAIRS = " UNION ALL ".join(
+    f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, {i} AS pos_a, {j} AS pos_b, corr({qi(a)}, {qi(b)}) AS r FROM train_f"
+    for i, a in enumerate(_F) for j, b in enumerate(_F) if i < j)
+_ZV = " UNION ALL ".join(
+    f"SELECT '{f}' AS feature, CASE WHEN count({qi(f)}) = 0 THEN 'all_null' "
+    f"WHEN count({qi(f)}) >= 2 AND min({qi(f)}) = max({qi(f)}) THEN 'zero_variance' END AS reason, "
+    f"{i} AS position FROM train_f" for i, f in enumerate(_F))
+_FEAT_VALUES = ", ".join(f"('{f}', {i})" for i, f in enumerate(_F))
+_UNPIV = ", ".join(qi(f) for f in _F)
+
+PREP = SPLIT + f""",
+med AS (SELECT {_MED} FROM train),
+train_f AS (SELECT t.row_key, t.label_id, {_FILL} FROM train t CROSS JOIN med),
+test_f AS (SELECT t.row_key, t.label_id, {_FILL} FROM test t CROSS JOIN med),
+feat AS (SELECT * FROM (VALUES {_FEAT_VALUES}) v(feature, position)),
+zv AS (SELECT * FROM ({_ZV}) WHERE reason IS NOT NULL),
+pairs AS (SELECT * FROM ({_PAIRS})
+          WHERE feature_a NOT IN (SELECT feature FROM zv) AND feature_b NOT IN (SELECT feature FROM zv)),
+high AS (SELECT feature_a, feature_b, pos_a, pos_b, abs(r) AS r FROM pairs WHERE NOT isnan(r) AND abs(r) > 0.95),
+red AS (SELECT DISTINCT feature_b AS feature, 'correlated' AS reason FROM high),
+final_feat AS (SELECT feature, position FROM feat
+               WHERE feature NOT IN (SELECT feature FROM zv) AND feature NOT IN (SELECT feature FROM red)),
+train_long AS (SELECT * FROM (UNPIVOT train_f ON {_UNPIV} INTO NAME feature VALUE value)
+               WHERE feature IN (SELECT feature FROM final_feat)),
+test_long AS (SELECT * FROM (UNPIVOT test_f ON {_UNPIV} INTO NAME feature VALUE value)
+              WHERE feature IN (SELECT feature FROM final_feat)),
+binmap AS (SELECT label_id, CAST(lower(label) <> 'benign' AS INTEGER) AS label_binary FROM mapping),
+imp AS (SELECT feature, abs(corr(value, CAST(b.label_binary AS DOUBLE))) AS importance
+        FROM train_long JOIN binmap b USING (label_id) GROUP BY feature),
+imp_rank AS (SELECT feature, importance, row_number() OVER (ORDER BY importance DESC, feature) AS rank
+             FROM imp WHERE NOT isnan(importance))"""

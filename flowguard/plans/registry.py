@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-_MODULES = ("flowguard.plans.catalog",)
+_MODULES = ("flowguard.plans.catalog", "flowguard.plans.catalog_features")
 
 
 def _load():
