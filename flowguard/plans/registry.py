@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-_MODULES = ("flowguard.plans.catalog", "flowguard.plans.catalog_features")
+_MODULES = ("flowguard.plans.catalog", "flowguard.plans.catalog_features",
+            "flowguard.plans.catalog_balance")
 
 
 def _load():
