@@ -226,3 +226,59 @@ def report_imbalance(spark, sf):
     wr = imbalance.weights_report(imbalance.class_weights(w.train, w.mapping))
     imb = encode.imbalance(encode.class_counts(w.train, w.mapping))
     return rounded(report.synthesis_imbalance(wr, imb))
+
+
+# ── F5: SMOTE on the rare-class fixture ─────────────────────────────────────
+
+_RC = f"""
+rc AS (SELECT l.doc_id AS row_key, CAST(l.quality AS VARCHAR) || '-' || CAST(l.toxic AS VARCHAR) AS "Label",
+              CAST(d.n_chars AS DOUBLE) AS n_chars, CAST(len(string_split(d.text, ' ')) AS DOUBLE) AS n_words
+       FROM labels l JOIN documents d USING (doc_id)),
+sc AS (SELECT "Label", count(*) AS n FROM rc GROUP BY 1),
+sk AS (SELECT "Label", n, max(n) OVER () - n AS d,
+              least(greatest(1, least(5, (SELECT min(n) FROM sc) - 1)), n - 1) AS k FROM sc),
+snum AS (SELECT r.*, row_number() OVER (PARTITION BY "Label" ORDER BY {O.h('smote')}, row_key) AS rn FROM rc r),
+knn AS (SELECT x.* FROM (
+          SELECT a."Label", a.row_key AS base_key, b.row_key AS nn_key,
+                 row_number() OVER (PARTITION BY a."Label", a.row_key
+                   ORDER BY (a.n_chars - b.n_chars) * (a.n_chars - b.n_chars) + (a.n_words - b.n_words) * (a.n_words - b.n_words),
+                            b.row_key) AS nn_rank
+          FROM rc a JOIN rc b ON a."Label" = b."Label" AND a.row_key <> b.row_key) x
+        JOIN sk USING ("Label") WHERE x.nn_rank <= sk.k),
+slots AS (SELECT "Label", n, k, unnest(generate_series(1, d)) AS syn_id FROM sk WHERE d > 0),
+picks AS (SELECT "Label", syn_id, k,
+   CAST(('0x' || substr(md5('{SEED}|smote-base|' || "Label" || '|' || CAST(syn_id AS VARCHAR)), 1, 15)) AS BIGINT) % n + 1 AS rn,
+   CASE WHEN k > 0 THEN CAST(('0x' || substr(md5('{SEED}|smote-nn|' || "Label" || '|' || CAST(syn_id AS VARCHAR)), 1, 15)) AS BIGINT) % k + 1 END AS nn_rank,
+   CAST(('0x' || substr(md5('{SEED}|smote-gap|' || "Label" || '|' || CAST(syn_id AS VARCHAR)), 1, 8)) AS BIGINT)
+     / CAST(4294967296.0 AS DOUBLE) AS u
+   FROM slots)"""
+
+
+@register("imbalance_smote", O.with_(_RC, f"""
+SELECT p."Label", CAST(p.syn_id AS BIGINT) AS syn_id, s.row_key AS base_key, coalesce(kn.nn_key, s.row_key) AS nn_key,
+       CASE WHEN kn.nn_key IS NULL THEN 'copy' ELSE 'smote' END AS method,
+       {rnd('CASE WHEN kn.nn_key IS NULL THEN s.n_chars ELSE s.n_chars + p.u * (nb.n_chars - s.n_chars) END')} AS n_chars,
+       {rnd('CASE WHEN kn.nn_key IS NULL THEN s.n_words ELSE s.n_words + p.u * (nb.n_words - s.n_words) END')} AS n_words
+FROM picks p JOIN snum s ON s."Label" = p."Label" AND s.rn = p.rn
+LEFT JOIN knn kn ON kn."Label" = p."Label" AND kn.base_key = s.row_key AND kn.nn_rank = p.nn_rank
+LEFT JOIN rc nb ON nb.row_key = kn.nn_key"""))
+def imbalance_smote(spark, sf):
+    """Synthetic rows that bring every (quality, toxic) class to the largest class size."""
+    from flowguard.operators.smote import smote
+    from flowguard.plans.fixtures import rare_classes
+    rc = rare_classes(spark, sf)
+    return rounded(smote(rc, "Label", ["n_chars", "n_words"], KEY, k=5, seed=SEED))
+
+
+@register("imbalance_smote_neighbours", O.with_(_RC, f"""
+SELECT "Label", base_key, CAST(nn_rank AS INTEGER) AS nn_rank, nn_key FROM knn"""))
+def imbalance_smote_neighbours(spark, sf):
+    """The exact k nearest same-class neighbours behind the SMOTE draws."""
+    from flowguard.operators.smote import nearest_neighbours, smote_k
+    from flowguard.plans.fixtures import rare_classes
+    rc = rare_classes(spark, sf)
+    counts = rc.groupBy("Label").agg(F.count(F.lit(1)).alias("n"))
+    kk = smote_k(counts, 5)
+    kt = counts.select("Label", F.least(F.lit(kk), F.col("n") - 1).alias("k"))
+    nn = nearest_neighbours(rc, "Label", ["n_chars", "n_words"], KEY, kt)
+    return nn.select("Label", "base_key", F.col("nn_rank").cast("int"), "nn_key")
