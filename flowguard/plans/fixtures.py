@@ -32,10 +32,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def flows_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def flows_from_events(e: DataFrame) -> DataFrame:
     """Flow rows from ``events`` with planted label variants and faults, plus a
-    second copy of every row with ``row_key % 50 = 0`` (exact duplicates)."""
-    e = table(spark, sf_dir, "events")
+    second copy of every row with ``row_key % 50 = 0`` (exact duplicates).
+    A pure projection + union, so it serves batch and streaming alike."""
     eid, v = F.col("event_id"), F.col("value")
     et = F.col("event_type")
     label = (F.when(eid % 499 == 1, "Infiltration")
@@ -62,6 +62,10 @@ def flows_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.unionByName(base.filter(F.col(KEY) % 50 == 0))
 
 
+def flows_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flows_from_events(table(spark, sf_dir, "events"))
+
+
 def rare_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``labels`` joined to ``documents``: class = quality-toxic, features from the text."""
     lab = table(spark, sf_dir, "labels")

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 _MODULES = ("flowguard.plans.catalog", "flowguard.plans.catalog_features",
-            "flowguard.plans.catalog_balance", "flowguard.plans.catalog_models")
+            "flowguard.plans.catalog_balance", "flowguard.plans.catalog_models",
+            "flowguard.plans.catalog_stream")
 
 
 def _load():
