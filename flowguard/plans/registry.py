@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _MODULES = ("flowguard.plans.catalog", "flowguard.plans.catalog_features",
             "flowguard.plans.catalog_balance", "flowguard.plans.catalog_models",
-            "flowguard.plans.catalog_stream")
+            "flowguard.plans.catalog_stream", "flowguard.plans.catalog_ingest")
 
 
 def _load():
