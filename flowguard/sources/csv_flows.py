@@ -65,7 +65,7 @@ def read_flow_file(spark: SparkSession, path: str, encoding: str = UTF8,
     head = spark.read.option("header", False).option("encoding", cs).csv(path).first()
     names = pandas_style_names(list(head) if head is not None else [])
     df = (spark.read.option("header", True).option("encoding", cs)
-          .option("inferSchema", infer_schema).option("enforceSchema", False)
+          .option("inferSchema", infer_schema)
           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
           .option("nanValue", "NaN").option("positiveInf", "Infinity").option("negativeInf", "-Infinity")
           .csv(path))
