@@ -33,14 +33,16 @@ def _assembled(df: DataFrame, cols: Sequence[str], label: str, key: str | None,
     if key:
         out = out.repartitionByRange(max(1, df.sparkSession.sparkContext.defaultParallelism), key) \
                  .sortWithinPartitions(key)
-    return VectorAssembler(inputCols=[f"_x{i}" for i in range(len(cols))], outputCol="_v").transform(out)
+    return VectorAssembler(inputCols=[f"_x{i}" for i in range(len(cols))], outputCol="_v") \
+        .transform(out).select("_v", "_y", *(["_w"] if weight else [])).persist()
 
 
 def fit_tree(df: DataFrame, cols: Sequence[str], label: str = "label_id", key: str | None = None,
              weight: str | None = None, seed: int = 42, max_depth: int = MAX_DEPTH):
     data = _assembled(df, cols, label, key, weight)
     dt = DecisionTreeClassifier(featuresCol="_v", labelCol="_y", seed=seed, maxDepth=max_depth,
-                                maxBins=64, **({"weightCol": "_w"} if weight else {}))
+                                maxBins=64, maxMemoryInMB=1024, cacheNodeIds=True,
+                                **({"weightCol": "_w"} if weight else {}))
     return dt.fit(data)
 
 
@@ -48,7 +50,8 @@ def fit_forest(df: DataFrame, cols: Sequence[str], label: str = "label_id", key:
                trees: int = 50, max_depth: int = MAX_DEPTH, seed: int = 42):
     data = _assembled(df, cols, label, key)
     rf = RandomForestClassifier(featuresCol="_v", labelCol="_y", seed=seed, numTrees=trees,
-                                maxDepth=max_depth, maxBins=64)
+                                maxDepth=max_depth, maxBins=64, maxMemoryInMB=1024,
+                                cacheNodeIds=True)
     return rf.fit(data)
 
 

@@ -89,7 +89,7 @@ def medians(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame
     """(feature, median) per column, missing values skipped; all-missing -> NULL."""
     names = df.sparkSession.createDataFrame([(c, i) for i, c in enumerate(cols)],
                                             "feature string, position int")
-    long_ = to_long(df, cols)
+    long_ = to_long(df, cols).persist()  # scanned by several passes
     if exact:
         m = exact_quantiles(long_, ["feature"], [0.5]).select("feature", F.col("q").alias("median"))
     else:
@@ -206,7 +206,7 @@ def class_means(df: DataFrame, cols: Sequence[str], label: str = "label_id") ->
 def class_box_stats(df: DataFrame, cols: Sequence[str], label: str = "label_id") -> DataFrame:
     """Per class and feature: n, q1, median, q3, whisker ends at 1.5 IQR, outliers."""
     have = [c for c in cols if c in df.columns]
-    long_ = to_long(df, have, ids=[label])
+    long_ = to_long(df, have, ids=[label]).persist()  # quantile passes + whisker pass
     qs = exact_quantiles(long_, [label, "feature"], [0.25, 0.5, 0.75])
     wide = qs.groupBy(label, "feature").pivot("p", [0.25, 0.5, 0.75]).agg(F.first("q"))
     wide = wide.toDF(label, "feature", "q1", "median", "q3")

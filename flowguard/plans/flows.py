@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from flowguard.operators import clean, encode, profile, sampling
 from flowguard.plans.fixtures import DAY, KEY, LABEL, SEED, flows_raw
+from flowguard.session import materialize
 
 
 def normalized(spark: SparkSession, sf: str) -> DataFrame:
@@ -71,8 +72,9 @@ def filled(spark: SparkSession, sf: str):
 class Workflow:
     """All stages of one (session, data folder) run, built lazily once.
 
-    The split table is persisted (recomputable from lineage if an executor is
-    lost); everything derived from it reuses that copy.
+    Stage boundaries (mapping, split, the 50 % sample, medians) are reliable
+    checkpoints in the shared folder: they survive executor loss, are computed
+    once, and keep every later plan shallow.
     """
 
     def __init__(self, spark: SparkSession, sf: str):
@@ -86,13 +88,13 @@ class Workflow:
 
     @property
     def mapping(self) -> DataFrame:
-        return self._get("mapping", lambda: mapping(self.spark, self.sf).persist())
+        return self._get("mapping", lambda: materialize(mapping(self.spark, self.sf)))
 
     @property
     def split(self) -> DataFrame:
         def build():
             e = encoded(self.spark, self.sf, mapping_df=self.mapping)
-            return sampling.stratified_split(e, "label_id", 0.2, SEED, key=[KEY]).persist()
+            return materialize(sampling.stratified_split(e, "label_id", 0.2, SEED, key=[KEY]))
         return self._get("split", build)
 
     @property
@@ -109,7 +111,7 @@ class Workflow:
 
     @property
     def medians(self) -> DataFrame:
-        return self._get("medians", lambda: profile.medians(self.train, self.features).persist())
+        return self._get("medians", lambda: materialize(profile.medians(self.train, self.features)))
 
     @property
     def train_filled(self) -> DataFrame:
@@ -122,12 +124,12 @@ class Workflow:
     @property
     def sample50(self) -> DataFrame:
         """Stratified 50 % of train, taken before the median fill."""
-        return self._get("s50", lambda: sampling.stratified_sample(
-            self.train, "label_id", 0.5, SEED, key=[KEY]))
+        return self._get("s50", lambda: materialize(sampling.stratified_sample(
+            self.train, "label_id", 0.5, SEED, key=[KEY])))
 
     @property
     def zero_var(self) -> DataFrame:
-        return self._get("zv", lambda: profile.zero_variance(self.train_filled, self.features).persist())
+        return self._get("zv", lambda: materialize(profile.zero_variance(self.train_filled, self.features)))
 
     @property
     def after_zv(self) -> list[str]:

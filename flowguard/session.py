@@ -67,11 +67,13 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def small_table(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, int]:
-    """Materialize a derived table and broadcast it only if its size is proven small.
+    """Checkpoint a derived table and broadcast it only if its size is proven small.
 
     Returns ``(table, rows)``; above ``max_rows`` the table is returned without a
     broadcast hint so the planner uses a shuffle join instead.
     """
+    # a reliable checkpoint: survives executor loss and gives later plans a
+    # shallow lineage (fast planning, fast cache matching)
     df = materialize(df)
     n = df.count()
     return (F.broadcast(df) if n <= max_rows else df), n
