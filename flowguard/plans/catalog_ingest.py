@@ -64,3 +64,42 @@ def ingest_parquet_verified(spark, sf):
     """Merged table written as Parquet (partitioned by day) and verified by re-reading."""
     path = scratch_path(spark, "merged")
     return stage.write_verified(flows_raw(spark, sf), path, partition_by=[DAY]).drop("path")
+
+
+@register("ingest_contract_violations", O.with_(O.FLOWS + """,
+contract AS (SELECT * FROM (VALUES (0, 'Flow Duration', 'double'), (1, 'Total Fwd Packets', 'double'),
+                                   (2, 'Flow Bytes/s', 'double'), (3, 'Fwd Packet Length Max', 'double'),
+                                   (4, 'Bwd PSH Flags', 'double'), (5, 'Destination Port', 'double'),
+                                   (6, 'SYN Flag Count', 'double')) v(position, feature, expected)),
+actual AS (SELECT * FROM (VALUES ('row_key', 'bigint'), ('Day', 'string'), ('Flow Duration', 'double'),
+                                 ('Total Fwd Packets', 'string'), ('Flow Bytes/s', 'double'),
+                                 ('Fwd Packet Length Max', 'double'), ('Bwd PSH Flags', 'double'),
+                                 ('Destination Port', 'double'), ('Label', 'string')) v(feature, actual)),
+fails AS (SELECT 'Total Fwd Packets' AS feature,
+                 CAST(count_if("Total Fwd Packets" IS NOT NULL AND TRY_CAST("Total Fwd Packets" AS DOUBLE) IS NULL) AS BIGINT) AS n
+          FROM flows_raw)""", """
+SELECT coalesce(c.feature, a.feature) AS feature, c.position, c.expected, a.actual,
+       coalesce(f.n, 0) AS rows_failing_cast,
+       CASE WHEN c.expected IS NULL THEN 'extra' WHEN a.actual IS NULL THEN 'missing'
+            WHEN coalesce(f.n, 0) > 0 THEN 'bad_values' ELSE 'ok' END AS status,
+       (c.expected IS NULL OR (a.actual IS NOT NULL AND coalesce(f.n, 0) = 0)) AS ok
+FROM contract c FULL JOIN actual a ON c.feature = a.feature
+LEFT JOIN fails f ON f.feature = coalesce(c.feature, a.feature)"""))
+def ingest_contract_violations(spark, sf):
+    """Raw flows checked against the trained feature contract (all DOUBLE), one scan."""
+    from flowguard.sources.contract import contract_violations
+    contract = spark.createDataFrame(
+        [(0, "Flow Duration", "double"), (1, "Total Fwd Packets", "double"), (2, "Flow Bytes/s", "double"),
+         (3, "Fwd Packet Length Max", "double"), (4, "Bwd PSH Flags", "double"),
+         (5, "Destination Port", "double"), (6, "SYN Flag Count", "double")],
+        "position int, feature string, dtype string")
+    return contract_violations(flows_raw(spark, sf), contract)
+
+
+@register("ingest_stage_saved")
+def ingest_stage_saved(spark, sf):
+    """Train/test/mapping saved as Parquet stage tables and verified by re-reading."""
+    from flowguard.plans.flows import Workflow
+    w = Workflow(spark, sf)
+    return stage.save_stage({"train": w.train, "test": w.test, "class_mapping": w.mapping},
+                            scratch_path(spark, "stage"))
