@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from flowguard.operators import clean, encode, sampling
 from flowguard.plans import flows as P
+from flowguard.plans.flows import Workflow
 from flowguard.plans import oracle as O
 from flowguard.plans.fixtures import (
     DAY, FLOW_FEATURES, KEY, LABEL, RAW_LABELS_STRIPPED, SEED, flows_raw,
@@ -175,7 +176,7 @@ def encode_features(spark, sf):
 
 @register("split_stratified", O.with_(O.SPLIT, "SELECT row_key, label_id, split FROM split"))
 def split_stratified(spark, sf):
-    return P.split(spark, sf).select(KEY, "label_id", "split")
+    return Workflow(spark, sf).split.select(KEY, "label_id", "split")
 
 
 @register("split_class_counts", O.with_(O.SPLIT, f"""
@@ -185,16 +186,14 @@ FROM mapping m CROSS JOIN (VALUES ('train'), ('test')) s(split)
 LEFT JOIN (SELECT split, label_id, count(*) AS count FROM split GROUP BY 1, 2) c
   ON c.split = s.split AND c.label_id = m.label_id"""))
 def split_class_counts(spark, sf):
-    s = P.split(spark, sf)
-    return rounded(encode.class_counts_by(s, P.mapping(spark, sf), "split", ["train", "test"]))
+    w = Workflow(spark, sf)
+    return rounded(encode.class_counts_by(w.split, w.mapping, "split", ["train", "test"]))
 
 
 @register("sample_stratified", O.with_(O.SPLIT + "," + O.stratified_sample_cte("smp", "train", 0.5, "sample"),
                                        "SELECT row_key, label_id FROM smp"))
 def sample_stratified(spark, sf):
-    s = P.split(spark, sf)
-    train = s.filter(F.col("split") == "train").drop("split")
-    return sampling.stratified_sample(train, "label_id", 0.5, SEED, key=[KEY]).select(KEY, "label_id")
+    return Workflow(spark, sf).sample50.select(KEY, "label_id")
 
 
 @register("sample_capped", O.with_(O.SPLIT, f"""
@@ -202,8 +201,7 @@ SELECT row_key, label_id FROM train
 ORDER BY {O.h('capped')}, row_key
 LIMIT (SELECT least(CAST(floor(CAST(0.2 AS DOUBLE) * count(*)) AS BIGINT), 200000) FROM train)"""))
 def sample_capped(spark, sf):
-    s = P.split(spark, sf)
-    train = s.filter(F.col("split") == "train").drop("split")
+    train = Workflow(spark, sf).train
     return sampling.capped_sample(train, 0.2, 200_000, SEED, key=[KEY]).select(KEY, "label_id")
 
 
@@ -212,9 +210,8 @@ SELECT split, label_binary, count, {rnd('count * 100.0 / sum(count) OVER (PARTIT
 FROM (SELECT s.split, CAST(lower(m.label) <> 'benign' AS INTEGER) AS label_binary, count(*) AS count
       FROM split s JOIN mapping m USING (label_id) GROUP BY 1, 2)"""))
 def split_binary_counts(spark, sf):
-    s = P.split(spark, sf)
-    m = P.mapping(spark, sf)
-    b = encode.binary_label(s.join(F.broadcast(m), "label_id"), "label")
+    w = Workflow(spark, sf)
+    b = encode.binary_label(w.split.join(F.broadcast(w.mapping), "label_id"), "label")
     g = b.groupBy("split", "label_binary").agg(F.count(F.lit(1)).alias("count"))
     from pyspark.sql import Window
     return rounded(g.withColumn("pct", F.col("count") * 100.0 / F.sum("count").over(Window.partitionBy("split"))))
@@ -227,6 +224,5 @@ SELECT max(count) AS max_count, min(count) AS min_count,
 FROM (SELECT m.label_id, m.label, count(t.row_key) AS count FROM mapping m LEFT JOIN train t USING (label_id)
       GROUP BY 1, 2)"""))
 def split_imbalance(spark, sf):
-    s = P.split(spark, sf)
-    train = s.filter(F.col("split") == "train")
-    return rounded(encode.imbalance(encode.class_counts(train, P.mapping(spark, sf))))
+    w = Workflow(spark, sf)
+    return rounded(encode.imbalance(encode.class_counts(w.train, w.mapping)))
