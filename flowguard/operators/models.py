@@ -43,7 +43,9 @@ def fit_tree(df: DataFrame, cols: Sequence[str], label: str = "label_id", key: s
     dt = DecisionTreeClassifier(featuresCol="_v", labelCol="_y", seed=seed, maxDepth=max_depth,
                                 maxBins=64, maxMemoryInMB=1024, cacheNodeIds=True,
                                 **({"weightCol": "_w"} if weight else {}))
-    return dt.fit(data)
+    model = dt.fit(data)
+    data.unpersist()
+    return model
 
 
 def fit_forest(df: DataFrame, cols: Sequence[str], label: str = "label_id", key: str | None = None,
@@ -52,7 +54,9 @@ def fit_forest(df: DataFrame, cols: Sequence[str], label: str = "label_id", key:
     rf = RandomForestClassifier(featuresCol="_v", labelCol="_y", seed=seed, numTrees=trees,
                                 maxDepth=max_depth, maxBins=64, maxMemoryInMB=1024,
                                 cacheNodeIds=True)
-    return rf.fit(data)
+    model = rf.fit(data)
+    data.unpersist()
+    return model
 
 
 def predict(model, df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (),
@@ -101,7 +105,8 @@ def rf_per_class(df: DataFrame, cols: Sequence[str], mapping: DataFrame, label:
             .withColumn("fallback", F.lit(False))
 
     with ThreadPoolExecutor(max_workers=threads) as ex:
-        parts = list(ex.map(one, classes))
+        parts = [p.persist() if p is not None else None for p in ex.map(one, classes)]
+    data.unpersist()
     out = None
     for (cid, name), part in zip(classes, parts):
         if part is None:

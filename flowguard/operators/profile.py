@@ -94,7 +94,9 @@ def medians(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame
         m = exact_quantiles(long_, ["feature"], [0.5]).select("feature", F.col("q").alias("median"))
     else:
         m = long_.groupBy("feature").agg(F.percentile_approx("value", 0.5, 10_000).alias("median"))
-    return names.join(m, "feature", "left").select("feature", "median", "position")
+    out, _ = small_table(names.join(m, "feature", "left").select("feature", "median", "position"))
+    long_.unpersist()
+    return out
 
 
 def fill_medians(df: DataFrame, med: DataFrame) -> DataFrame:
@@ -220,7 +222,9 @@ def class_box_stats(df: DataFrame, cols: Sequence[str], label: str = "label_id")
         F.min(F.when(inside, F.col("value"))).alias("whisker_lo"),
         F.max(F.when(inside, F.col("value"))).alias("whisker_hi"),
         F.count_if(~inside).alias("outliers"))
-    return wide.drop("_lo", "_hi").join(agg, [label, "feature"])
+    out, _ = small_table(wide.drop("_lo", "_hi").join(agg, [label, "feature"]))
+    long_.unpersist()
+    return out
 
 
 # ── feature funnel, importance and annotations ──────────────────────────────
