@@ -62,15 +62,19 @@ def largest_remainder(counts: DataFrame, group: str, n_col: str, draws: Column)
             .drop("_total", "_draws", "_cont", "_floor", "_rem", "_short"))
 
 
-def first_in_hash_order(df: DataFrame, group: str | None, quota: DataFrame | int,
+def first_in_hash_order(df: DataFrame, group: str | None, quota,
                         seed: int = 42, salt: str = "", key: Sequence[str] = (),
                         flag: str = "selected") -> DataFrame:
     """Add boolean ``flag``: row is among the first ``quota`` rows of its group in
-    hash order.  ``quota`` is an int for all groups or a table (group, quota).
+    hash order.  ``quota`` is an int for all groups, a table (group, quota), or a
+    function of the group size (a Column) evaluated on the bucket histogram.
     """
     keyed = _keyed(df, group, seed, salt, key)
     hist = bucket_histogram(keyed)
-    if isinstance(quota, int):
+    if callable(quota):
+        size = F.sum("_n").over(Window.partitionBy(_G))
+        hq = hist.withColumn("quota", quota(size).cast("bigint"))
+    elif isinstance(quota, int):
         hq = hist.withColumn("quota", F.lit(quota).cast("bigint"))
     else:
         qt = quota.select(F.col(group).alias(_G), F.col("quota"))
@@ -138,9 +142,10 @@ def stratified_sample(df: DataFrame, label: str, frac: float, seed: int = 42,
 
 def capped_sample(df: DataFrame, frac: float = 0.2, cap: int = 200_000, seed: int = 42,
                   key: Sequence[str] = (), salt: str = "capped") -> DataFrame:
-    """Uniform sample without replacement of min(int(frac*n), cap) rows."""
-    n = df.count()
-    size = min(int(frac * n), cap)
+    """Uniform sample without replacement of min(int(frac*n), cap) rows; n comes
+    from the same bucket histogram that places the cut (no extra pass)."""
+    def size(n):
+        return F.least(F.floor(F.lit(float(frac)) * n), F.lit(cap))
     return first_in_hash_order(df, None, size, seed, salt, key, flag="_keep") \
         .filter("_keep").drop("_keep")
 
