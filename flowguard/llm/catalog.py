@@ -102,8 +102,8 @@ SQL = {
         FROM p LEFT JOIN l ON p.body = l.body""",
     "op8_embedding_neardup": """
         WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
-        f AS (SELECT * FROM v WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0
-              AND len(list_filter(e, x -> x <> 0)) > 0),
+        f AS (SELECT * FROM v WHERE e IS NOT NULL AND len(e) > 0 AND len([x for x in e if x IS NULL OR NOT isfinite(x)]) = 0
+              AND len([x for x in e if x <> 0]) > 0),
         links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM f a, f b
                   WHERE a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95),
         reach(a, b) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
@@ -113,8 +113,8 @@ SQL = {
         FROM c LEFT JOIN n USING (vec_id)""",
     "op9_jaccard_join": """
         WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
-        s AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(ws) - 4, 1) + 1),
-                     i -> array_to_string(ws[i:i + 4], ' '))) AS h FROM w WHERE len(ws) > 0),
+        s AS (SELECT DISTINCT doc_id, unnest([array_to_string(ws[i:i + 4], ' ')
+                     for i in range(1, greatest(len(ws) - 4, 1) + 1)]) AS h FROM w WHERE len(ws) > 0),
         k AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
         j AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS m FROM s x JOIN s y ON x.h = y.h AND x.doc_id <> y.doc_id GROUP BY ALL),
         links AS (SELECT j.a, j.b FROM j JOIN k p ON p.doc_id = j.a JOIN k q ON q.doc_id = j.b WHERE 10 * j.m >= 8 * (p.n + q.n - j.m)),
