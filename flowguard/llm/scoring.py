@@ -13,6 +13,7 @@ most 256 x 255 nodes) passes through the driver.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +28,7 @@ from flowguard.llm.shingles import Words
 DEPTH = 5  #: bytes of the deepest context
 TOP = 2  #: contexts of fewer bytes are mixed from the broadcast top of the tree
 END = 0xFF  #: not a byte of UTF-8: ends a text, and stands before it as context
-BLOCK_BYTES = 16 << 20  #: text of a block on average
+BLOCK_BYTES = 24 << 20  #: text of a block on average
 BUCKET_BYTES = 32 << 20  #: text for each bucket of keys
 CHUNK = 2 << 20  #: bytes scored or counted at a time
 GRAM, WORD, NODE, VOCABULARY = 0, 1, 2, 3  #: kinds of rows
@@ -79,6 +80,22 @@ def tally(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarra
     return keys[cut], np.add.reduceat(counts, cut) if len(cut) else counts
 
 
+def squeezed(values: np.ndarray, ascending: bool = False) -> bytes:
+    """Values compressed by byte planes; ascending ones as differences."""
+    if ascending:
+        values = np.diff(values, prepend=values.dtype.type(0))
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T
+    return struct.pack("<I", len(values)) + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def spread(data: bytes, dtype: type, ascending: bool = False) -> np.ndarray:
+    """What ``squeezed`` made."""
+    n, width = struct.unpack_from("<I", data)[0], np.dtype(dtype).itemsize
+    planes = np.frombuffer(pa.decompress(data[4:], n * width, codec="zstd", asbytes=True), np.uint8).reshape(width, n)
+    values = np.ascontiguousarray(planes.T).view(dtype).ravel()
+    return np.cumsum(values, dtype=dtype) if ascending else values
+
+
 def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     return tally(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
 
@@ -220,7 +237,7 @@ def score(docs: DataFrame, mod: int = 7, held: int = 2, key: str = "doc_id", tex
         to = deal[(keys >> np.uint64(8 * (DEPTH - 1))).astype(np.int64)] if kind == GRAM else (keys >> np.uint64(32)).astype(np.int64) % buckets
         order = np.argsort(to, kind="stable")
         for part in np.split(order, np.flatnonzero(np.diff(to[order])) + 1) if len(order) else []:
-            yield kind, int(to[part[0]]), block, keys[part].tobytes(), n[part].astype(np.uint32).tobytes()
+            yield kind, int(to[part[0]]), block, squeezed(keys[part], True), squeezed(n[part].astype(np.uint32))
 
     names = ["kind", "bucket", "block", "keys", "counts"]
 
@@ -257,8 +274,8 @@ def score(docs: DataFrame, mod: int = 7, held: int = 2, key: str = "doc_id", tex
     packs = materialize(rows.select("raw", "block", "held_out").mapInArrow(count, "kind int, bucket int, block long, keys binary, counts binary"))
 
     def unpacked(table: pa.Table) -> tuple[int, list[np.ndarray], np.ndarray, np.ndarray]:
-        ks = [np.frombuffer(x, np.uint64) for x in table["keys"].to_pylist()]
-        ns = [np.frombuffer(x, np.uint32).astype(np.int64) for x in table["counts"].to_pylist()]
+        ks = [spread(x, np.uint64, True) for x in table["keys"].to_pylist()]
+        ns = [spread(x, np.uint32).astype(np.int64) for x in table["counts"].to_pylist()]
         return table["kind"][0].as_py(), ks, *tally(np.concatenate(ks), np.concatenate(ns))
 
     def top(table: pa.Table) -> pa.Table:
@@ -299,7 +316,7 @@ def score(docs: DataFrame, mod: int = 7, held: int = 2, key: str = "doc_id", tex
             value = log10_probability(keys, [*crown.value, *(below[d] for d in range(TOP, DEPTH + 1))]).astype(np.float32)
         else:
             value = n.astype(np.uint32)
-        back = [value[np.searchsorted(keys, k)].tobytes() for k in ks]
+        back = [squeezed(value[np.searchsorted(keys, k)]) for k in ks]
         return pa.table({"kind": table["kind"], "block": table["block"], "keys": table["keys"], "vals": pa.array(back, pa.binary())})
 
     answers = packs.groupBy("kind", "bucket").applyInArrow(answer, "kind int, block long, keys binary, vals binary")
@@ -310,8 +327,8 @@ def score(docs: DataFrame, mod: int = 7, held: int = 2, key: str = "doc_id", tex
         finds = []
         for kind, dtype in ((GRAM, np.float32), (WORD, np.uint32)):
             part = values.filter(pa.array(values["kind"].to_numpy() == kind))
-            k = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(x, np.uint64) for x in part["keys"].to_pylist())])
-            v = np.concatenate([np.zeros(0, dtype), *(np.frombuffer(x, dtype) for x in part["vals"].to_pylist())])
+            k = np.concatenate([np.zeros(0, np.uint64), *(spread(x, np.uint64, True) for x in part["keys"].to_pylist())])
+            v = np.concatenate([np.zeros(0, dtype), *(spread(x, dtype) for x in part["vals"].to_pylist())])
             u, first = np.unique(k, return_index=True)
             finds.append(Lookup(u, v[first]))
         out = []
