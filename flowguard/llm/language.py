@@ -95,7 +95,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", max_langs: in
                                                  ["lang", "bucket", "n"])
             sums.clear()
 
-        for b in arrow_rows(batches, 512, 4 << 20):
+        for b in arrow_rows(batches, 512, 1 << 20):
             by: dict[str, list[str]] = {}
             for t, k in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 by.setdefault(k, []).append(t)
@@ -139,7 +139,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] |
     out = given.drop("__text").withColumn("lang_pred", F.lit("")).withColumn("score", F.lit(0.0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in arrow_rows(batches, 512, 2 << 20):
+        for b in arrow_rows(batches, 512, 1 << 20):
             lang, score = shared.value.predict(b.column(b.num_columns - 1).to_pylist())
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(lang, pa.string()), pa.array(score, pa.float64())],
                                              [*b.schema.names[:-1], "lang_pred", "score"])

@@ -25,8 +25,8 @@ THRESHOLD = 0.8  #: Jaccard similarity from which two texts are linked
 ROWS, BANDS = 5, 30  #: a pair at the threshold shares a band with probability 1 - 7e-6
 STEP = 30  #: MinHash values compared at a time
 TOLERANCE = 1e-6  #: posterior probability below which a candidate is dropped
-BLOCK, BLOCK_BYTES = 1024, 8 << 20  #: texts, and bytes, of a block on average
-GROUP_BYTES = 8 << 20  #: bytes of a task's group of block pairs on average
+BLOCK, BLOCK_BYTES = 1024, 4 << 20  #: texts, and bytes, of a block on average
+GROUP_BYTES = 4 << 20  #: bytes of a task's group of block pairs on average
 
 
 @lru_cache(maxsize=8)
@@ -53,7 +53,7 @@ def sketches(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), F.md5(text_of().cast("binary")).alias("key"), text_of().cast("binary").alias("raw"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in arrow_rows(batches, 512, 4 << 20):
+        for b in arrow_rows(batches, 512, 2 << 20):
             raw = b.column(2).to_pylist()
             h, begin = S.Words(raw).shingles(SHINGLE)
             keys = S.band_keys(S.minhash(h, begin, ROWS * BANDS), ROWS)
@@ -107,7 +107,7 @@ def shared(a: Texts, b: Texts, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     u, v = np.unique(i), np.unique(j)
     left, right = np.concatenate([a.sets[x] for x in u]), np.concatenate([b.sets[y] for y in v])
     both = np.intersect1d(left, right)  # only these can be shared
-    out, width = np.zeros((len(u), len(v)), np.float32), 4096
+    out, width = np.zeros((len(u), len(v)), np.float32), 2048
     at = [(np.repeat(np.arange(len(s)), [len(t.sets[x]) for x in s]), np.searchsorted(both, h), h) for t, s, h in ((a, u, left), (b, v, right))]
     at = [(r, c, (c < len(both)) & (both[np.minimum(c, len(both) - 1)] == h)) if len(both) else (r, c, np.zeros(len(c), bool)) for r, c, h in at]
     for lo in range(0, len(both), width):

@@ -87,7 +87,7 @@ def document_features(docs: DataFrame, keep: list[Column]) -> DataFrame:
     out = given.drop("__raw").withColumn("f", F.array(F.lit(0.0)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in arrow_rows(batches, 512, 4 << 20):
+        for b in arrow_rows(batches, 512, 1 << 20):
             f = features(b.column(b.num_columns - 1).to_pylist())
             cut = pa.array(np.arange(0, f.size + 1, N_FEATURES, dtype=np.int32))
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.ListArray.from_arrays(cut, pa.array(f.ravel()))], [*b.schema.names[:-1], "f"])

@@ -13,10 +13,20 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
+_SLICE = 1 << 19  # bytes hashed at a time
+_KEPT: dict[int, np.ndarray] = {}
+
+
 def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
+    """Powers 0 to n - 1 modulo 2 ** 64; those of a usual slice are kept."""
+    if n <= _SLICE and int(base) in _KEPT:
+        return _KEPT[int(base)][:n]
+    out = np.full(max(n, _SLICE), base, np.uint64)
     out[0] = 1
-    return np.multiply.accumulate(out)
+    out = np.multiply.accumulate(out)
+    if len(out) == _SLICE:
+        _KEPT[int(base)] = out
+    return out[:n]
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -42,13 +52,17 @@ class Words:
         self.start, self.end = edge[0::2], edge[1::2]  # of each word
         at = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])]).astype(np.int64)
         self.first = np.searchsorted(self.start, at)  # per text and one more: index of its first word
-        if len(self.start):
-            run = np.zeros(len(a) + 1, np.uint64)
-            np.cumsum(_BYTE[a] * _powers(_P, len(a)), out=run[1:])
-            back = _powers(_PINV, len(a))[self.start]
-            self.hash = mixed((run[self.end] - run[self.start]) * back + (self.end - self.start).astype(np.uint64))
-        else:
-            self.hash = np.zeros(0, np.uint64)
+        self.hash = np.zeros(len(self.start), np.uint64)
+        i = 0
+        while i < len(self.start):  # a slice of words at a time: the sums take eight bytes for each of the text
+            lo = self.start[i]
+            j = max(i + 1, int(np.searchsorted(self.end, lo + _SLICE, "right")))
+            here, size = slice(i, j), int(self.end[j - 1] - lo)
+            run = np.zeros(size + 1, np.uint64)
+            np.cumsum(_BYTE[a[lo:lo + size]] * _powers(_P, size), out=run[1:])
+            begin, end = self.start[here] - lo, self.end[here] - lo
+            self.hash[here] = mixed((run[end] - run[begin]) * _powers(_PINV, size)[begin] + (end - begin).astype(np.uint64))
+            i = j
 
     def shingles(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all runs of n words, and where each text's begin (one more place than texts).
