@@ -83,6 +83,7 @@ def arrow_rows(batches: Iterator[pa.RecordBatch], rows: int = 256, size: int = 8
                 n = max(1, n // 2)
             yield batch.slice(at, n)
             at += n
+    pa.default_memory_pool().release_unused()  # workers live on; executors' memory is shared with them
 
 
 def connected_components(edges: DataFrame) -> DataFrame:

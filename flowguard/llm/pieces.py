@@ -25,8 +25,10 @@ from pyspark.sql import functions as F
 from flowguard.llm.common import arrow_rows, bounded_batches, text_of
 
 SPACE = "▁"
-#: Encoded chunks that a worker keeps in each of two generations (about 200 bytes each).
-CACHE = 300_000
+#: Encoded chunks that a worker keeps in each of two generations (about 260 bytes each).
+CACHE = 80_000
+#: Pairs of pieces whose check a worker remembers (about 200 bytes each).
+PAIRS = 200_000
 #: Longer chunks are encoded each time they come.
 CACHE_CHARS = 40
 
@@ -108,6 +110,8 @@ class Merges:
         """Whether re-merging the two pieces' characters gives the two back (left -1: the piece alone)."""
         one = self.pieces[piece]
         parts = [one] if left < 0 else [self.pieces[left], one]
+        if len(self.fits) >= PAIRS:
+            self.fits.clear()
         good = self.fits[left, piece] = self.merge(list("".join(parts))) == parts
         return good
 
