@@ -25,7 +25,7 @@ THRESHOLD = 0.8  #: Jaccard similarity from which two texts are linked
 ROWS, BANDS = 5, 30  #: a pair at the threshold shares a band with probability 1 - 7e-6
 STEP = 30  #: MinHash values compared at a time
 TOLERANCE = 1e-6  #: posterior probability below which a candidate is dropped
-BLOCK, BLOCK_BYTES = 1024, 4 << 20  #: texts, and bytes, of a block on average
+BLOCK, BLOCK_BYTES = 512, 4 << 20  #: texts, and bytes, of a block on average
 GROUP_BYTES = 4 << 20  #: bytes of a task's group of block pairs on average
 
 
@@ -92,8 +92,8 @@ def candidates(a: Texts, b: Texts, same: bool, threshold: float) -> tuple[np.nda
     i, j = i[other], j[other]
     m = hits[i, j].astype(np.int32)
     for k, least in steps[1:]:
-        for at in range(0, len(i), 1 << 18):
-            part = slice(at, at + (1 << 18))
+        for at in range(0, len(i), 1 << 16):
+            part = slice(at, at + (1 << 16))
             m[part] += (a.signature[i[part], n:k] == b.signature[j[part], n:k]).sum(1, dtype=np.int32)
         good = m >= least
         i, j, m, n = i[good], j[good], m[good], k
