@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from flowguard.functions.labels import normalize_label, short_day, strip_ws
 from flowguard.functions.numeric import is_infinite, null_if_infinite, null_if_negative
+from flowguard.session import materialize
 
 # Flow measurements that can never be negative, in the original order.
 NON_NEGATIVE_COLS = (
@@ -177,15 +178,16 @@ def validate(df: DataFrame, cols: Sequence[str] = NON_NEGATIVE_COLS) -> DataFram
 
 # ── B13–B15: per-day view and summary ───────────────────────────────────────
 
-def class_by_day(df: DataFrame, values: Sequence[str], day: str = "Day",
-                 label: str = "Label") -> DataFrame:
+def class_by_day(df: DataFrame, day: str = "Day", label: str = "Label") -> DataFrame:
     """Crosstab short day x stripped label with counts; absent pairs are 0.
 
-    ``values`` (the label columns) must be given: a pivot without them needs an
-    extra pass to discover the distinct labels.
+    Every label of the data becomes a column, in name order (missing labels: ``nan``).
+    The table is counted once; only its (day, label) counts are read again for the pivot.
     """
-    return (df.select(short_day(day).alias("Day"), strip_ws(F.col(label).cast("string")).alias("_l"))
-            .groupBy("Day").pivot("_l", list(values)).count().na.fill(0))
+    name = F.coalesce(strip_ws(F.col(label).cast("string")), F.lit("nan"))
+    counts = materialize(df.groupBy(short_day(day).alias("Day"), name.alias("_l")).agg(F.count(F.lit(1)).alias("n")))
+    values = sorted(r["_l"] for r in counts.select("_l").distinct().collect())  # one per label
+    return counts.groupBy("Day").pivot("_l", values).agg(F.sum("n")).na.fill(0)
 
 
 def quality_summary(deduped: DataFrame, dup_stats: DataFrame, negatives: DataFrame,

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from flowguard.operators.clean import q
 
 MAX_DEPTH = 30  # MLlib's limit; stands for "unlimited"
+FIT_PARTITIONS = 32  # of the training rows: trees must not depend on the cluster's size
 
 
 def _assembled(df: DataFrame, cols: Sequence[str], label: str, key: str | None,
@@ -31,7 +32,7 @@ def _assembled(df: DataFrame, cols: Sequence[str], label: str, key: str | None,
         extra.append(F.col(key))
     out = df.select(*sel, *extra)
     if key:
-        out = out.repartitionByRange(max(1, df.sparkSession.sparkContext.defaultParallelism), key) \
+        out = out.repartitionByRange(FIT_PARTITIONS, key) \
                  .sortWithinPartitions(key)
     return VectorAssembler(inputCols=[f"_x{i}" for i in range(len(cols))], outputCol="_v") \
         .transform(out).select("_v", "_y", *(["_w"] if weight else [])).persist()
@@ -111,7 +112,7 @@ def rf_per_class(df: DataFrame, cols: Sequence[str], mapping: DataFrame, label:
     for (cid, name), part in zip(classes, parts):
         if part is None:
             if global_top is None:
-                continue
+                global_top = rf_importance(df, cols, label, key, seed=seed)
             part = global_top.filter(F.col("rank") <= top).select(
                 F.lit(name).alias("scope_class"), "feature", "importance", "rank") \
                 .withColumn("fallback", F.lit(True))

@@ -17,13 +17,16 @@ from flowguard.operators.profile import exact_quantiles, to_long
 PARAMS_SCHEMA = "feature string, position int, median double, mean double, std double"
 
 
-def fit_preprocess(train: DataFrame, cols: Sequence[str]) -> DataFrame:
+def fit_preprocess(train: DataFrame, cols: Sequence[str], medians: DataFrame | None = None) -> DataFrame:
     """Median (exact) for imputation; mean and population std of the imputed
-    column for scaling.  The state is one row per feature."""
+    column for scaling.  The state is one row per feature.
+
+    ``medians (feature, median)`` of the table are taken where given: filling
+    missing values with a column's median leaves its median as it is."""
     cols = list(cols)
     spark = train.sparkSession
-    med = exact_quantiles(to_long(train, cols), ["feature"], [0.5]).select(
-        "feature", F.col("q").alias("median"))
+    med = medians.select("feature", "median") if medians is not None else exact_quantiles(
+        to_long(train, cols), ["feature"], [0.5]).select("feature", F.col("q").alias("median"))
     names = spark.createDataFrame([(c, i) for i, c in enumerate(cols)], "feature string, position int")
     med_rows = {r["feature"]: r["median"] for r in names.join(med, "feature", "left").collect()}
     filled = train.select(*[F.coalesce(F.col(q(c)), F.lit(med_rows[c])).alias(c)

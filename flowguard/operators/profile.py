@@ -13,9 +13,8 @@ from pyspark.sql import functions as F
 from flowguard.operators.clean import q
 from flowguard.session import small_table
 
-# Pairs of features computed with one ``corr`` aggregate up to this many columns;
-# wider tables go through MLlib's distributed Gramian (``Correlation.corr``).
-CORR_AGG_MAX_COLS = 10
+# ``corr`` aggregates of one pass: wider tables take several passes, all by the same rule.
+CORR_PAIRS_PER_PASS = 200
 # Rank error of the sketch that brackets an exact quantile is n / QUANTILE_ACCURACY.
 QUANTILE_ACCURACY = 100_000
 
@@ -74,12 +73,14 @@ def exact_quantiles(long_df: DataFrame, groups: Sequence[str], probs: Sequence[f
     b2, _ = small_table(b2)
     cand = long_df.join(b2, groups).filter(
         (F.col(value) >= F.col("_lo")) & (F.col(value) <= F.col("_hi")))
-    w = Window.partitionBy(*groups, "p").orderBy(value)
-    r = F.row_number().over(w) - 1 + F.col("_below")
-    ranked = cand.withColumn("_r", r).filter((F.col("_r") == F.col("_k1")) | (F.col("_r") == F.col("_k2")))
+    # ties are counted before ranking: a value that fills a third of the rows is one row here
+    tied = cand.groupBy(*groups, "p", value, "_k1", "_k2", "_frac", "_below").agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.partitionBy(*groups, "p").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    last = F.sum("_c").over(w) + F.col("_below")  # one past the rank of the value's last row
+    ranked = tied.withColumn("_last", last)
     agg = ranked.groupBy(*groups, "p").agg(
-        F.max(F.when(F.col("_r") == F.col("_k1"), F.col(value))).alias("_v1"),
-        F.max(F.when(F.col("_r") == F.col("_k2"), F.col(value))).alias("_v2"),
+        F.min(F.when(F.col("_last") > F.col("_k1"), F.col(value))).alias("_v1"),
+        F.min(F.when(F.col("_last") > F.col("_k2"), F.col(value))).alias("_v2"),
         F.first("_frac").alias("_frac"))
     return agg.select(*groups, "p", (F.col("_v1") + (F.col("_v2") - F.col("_v1")) * F.col("_frac"))
                       .alias("q"))
@@ -138,32 +139,27 @@ def corr_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     cols = list(cols)
     if len(cols) < 2:
         return spark.createDataFrame([], "feature_a string, feature_b string, pos_a int, pos_b int, r double")
-    if len(cols) > CORR_AGG_MAX_COLS:
-        return _corr_mllib(df, cols)
     st = {r["feature"]: (r["mn"], r["mx"]) for r in _stats_long(df, cols).collect()}
     const = {c for c, (a, b) in st.items() if a is None or a == b}
     pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
     live = [(i, j) for i, j in pairs if cols[i] not in const and cols[j] not in const]
     vals = {}
-    if live:
-        row = df.agg(*[F.corr(q(cols[i]), q(cols[j])).alias(f"r{i}_{j}") for i, j in live]).first()
-        vals = {(i, j): row[f"r{i}_{j}"] for i, j in live}
+    for at in range(0, len(live), CORR_PAIRS_PER_PASS):
+        part = live[at:at + CORR_PAIRS_PER_PASS]
+        row = df.agg(*[_safe_corr(cols[i], cols[j]).alias(f"r{i}_{j}") for i, j in part]).first()
+        vals |= {(i, j): row[f"r{i}_{j}"] for i, j in part}
     rows = [(cols[i], cols[j], i, j, float(vals[(i, j)]) if vals.get((i, j)) is not None
              else float("nan")) for i, j in pairs]
     return spark.createDataFrame(rows, "feature_a string, feature_b string, pos_a int, pos_b int, r double")
 
 
-def _corr_mllib(df: DataFrame, cols: list[str]) -> DataFrame:
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-    tmp = [f"_c{i}" for i in range(len(cols))]
-    vec = VectorAssembler(inputCols=tmp, outputCol="_v", handleInvalid="skip").transform(
-        df.select(*[F.col(q(c)).cast("double").alias(t) for c, t in zip(cols, tmp)]))
-    m = Correlation.corr(vec, "_v", "pearson").first()[0].toArray()
-    rows = [(cols[i], cols[j], i, j, float(m[i][j]))
-            for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    return df.sparkSession.createDataFrame(
-        rows, "feature_a string, feature_b string, pos_a int, pos_b int, r double")
+def _safe_corr(a: str, b: str):
+    """Pearson r over the rows that have both; NULL where one is constant in these rows."""
+    both = F.col(q(a)).isNotNull() & F.col(q(b)).isNotNull()
+    x, y = F.when(both, F.col(q(a)).cast("double")), F.when(both, F.col(q(b)).cast("double"))
+    varied = (F.min(x) != F.max(x)) & (F.min(y) != F.max(y))
+    n, sx, sy = F.count(x), F.stddev_pop(x), F.stddev_pop(y)
+    return F.when(varied & (n > 1), F.try_divide(F.covar_pop(x, y), sx * sy))
 
 
 def high_corr_pairs(pairs: DataFrame, threshold: float = 0.95) -> DataFrame:

@@ -79,6 +79,7 @@ FEATURE_MEANINGS = {
     "Total Length of Fwd Packets":
         "Total payload sent forward. Key discriminator for exfiltration vs. normal use.",
 }
+# Fixed value: meaning of a feature without a note.
 DEFAULT_MEANING = "Network flow characteristic."
 
 # Agreement of a feature with the published study.
@@ -99,6 +100,7 @@ LITERATURE_MATCH = {
     "Subflow Fwd Bytes": "CONSISTENT — sub-flow features validated in follow-up CICIDS work.",
     "Total Length of Fwd Packets": "CONSISTENT — strong discriminator in Sharafaldin et al. Table III.",
 }
+# Fixed value: agreement of a feature without an entry.
 DEFAULT_LITERATURE = "Not specifically cited in Sharafaldin et al."
 
 
@@ -119,7 +121,7 @@ def synthesis_classes(counts: DataFrame, per_class_top: DataFrame) -> DataFrame:
     top = annotate(per_class_top.withColumnRenamed("scope_class", "label"))
     return counts.join(top, "label", "left").select(
         F.col("label").alias("class"), "count", "pct", "rank", "feature", "importance",
-        "meaning", "literature").orderBy(F.desc("count"), "class", "rank")
+        "meaning", "literature", "fallback").orderBy(F.desc("count"), "class", "rank")
 
 
 def synthesis_features(global_top: DataFrame, removed: DataFrame, k: int = 10) -> DataFrame:

@@ -128,7 +128,7 @@ def _short_day_sql(e: str) -> str:
     f"CAST(count_if({O.strip_sql('\"Label\"')} = '{v}') AS BIGINT) AS {qi(v)}" for v in RAW_LABELS_STRIPPED)
     + " FROM flows_raw GROUP BY 1"))
 def clean_class_by_day(spark, sf):
-    return clean.class_by_day(flows_raw(spark, sf), RAW_LABELS_STRIPPED, DAY, LABEL)
+    return clean.class_by_day(flows_raw(spark, sf), DAY, LABEL)
 
 
 @register("clean_quality_summary", O.with_(O.FLOWS, f"""

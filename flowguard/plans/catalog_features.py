@@ -99,9 +99,9 @@ def profile_redundant(spark, sf):
     return Workflow(spark, sf).redundant
 
 
-_SMP = O.PREP + "," + O.stratified_sample_cte("smp", "train", 0.5, "sample")
+_SMP = O.PREP
 _FOI = [f for f in FEATURES_OF_INTEREST if f in FLOW_FEATURES]
-_SMP_LONG = (f"(UNPIVOT (SELECT label_id, {', '.join(qi(f) for f in _FOI)} FROM smp) "
+_SMP_LONG = (f"(UNPIVOT (SELECT label_id, {', '.join(qi(f) for f in _FOI)} FROM train) "
              f"ON {', '.join(qi(f) for f in _FOI)} INTO NAME feature VALUE value)")
 
 
@@ -109,7 +109,7 @@ _SMP_LONG = (f"(UNPIVOT (SELECT label_id, {', '.join(qi(f) for f in _FOI)} FROM
 SELECT label_id, feature, {rnd('avg(value)')} AS mean FROM {_SMP_LONG} GROUP BY 1, 2"""))
 def profile_class_means(spark, sf):
     w = Workflow(spark, sf)
-    return rounded(profile.class_means(w.sample50, FEATURES_OF_INTEREST))
+    return rounded(profile.class_means(w.train, FEATURES_OF_INTEREST))
 
 
 @register("profile_box_stats", O.with_(_SMP + f""",
@@ -123,7 +123,7 @@ SELECT label_id, feature, {rnd('q1')} AS q1, {rnd('median')} AS median, {rnd('q3
 FROM bl JOIN bq USING (label_id, feature) GROUP BY label_id, feature, q1, median, q3"""))
 def profile_box_stats(spark, sf):
     w = Workflow(spark, sf)
-    return rounded(profile.class_box_stats(w.sample50, FEATURES_OF_INTEREST))
+    return rounded(profile.class_box_stats(w.train, FEATURES_OF_INTEREST))
 
 
 @register("profile_funnel", O.with_(O.PREP, f"""
@@ -186,7 +186,7 @@ params AS (SELECT feature, median(value) AS median, fsum(value) / count(value) A
 SELECT feature, {rnd('median')} AS median, {rnd('mean')} AS mean, {rnd('std')} AS std FROM params"""))
 def preprocess_params(spark, sf):
     w = Workflow(spark, sf)
-    p = preprocess.fit_preprocess(w.train_filled, w.final_features)
+    p = preprocess.fit_preprocess(w.train_filled, w.final_features, w.medians)
     return rounded(p.select("feature", "median", "mean", "std"))
 
 
@@ -202,7 +202,7 @@ def preprocess_scaled(spark, sf):
     """Scaled train and test (fitted on train), as (split, row_key, feature, value)."""
     w = Workflow(spark, sf)
     feats = w.final_features
-    p = preprocess.fit_preprocess(w.train_filled, feats)
+    p = preprocess.fit_preprocess(w.train_filled, feats, w.medians)
     out = None
     for name, df in (("train", w.train_filled), ("test", w.test_filled)):
         s = preprocess.apply_preprocess(df, p, keep=[KEY])

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from flowguard.operators import encode, evaluate, imbalance, models, preprocess, report, sampling
 from flowguard.operators.smote import smote
+from flowguard.plans import oracle as O
 from flowguard.plans.catalog import register, rounded
 from flowguard.plans.fixtures import KEY, SEED
 from flowguard.plans.flows import Workflow
@@ -17,14 +18,20 @@ from flowguard.session import scratch_path
 
 def _scaled(w: Workflow):
     feats = w.final_features
-    params = preprocess.fit_preprocess(w.train_filled, feats)
+    params = preprocess.fit_preprocess(w.train_filled, feats, w.medians)
     tr = preprocess.apply_preprocess(w.train_filled, params, keep=[KEY, "label_id"])
     te = preprocess.apply_preprocess(w.test_filled, params, keep=[KEY, "label_id"])
     return feats, params, tr, te
 
 
-def _demo(tr: DataFrame) -> DataFrame:
-    return sampling.stratified_sample(tr, "label_id", 0.1, SEED, key=[KEY], salt="demo")
+#: Share of train that the compared trees are fitted on (the original compares on a tenth).
+FIT_FRAC = 0.1
+#: Share and row bound of the sample that the forests are fitted on.
+FOREST_FRAC, FOREST_ROWS = 0.2, 200_000
+
+
+def _demo(tr: DataFrame, fit_frac: float = FIT_FRAC) -> DataFrame:
+    return sampling.stratified_sample(tr, "label_id", fit_frac, SEED, key=[KEY], salt="demo")
 
 
 def _tree_report(w, model, feats, te) -> DataFrame:
@@ -82,7 +89,7 @@ def model_strategy_comparison(spark, sf):
 
 
 def _rf_preview(w: Workflow) -> DataFrame:
-    s20 = sampling.stratified_sample(w.train_filled, "label_id", 0.2, SEED, key=[KEY], salt="rf20")
+    s20 = sampling.stratified_sample(w.train_filled, "label_id", FOREST_FRAC, SEED, key=[KEY], salt="rf20")
     return models.rf_importance(s20, w.final_features, "label_id", KEY, trees=50, top=20, seed=SEED)
 
 
@@ -94,7 +101,7 @@ def model_rf_importance(spark, sf):
 
 def _global_sample(w: Workflow) -> tuple[list[str], DataFrame]:
     feats, _, tr, _ = _scaled(w)
-    return feats, sampling.capped_sample(tr, 0.2, 200_000, SEED, key=[KEY]).persist()
+    return feats, sampling.capped_sample(tr, FOREST_FRAC, FOREST_ROWS, SEED, key=[KEY]).persist()
 
 
 @register("model_rf_global")
@@ -134,22 +141,22 @@ def report_features(spark, sf):
     return rounded(report.synthesis_features(glob, removed, 10))
 
 
-@register("preprocess_roundtrip")
+@register("preprocess_roundtrip", O.with_(O.PREP, """
+SELECT count(*) AS rows, (SELECT count(*) FROM final_feat) AS cols, true AS equal FROM train_f"""))
 def preprocess_roundtrip(spark, sf):
-    """Save the fitted parameters, reload, transform 5 rows; shape and values must match."""
+    """Save the fitted parameters, reload, transform all of train; shape and values must match."""
     w = Workflow(spark, sf)
     feats, params, _, _ = _scaled(w)
     path = scratch_path(spark, "preprocess-params")
     preprocess.save_params(params, path)
     back = preprocess.load_params(spark, path)
-    five = w.train_filled.orderBy(KEY).limit(5)
-    a = preprocess.apply_preprocess(five, params, keep=[KEY])
-    b = preprocess.apply_preprocess(five, back, keep=[KEY])
+    a = preprocess.apply_preprocess(w.train_filled, params, keep=[KEY])
+    b = preprocess.apply_preprocess(w.train_filled, back, keep=[KEY])
     diff = a.join(b.select(KEY, *[F.col(f"`{c}`").alias("b_" + str(i)) for i, c in enumerate(feats)]), KEY)
     same = F.lit(True)
     for i, c in enumerate(feats):
-        same = same & (F.col(f"`{c}`") == F.col("b_" + str(i)))
-    return diff.agg(F.count(F.lit(1)).alias("rows"), F.lit(len(feats)).alias("cols"),
+        same = same & F.col(f"`{c}`").eqNullSafe(F.col("b_" + str(i)))
+    return diff.agg(F.count(F.lit(1)).alias("rows"), F.lit(len(feats)).cast("bigint").alias("cols"),
                     F.bool_and(same).alias("equal"))
 
 

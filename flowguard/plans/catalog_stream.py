@@ -30,7 +30,7 @@ def stream_score(spark, sf):
     from flowguard.operators import models, preprocess, sampling
     w = Workflow(spark, sf)
     feats = w.final_features
-    params = preprocess.fit_preprocess(w.train_filled, feats)
+    params = preprocess.fit_preprocess(w.train_filled, feats, w.medians)
     tr = preprocess.apply_preprocess(w.train_filled, params, keep=[KEY, "label_id"])
     demo = sampling.stratified_sample(tr, "label_id", 0.1, SEED, key=[KEY], salt="demo")
     model = models.fit_tree(demo, feats, "label_id", KEY, seed=SEED)

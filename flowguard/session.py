@@ -21,19 +21,27 @@ BROADCAST_MAX_ROWS = 200_000
 def get_spark(master: str | None = None, app: str = "flowguard",
               shuffle_partitions: int | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings the operators assume."""
-    master = master or os.environ.get("FLOWGUARD_MASTER", "local[8]")
+    running = SparkSession.getActiveSession()
+    if running is not None:  # its master and sizes are the submitter's
+        ensure_checkpoint_dir(running)
+        return running
+    builder = SparkSession.builder
+    if master or "PYSPARK_SUBMIT_ARGS" not in os.environ:
+        builder = builder.master(master or os.environ.get("FLOWGUARD_MASTER", "local[*]"))
     builder = (
-        SparkSession.builder.master(master).appName(app)
+        builder.appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
-        .config("spark.driver.memory", os.environ.get("FLOWGUARD_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if "FLOWGUARD_DRIVER_MEMORY" in os.environ:
+        builder = builder.config("spark.driver.memory", os.environ["FLOWGUARD_DRIVER_MEMORY"])
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -48,6 +56,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
+    if not conf_dir and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="flowguard-ckpt-", dir="/tmp")
     sc.setCheckpointDir(conf_dir)

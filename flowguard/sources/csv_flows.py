@@ -8,7 +8,9 @@ parallel CSV scan.  Missing or unreadable files are logged, not fatal.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,6 +80,11 @@ def read_flow_file(spark: SparkSession, path: str, encoding: str = UTF8,
     return df
 
 
+def _local(path: str) -> str:
+    """A path without scheme, authority and closing slash."""
+    return re.sub(r"^[a-z][a-z0-9+.-]*:(//[^/]*)?", "", path).rstrip("/")
+
+
 def load_flows(spark: SparkSession, paths: Sequence[str], tag: str = "Day",
                tag_values: Sequence[str] | None = None) -> tuple[DataFrame | None, DataFrame]:
     """Read every existing file (encoding fallback), tag rows with the file name,
@@ -90,13 +97,18 @@ def load_flows(spark: SparkSession, paths: Sequence[str], tag: str = "Day",
             log_rows.append((name, 0, "none", "FileNotFoundError"))
         else:
             present.append((p, name))
-    enc = {}
+    enc: dict[str, str] = {}
     if present:
-        enc = {r["file"]: r["encoding"] for r in detect_encoding(spark, [p for p, _ in present]).collect()}
+        known = {_local(p): p for p, _ in present}
+        for r in detect_encoding(spark, [p for p, _ in present]).collect():
+            at = _local(unquote(r["file"]))
+            while at and at not in known:  # part files belong to their folder
+                at = at.rpartition("/")[0]
+            if at and enc.get(known[at]) != LATIN1:
+                enc[known[at]] = r["encoding"]
     frames = []
     for p, name in present:
-        e = next((v for k, v in enc.items() if k.endswith(p.split(":", 1)[-1].lstrip("/"))
-                  or k == p), UTF8)
+        e = enc.get(p, UTF8)
         try:
             df = read_flow_file(spark, p, e).withColumn(tag, F.lit(name))
         except Exception as exc:  # noqa: BLE001 - the load log records any failure
