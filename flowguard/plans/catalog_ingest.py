@@ -3,11 +3,13 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import functions as F
 
 from flowguard.operators import clean
 from flowguard.plans import oracle as O
-from flowguard.plans.catalog import register
+from flowguard.plans.catalog import SQL, register, rounded
 from flowguard.plans.fixtures import DAY, flows_raw
 from flowguard.session import scratch_path
 from flowguard.sources import csv_flows, stage
@@ -18,11 +20,43 @@ def write_day_csvs(spark, sf):
     f = flows_raw(spark, sf)
     padded = f.select(*[F.col(clean.q(c)).alias(c if c == DAY else " " + c) for c in f.columns])
     out = scratch_path(spark, "flow-csv")
-    (padded.repartition(DAY).write.partitionBy(DAY).option("header", True)
+    (padded.hint("rebalance", DAY).write.partitionBy(DAY).option("header", True)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(out))
     return out
 
 
+def day_folders(spark, base):
+    """(folders, day names) of a table written by day."""
+    dirs = sorted({p.rsplit("/", 1)[0] for p in csv_flows.glob_files(spark, f"{base}/{DAY}=*/*.csv")})
+    return dirs, [unquote(d.rsplit("=", 1)[1]) for d in dirs]
+
+
+def write_faulty_csvs(spark, sf):
+    """Day CSVs as they come from different tools: even days in Latin-1, folder names with a
+    space, ``NA`` and ``inf`` tokens, a comment that is not ASCII on every seventh row."""
+    f = flows_raw(spark, sf)
+    rate, key = F.col("`Flow Bytes/s`"), F.col("row_key")
+    f = f.withColumn("Flow Bytes/s", F.when(rate.isNull(), "NA").when(rate == float("inf"), "inf").otherwise(rate.cast("string")))
+    f = f.withColumn("Comment", F.when(key % 7 == 0, "d\u00e9j\u00e0 vu").when(key % 7 == 1, "N/A").otherwise("ok"))
+    even = F.regexp_extract(DAY, r"(\d+)", 1).cast("int") % 2 == 0
+    bases = []
+    for name, charset, part in (("even days", "ISO-8859-1", f.filter(even)), ("odd days", "UTF-8", f.filter(~even))):
+        base = scratch_path(spark, "flow-csv") + "/" + name
+        (part.hint("rebalance", DAY).write.partitionBy(DAY).option("header", True).option("encoding", charset)
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(base))
+        bases.append(base)
+    return bases
+
+
+def load_faulty(spark, sf):
+    """(flows, load log) of the faulty day CSVs and one missing file."""
+    dirs, days = [], []
+    for base in write_faulty_csvs(spark, sf):
+        d, n = day_folders(spark, base)
+        dirs, days = dirs + d, days + n
+    return csv_flows.load_flows(spark, dirs + [dirs[0] + "-missing"], tag=DAY, tag_values=days + ["missing"])
+
+
 @register("ingest_load_log", O.with_(O.FLOWS, """
 SELECT "Day" AS file, count(*) AS rows, 'utf-8' AS encoding, CAST(NULL AS VARCHAR) AS error
 FROM flows_raw GROUP BY 1
@@ -30,10 +64,7 @@ UNION ALL SELECT 'Day0-missing.csv', 0, 'none', 'FileNotFoundError'"""))
 def ingest_load_log(spark, sf):
     """Per-file load log of the day CSVs, plus one expected file that is missing."""
     base = write_day_csvs(spark, sf)
-    dirs = sorted({p.rsplit("/", 1)[0] for p in csv_flows.glob_files(spark, f"{base}/{DAY}=*/*.csv")})
-    days = [d.rsplit("=", 1)[1] for d in dirs]
-    from urllib.parse import unquote
-    days = [unquote(d) for d in days]
+    dirs, days = day_folders(spark, base)
     _, log = csv_flows.load_flows(spark, dirs + [f"{base}/{DAY}=Day0-missing.csv"],
                                   tag=DAY, tag_values=days + ["Day0-missing.csv"])
     return log
@@ -41,11 +72,9 @@ def ingest_load_log(spark, sf):
 
 @register("ingest_merged", O.with_(O.FLOWS, "SELECT * FROM flows_raw"))
 def ingest_merged(spark, sf):
-    """Read back all day CSVs (per-file inference, stripped headers, Day tag), union by name."""
+    """Read back all day CSVs (inferred types, stripped headers, Day tag), union by name."""
     base = write_day_csvs(spark, sf)
-    dirs = sorted({p.rsplit("/", 1)[0] for p in csv_flows.glob_files(spark, f"{base}/{DAY}=*/*.csv")})
-    from urllib.parse import unquote
-    days = [unquote(d.rsplit("=", 1)[1]) for d in dirs]
+    dirs, days = day_folders(spark, base)
     flows, _ = csv_flows.load_flows(spark, dirs, tag=DAY, tag_values=days)
     cols = ["row_key", DAY, "Flow Duration", "Total Fwd Packets", "Flow Bytes/s",
             "Fwd Packet Length Max", "Bwd PSH Flags", "Destination Port", "Label"]
@@ -59,7 +88,55 @@ def ingest_merged(spark, sf):
                       F.col("`Destination Port`").cast("double"), "Label")
 
 
-@register("ingest_parquet_verified")
+_EVEN = """CAST(regexp_extract("Day", '(\\d+)', 1) AS INTEGER) % 2 = 0"""
+
+
+@register("ingest_faulty", O.with_(O.FLOWS, """
+SELECT row_key, "Day", "Flow Bytes/s", "Label",
+       CASE row_key % 7 WHEN 0 THEN 'd\u00e9j\u00e0 vu' WHEN 1 THEN NULL ELSE 'ok' END AS "Comment"
+FROM flows_raw"""))
+def ingest_faulty(spark, sf):
+    """Latin-1 and UTF-8 days, NA and inf tokens, folders with a space: every value comes back."""
+    flows, _ = load_faulty(spark, sf)
+    return flows.select("row_key", DAY, "`Flow Bytes/s`", "Label", "Comment")
+
+
+@register("ingest_faulty_log", O.with_(O.FLOWS, f"""
+SELECT "Day" AS file, count(*) AS rows, CASE WHEN {_EVEN} THEN 'latin-1' ELSE 'utf-8' END AS encoding,
+       CAST(NULL AS VARCHAR) AS error
+FROM flows_raw GROUP BY 1
+HAVING count_if(row_key % 7 = 0) > 0 OR NOT {_EVEN}
+UNION ALL SELECT "Day", count(*), 'utf-8', NULL FROM flows_raw GROUP BY 1
+HAVING count_if(row_key % 7 = 0) = 0 AND {_EVEN}
+UNION ALL SELECT 'missing', 0, 'none', 'FileNotFoundError'"""))
+def ingest_faulty_log(spark, sf):
+    """Load log of the faulty days: a day is Latin-1 where its bytes are no UTF-8."""
+    return load_faulty(spark, sf)[1]
+
+
+SQL["ingest_quality_summary"] = (
+    SQL["clean_quality_summary"]
+    .replace("CAST(0 AS BIGINT) AS encoding_issues", f"""
+       (SELECT count(*) FROM (SELECT "Day" FROM flows_raw WHERE {_EVEN} GROUP BY 1
+                              HAVING count_if(row_key % 7 = 0) > 0)) AS encoding_issues""")
+    .replace("CAST(9 AS BIGINT) AS columns", "CAST(10 AS BIGINT) AS columns"))
+
+
+@register("ingest_quality_summary")
+def ingest_quality_summary(spark, sf):
+    """Quality summary of the loaded files; encoding issues are the files that the log has as Latin-1."""
+    flows, log = load_faulty(spark, sf)
+    norm = clean.with_normalized_label(flows)
+    dd = clean.drop_duplicates(norm)
+    coerced = clean.coerce_numeric(dd)
+    return rounded(clean.quality_summary(
+        dd, clean.duplicate_stats(norm), clean.negative_counts(coerced),
+        clean.infinite_counts(clean.null_if_negative_cols(coerced)),
+        encoding_issues=log.filter(F.col("encoding") == csv_flows.LATIN1)))
+
+
+@register("ingest_parquet_verified", O.with_(O.FLOWS, """
+SELECT count(*) AS rows, CAST(9 AS INTEGER) AS cols, true AS ok FROM flows_raw"""))
 def ingest_parquet_verified(spark, sf):
     """Merged table written as Parquet (partitioned by day) and verified by re-reading."""
     path = scratch_path(spark, "merged")
@@ -96,7 +173,10 @@ def ingest_contract_violations(spark, sf):
     return contract_violations(flows_raw(spark, sf), contract)
 
 
-@register("ingest_stage_saved")
+@register("ingest_stage_saved", O.with_(O.SPLIT, """
+SELECT 'train' AS "table", (SELECT count(*) FROM train) AS rows, CAST(8 AS INTEGER) AS cols, true AS ok
+UNION ALL SELECT 'test', (SELECT count(*) FROM test), 8, true
+UNION ALL SELECT 'class_mapping', (SELECT count(*) FROM mapping), 2, true"""))
 def ingest_stage_saved(spark, sf):
     """Train/test/mapping saved as Parquet stage tables and verified by re-reading."""
     from flowguard.plans.flows import Workflow

@@ -1,23 +1,36 @@
-"""Flow CSV ingestion: encoding detection, per-file schema inference, header
-clean-up, source tagging, union by name and a load log.
+"""Flow CSV ingestion: encoding detection, header clean-up, missing-value tokens,
+type inference, source tagging, union by name and a load log.
 
-Files are read one by one only for the header and schema (as the original
-workflow infers a schema per file); the data of every file is read by Spark's
-parallel CSV scan.  Missing or unreadable files are logged, not fatal.
+One distributed pass finds every file's encoding and header.  Files of equal
+encoding and header are read by one scan, and the types of all columns come from
+one aggregate.  Missing, empty or unreadable files are logged, not fatal.
 """
 
 from __future__ import annotations
 
+import csv
 import re
 from collections.abc import Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from flowguard.operators.clean import q
+from flowguard.session import BROADCAST_MAX_ROWS
 
 UTF8, LATIN1 = "utf-8", "latin-1"
 _SPARK_CHARSET = {UTF8: "UTF-8", LATIN1: "ISO-8859-1"}
 
+# Texts that pandas reads as a missing value.
+NULL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+               "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+# Texts that pandas reads as a truth value.
+BOOLEAN_TOKENS = ("True", "TRUE", "true", "False", "FALSE", "false")
+_INTEGER = r"^\s*[+-]?[0-9]+\s*$"
+_NUMBER = r"(?i)^\s*[+-]?([0-9]+\.?[0-9]*(e[+-]?[0-9]+)?|\.[0-9]+(e[+-]?[0-9]+)?|inf|infinity)\s*$"
+
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """File-system check through Hadoop (works for any cluster file system)."""
@@ -35,16 +48,28 @@ def glob_files(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(s.getPath().toString() for s in st if s.isFile())
 
 
-def detect_encoding(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """(file, encoding): 'utf-8' if every line is valid UTF-8, else 'latin-1'.
+def probe_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(file, encoding, header): 'utf-8' if every line is valid UTF-8, else 'latin-1';
+    the bytes of the first line that is not blank.
 
-    Spark's text reader keeps the raw bytes, so validity is one distributed
-    aggregate per file (no file is decoded on the driver).
+    Spark's text reader keeps the raw bytes, so this is one distributed aggregate
+    (no file is read on the driver).  A file without such a line gives no row.
     """
-    t = spark.read.text(list(paths)).select(F.col("_metadata.file_path").alias("file"),
-                                            F.expr("is_valid_utf8(value)").alias("ok"))
-    return t.groupBy("file").agg(F.when(F.bool_and("ok"), F.lit(UTF8)).otherwise(F.lit(LATIN1))
-                                 .alias("encoding"))
+    t = (spark.read.text(list(paths))
+         .select(F.col("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("raw"),
+                 F.expr("is_valid_utf8(value)").alias("ok"), F.length(F.trim("value")).alias("n"),
+                 F.col("_metadata.file_block_start").alias("start"),
+                 F.monotonically_increasing_id().alias("id"))
+         .filter("n > 0"))
+    return t.groupBy("file").agg(
+        F.when(F.bool_and("ok"), F.lit(UTF8)).otherwise(F.lit(LATIN1)).alias("encoding"),
+        # lines of a split keep their order; the header is in the split at byte 0
+        F.min_by("raw", F.when(F.col("start") == 0, F.col("id"))).alias("header"))
+
+
+def detect_encoding(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(file, encoding) of every file below the paths."""
+    return probe_files(spark, paths).select("file", "encoding")
 
 
 def pandas_style_names(header: Sequence[str]) -> list[str]:
@@ -60,24 +85,54 @@ def pandas_style_names(header: Sequence[str]) -> list[str]:
     return out
 
 
-def read_flow_file(spark: SparkSession, path: str, encoding: str = UTF8,
-                   infer_schema: bool = True) -> DataFrame:
-    """One CSV with header: schema inferred for this file, names cleaned."""
-    cs = _SPARK_CHARSET[encoding]
-    head = spark.read.option("header", False).option("encoding", cs).csv(path).first()
-    names = pandas_style_names(list(head) if head is not None else [])
-    df = (spark.read.option("header", True).option("encoding", cs)
-          .option("inferSchema", infer_schema)
+def read_texts(spark: SparkSession, paths: Sequence[str], names: Sequence[str], encoding: str,
+               tags: dict[str, str], tag: str) -> DataFrame:
+    """One scan of files with equal header and encoding: every column as text, plus the tag.
+
+    ``tags``: file as Spark names it -> tag value (one entry per file).
+    """
+    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))])
+    df = (spark.read.schema(schema).option("header", True).option("encoding", _SPARK_CHARSET[encoding])
           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-          .option("nanValue", "NaN").option("positiveInf", "Infinity").option("negativeInf", "-Infinity")
-          .csv(path))
-    df = df.toDF(*names)
-    # NaN read from text is a missing value
-    for f in df.schema.fields:
-        if f.dataType.simpleString() in ("double", "float"):
-            df = df.withColumn(f.name, F.when(F.isnan(F.col(f"`{f.name}`")), None)
-                               .otherwise(F.col(f"`{f.name}`")))
-    return df
+          .csv(list(paths)))
+    cols = [F.col(f"_c{i}").alias(n) for i, n in enumerate(names)]
+    values = set(tags.values())
+    if len(values) == 1:
+        return df.select(*cols, F.lit(values.pop()).alias(tag))
+    files = spark.createDataFrame(list(tags.items()), "_file string, _tag string")
+    if len(tags) <= BROADCAST_MAX_ROWS:
+        files = F.broadcast(files)
+    return (df.withColumn("_path", F.col("_metadata.file_path")).join(files, F.col("_path") == F.col("_file"))
+            .select(*cols, F.col("_tag").alias(tag)))
+
+
+def infer_types(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Missing-value tokens to NULL, then the narrowest of bigint, double, boolean and string
+    that holds every value of a column; columns of ``keep`` stay as they are.
+
+    A column without any value is DOUBLE.  Whole numbers with missing values stay BIGINT.
+    One aggregate over all columns.
+    """
+    todo = [c for c in df.columns if c not in keep]
+    df = df.select(*[F.when(~F.col(q(c)).isin(*NULL_TOKENS), F.col(q(c))).alias(c) if c in todo else F.col(q(c))
+                     for c in df.columns])
+    if not todo:
+        return df
+
+    def fits(c: str) -> list[Column]:
+        v = F.col(q(c))
+        whole = v.rlike(_INTEGER) & F.expr(f"try_cast({q(c)} as bigint)").isNotNull()
+        return [F.bool_and(F.when(v.isNotNull(), whole)),
+                F.bool_and(v.rlike(_NUMBER)), F.bool_and(v.isin(*BOOLEAN_TOKENS))]
+
+    found = df.agg(*[e.alias(f"{kind}{i}") for i, c in enumerate(todo) for kind, e in zip("ndb", fits(c))]).first()
+    kinds = {}
+    for i, c in enumerate(todo):
+        whole, number, truth = (found[f"{k}{i}"] for k in "ndb")
+        kinds[c] = ("double" if number is None else "bigint" if whole else "double" if number
+                    else "boolean" if truth else "string")
+    return df.select(*[F.expr(f"try_cast({q(c)} as {kinds[c]})").alias(c) if c in kinds else F.col(q(c))
+                       for c in df.columns])
 
 
 def _local(path: str) -> str:
@@ -85,43 +140,65 @@ def _local(path: str) -> str:
     return re.sub(r"^[a-z][a-z0-9+.-]*:(//[^/]*)?", "", path).rstrip("/")
 
 
+def _probe(spark: SparkSession, paths: list[str]) -> tuple[list[Row], dict[str, str]]:
+    """Rows of ``probe_files`` and the error of each path that cannot be read (found by halving)."""
+    if not paths:
+        return [], {}
+    try:
+        return probe_files(spark, paths).collect(), {}  # one row per file
+    except Exception as exc:  # noqa: BLE001 - the load log records any failure
+        if len(paths) == 1:
+            return [], {paths[0]: str(exc)[:200]}
+        rows, errors = _probe(spark, paths[:len(paths) // 2])
+        more, other = _probe(spark, paths[len(paths) // 2:])
+        return rows + more, errors | other
+
+
 def load_flows(spark: SparkSession, paths: Sequence[str], tag: str = "Day",
-               tag_values: Sequence[str] | None = None) -> tuple[DataFrame | None, DataFrame]:
-    """Read every existing file (encoding fallback), tag rows with the file name,
-    union by name.  Returns (flows or None, load log (file, rows, encoding, error))."""
+               tag_values: Sequence[str] | None = None,
+               infer_schema: bool = True) -> tuple[DataFrame | None, DataFrame]:
+    """Read every existing file or folder (encoding fallback), tag rows with its name,
+    union by name.  Returns (flows or None, load log (file, rows, encoding, error)).
+
+    A folder with one file that is not UTF-8 is read as Latin-1 as a whole.
+    """
+    named = [(p, tag_values[i] if tag_values else p.rstrip("/").split("/")[-1]) for i, p in enumerate(paths)]
+    present = [(p, name) for p, name in named if path_exists(spark, p)]
+    rows, errors = _probe(spark, [p for p, _ in present])
+    known = {_local(p): p for p, _ in present}
+    files: dict[str, list[Row]] = {p: [] for p, _ in present}
+    for r in rows:
+        at = _local(unquote(r["file"]))
+        while at and at not in known:  # part files belong to their folder
+            at = at.rpartition("/")[0]
+        if at:
+            files[known[at]].append(r)
     log_rows = []
-    present = []
-    for i, p in enumerate(paths):
-        name = tag_values[i] if tag_values else p.rstrip("/").split("/")[-1]
-        if not path_exists(spark, p):
+    groups: dict[tuple, tuple[list[str], dict[str, str]]] = {}
+    for p, name in named:
+        if p not in files:
             log_rows.append((name, 0, "none", "FileNotFoundError"))
+        elif not files[p]:
+            log_rows.append((name, 0, "none", errors.get(p, "EmptyDataError")))
         else:
-            present.append((p, name))
-    enc: dict[str, str] = {}
-    if present:
-        known = {_local(p): p for p, _ in present}
-        for r in detect_encoding(spark, [p for p, _ in present]).collect():
-            at = _local(unquote(r["file"]))
-            while at and at not in known:  # part files belong to their folder
-                at = at.rpartition("/")[0]
-            if at and enc.get(known[at]) != LATIN1:
-                enc[known[at]] = r["encoding"]
-    frames = []
-    for p, name in present:
-        e = enc.get(p, UTF8)
-        try:
-            df = read_flow_file(spark, p, e).withColumn(tag, F.lit(name))
-        except Exception as exc:  # noqa: BLE001 - the load log records any failure
-            log_rows.append((name, 0, "none", str(exc)[:200]))
-            continue
-        frames.append(df)
-        log_rows.append((name, None, e, None))
+            e = UTF8 if all(r["encoding"] == UTF8 for r in files[p]) else LATIN1
+            headers = {bytes(r["header"]) for r in files[p]}
+            for r in files[p]:
+                text = bytes(r["header"]).decode("utf-8-sig" if e == UTF8 else e)
+                where, tags = groups.setdefault((e, tuple(pandas_style_names(next(csv.reader([text]))))), ([], {}))
+                where.append(p if len(headers) == 1 else unquote(r["file"]))
+                tags[r["file"]] = name
+            log_rows.append((name, None, e, None))
     flows = None
-    for df in frames:
+    for (e, names), (where, tags) in groups.items():
+        df = read_texts(spark, list(dict.fromkeys(where)), names, e, tags, tag)
         flows = df if flows is None else flows.unionByName(df, allowMissingColumns=True)
     log = spark.createDataFrame(log_rows, "file string, rows bigint, encoding string, error string")
-    if flows is not None:
-        counts = flows.groupBy(F.col(tag).alias("file")).agg(F.count(F.lit(1)).alias("_n"))
-        log = log.join(counts, "file", "left").select(
-            "file", F.coalesce("rows", "_n", F.lit(0)).cast("bigint").alias("rows"), "encoding", "error")
-    return flows, log
+    if flows is None:
+        return None, log.withColumn("rows", F.coalesce("rows", F.lit(0).cast("bigint")))
+    last = [c for c in flows.columns if c != tag] + [tag]
+    flows = flows.select(*[F.col(q(c)) for c in last])
+    counts = flows.groupBy(F.col(q(tag)).alias("file")).agg(F.count(F.lit(1)).alias("_n"))
+    log = log.join(counts, "file", "left").select(
+        "file", F.coalesce("rows", "_n", F.lit(0)).cast("bigint").alias("rows"), "encoding", "error")
+    return (infer_types(flows, keep=[tag]) if infer_schema else flows), log

@@ -2,21 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
 def write_verified(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write Parquet, read it back, compare rows and schema: (path, rows, cols, ok)."""
+    """Write Parquet, read it back, compare rows, names and types: (path, rows, cols, ok).
+
+    Rows are counted while they are written, so the source is computed once.  Partition
+    columns carry no type in Parquet; they are read back with the source's types.
+    """
     spark = df.sparkSession
-    w = df.write.mode("overwrite")
+    seen = Observation()
+    w = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    back = spark.read.parquet(path)
-    n_src, n_back = df.count(), back.count()
-    same_cols = sorted(back.columns) == sorted(df.columns)
-    return spark.createDataFrame([(path, n_back, len(back.columns), n_src == n_back and same_cols)],
+    own = {f.name: f.dataType for f in spark.read.parquet(path).schema if f.name not in (partition_by or ())}
+    want = {f.name: f.dataType for f in df.schema if f.name not in (partition_by or ())}
+    back = spark.read.schema(df.schema).parquet(path)
+    n_back = back.count()
+    ok = seen.get["rows"] == n_back and own == want and sorted(back.columns) == sorted(df.columns)
+    return spark.createDataFrame([(path, n_back, len(back.columns), ok)],
                                  "path string, rows bigint, cols int, ok boolean")
 
 

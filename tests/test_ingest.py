@@ -23,3 +23,39 @@ def test_csv_micro(spark, tmpdir_path):
     assert rows[2]["Fwd Header Length"] is None          # NaN text -> missing
     assert rows[3]["Fwd Header Length"] is None and rows[3]["Day"] == "Tuesday.csv"
     assert rows[3]["Label"] == "Web Attack \u0096 Brute Force"
+
+
+def test_folders_spaces_and_tokens(spark, tmpdir_path):
+    day = os.path.join(tmpdir_path, "my day.csv")
+    folder = os.path.join(tmpdir_path, "latin folder")
+    empty = os.path.join(tmpdir_path, "empty.csv")
+    os.mkdir(folder)
+    with open(day, "wb") as f:
+        f.write(b"a,b,c,t\n1,NA,true,caf\xe9\ninf,2,,x\n")
+    with open(os.path.join(folder, "part-0.csv"), "wb") as f:
+        f.write(b"b,t\n7,plain\n")
+    with open(os.path.join(folder, "part-1.csv"), "wb") as f:
+        f.write(b"b,t\n8,\xfcber\n")
+    open(empty, "w").close()
+    flows, log = csv_flows.load_flows(spark, [day, folder, empty])
+    assert {tuple(r) for r in log.collect()} == {
+        ("my day.csv", 2, "latin-1", None), ("latin folder", 2, "latin-1", None), ("empty.csv", 0, "none", "EmptyDataError")}
+    assert dict(flows.dtypes) == {"a": "double", "b": "bigint", "c": "boolean", "t": "string", "Day": "string"}
+    assert {tuple(r) for r in flows.collect()} == {
+        (1.0, None, True, "café", "my day.csv"), (float("inf"), 2, None, "x", "my day.csv"),
+        (None, 7, None, "plain", "latin folder"), (None, 8, None, "über", "latin folder")}
+
+
+def test_only_missing_files(spark, tmpdir_path):
+    flows, log = csv_flows.load_flows(spark, [os.path.join(tmpdir_path, "none.csv")])
+    assert flows is None and [tuple(r) for r in log.collect()] == [("none.csv", 0, "none", "FileNotFoundError")]
+
+
+def test_verified_write_keeps_partition_types(spark, tmpdir_path):
+    from flowguard.sources import stage
+    df = spark.createDataFrame([("001", 1), ("002", 2)], "Day string, n int")
+    path = os.path.join(tmpdir_path, "t")
+    assert tuple(stage.write_verified(df, path, ["Day"]).first())[1:] == (2, 2, True)
+    import pytest
+    with pytest.raises(FileNotFoundError, match="train"):
+        stage.read_stage(spark, os.path.join(tmpdir_path, "gone"), "train")
