@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowguard.operators.clean import q
+from flowguard.session import bounded_rows
 
 MAX_DEPTH = 30  # MLlib's limit; stands for "unlimited"
 FIT_PARTITIONS = 32  # of the training rows: trees must not depend on the cluster's size
@@ -93,8 +94,8 @@ def rf_per_class(df: DataFrame, cols: Sequence[str], mapping: DataFrame, label:
     global top features (flag ``fallback``).  Fits run as concurrent jobs."""
     spark = df.sparkSession
     data = df.persist()
-    pos = {r[label]: r["n"] for r in data.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
-    classes = [(r["label_id"], r["label"]) for r in mapping.collect()]  # bounded by #classes
+    pos = {r[label]: r["n"] for r in bounded_rows(data.groupBy(label).agg(F.count(F.lit(1)).alias("n")))}
+    classes = [(r["label_id"], r["label"]) for r in bounded_rows(mapping)]
 
     def one(item):
         cid, name = item

@@ -24,13 +24,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowguard.functions.hashing import hash_bucket, hash_long, order_hash
-from flowguard.session import small_table
+from flowguard.session import bounded_rows, small_table
 
 _H, _B, _G = "_fg_h", "_fg_b", "_fg_g"
 
 
 def _keyed(df: DataFrame, group: str | None, seed: int, salt: str,
            key: Sequence[str]) -> DataFrame:
+    if not key:
+        raise ValueError("key: the columns that tell rows apart are needed, or all rows share one hash")
     g = F.col(group) if group else F.lit(0)
     h = order_hash(seed, salt, key)
     return df.withColumn(_G, g).withColumn(_H, h).withColumn(_B, hash_bucket(F.col(_H)))
@@ -78,7 +80,7 @@ def first_in_hash_order(df: DataFrame, group: str | None, quota,
         hq = hist.withColumn("quota", F.lit(quota).cast("bigint"))
     else:
         qt = quota.select(F.col(group).alias(_G), F.col("quota"))
-        hq = hist.join(F.broadcast(qt), _G)
+        hq = hist.join(qt, _G)  # both sides are small: the planner decides by size
     # boundary bucket: before < quota <= before + n
     bnd = (hq.filter((F.col("_before") < F.col("quota"))
                      & (F.col("quota") <= F.col("_before") + F.col("_n")))
@@ -109,16 +111,24 @@ def hash_row_number(df: DataFrame, group: str | None, seed: int = 42, salt: str
             .drop(_G, _H, _B, "_before"))
 
 
-def class_counts_table(df: DataFrame, label: str) -> DataFrame:
-    return df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+def class_counts_table(df: DataFrame, label: str, least: int = 1) -> DataFrame:
+    """(class, n), counted once; an error for rows without a class or a class below ``least`` rows."""
+    counts, _ = small_table(df.groupBy(label).agg(F.count(F.lit(1)).alias("n")))
+    bad = counts.filter(F.col(label).isNull() | (F.col("n") < least)).orderBy(label).first()
+    if bad is not None:
+        raise ValueError(f"{label}: {bad['n']} rows without a class" if bad[label] is None else
+                         f"{label}: class {bad[label]} has {bad['n']} rows, {least} are needed")
+    return counts
 
 
 def stratified_split(df: DataFrame, label: str, test_frac: float = 0.2, seed: int = 42,
                      key: Sequence[str] = (), salt: str = "split",
                      out: str = "split") -> DataFrame:
     """Exact stratified train/test split: n_test = ceil(frac*n), class quotas by
-    largest remainder on the train size, test = first rows in hash order."""
-    counts = class_counts_table(df, label)
+    largest remainder on the train size, test = first rows in hash order.
+
+    A class of one row cannot be split and rows without a class have none: both are errors."""
+    counts = class_counts_table(df, label, least=2)
     total = F.col("_total")
     q = largest_remainder(counts, label, "n",
                           total - F.ceil(F.lit(float(test_frac)) * total))
@@ -187,9 +197,7 @@ def oversample(df: DataFrame, label: str, seed: int = 42, key: Sequence[str] = (
     label_type = df.schema[label].dataType.simpleString()
     counts = class_counts_table(df, label)
     counts = counts.withColumn("_d", F.max("n").over(Window.partitionBy()) - F.col("n"))
-    counts, n_classes = small_table(counts)
-    # the class table is bounded by the number of classes (checked above)
-    rows = sorted((r[label], r["n"], r["_d"]) for r in counts.collect() if r["_d"] > 0)
+    rows = sorted((r[label], r["n"], r["_d"]) for r in bounded_rows(counts) if r["_d"] > 0)
     base = df.withColumn(copy_col, F.lit(0).cast("bigint"))
     if not rows:
         return base

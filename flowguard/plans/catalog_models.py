@@ -4,7 +4,9 @@ learners differ from any SQL engine, so no oracle SQL."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowguard.operators import encode, evaluate, imbalance, models, preprocess, report, sampling
@@ -14,6 +16,9 @@ from flowguard.plans.catalog import register, rounded
 from flowguard.plans.fixtures import KEY, SEED
 from flowguard.plans.flows import Workflow
 from flowguard.session import scratch_path
+from flowguard.sources.contract import contract_of, contract_violations, load_contract, save_contract
+from flowguard.sources.csv_flows import path_exists
+from flowguard.sources.stage import read_stage
 
 
 def _scaled(w: Workflow):
@@ -160,18 +165,97 @@ def preprocess_roundtrip(spark, sf):
                     F.bool_and(same).alias("equal"))
 
 
+@dataclass
+class Artifacts:
+    """What scoring needs, as saved by ``save_artifacts``."""
+    features: list[str]
+    params: DataFrame
+    contract: DataFrame
+    mapping: DataFrame
+    medians: dict[str, float]
+    model: object
+
+
+def save_artifacts(w: Workflow) -> str:
+    """Fit on train (a tree on ``FIT_FRAC`` of it) and save parameters, contract, mapping, medians
+    and model below a fresh folder; returns it."""
+    feats, params, tr, _ = _scaled(w)
+    base = scratch_path(w.spark, "artifacts")
+    preprocess.save_params(params, f"{base}/params")
+    save_contract(contract_of(w.train_filled.select(*[F.col(f"`{c}`") for c in feats])), f"{base}/contract")
+    w.mapping.write.parquet(f"{base}/class_mapping")
+    w.medians.write.parquet(f"{base}/medians")
+    models.save_model(models.fit_tree(_demo(tr), feats, "label_id", KEY, seed=SEED), f"{base}/model")
+    return base
+
+
+def load_artifacts(spark, base: str) -> Artifacts:
+    """Read saved artifacts; a missing one is an error that names it."""
+    for name in ("params", "contract", "class_mapping", "medians"):
+        read_stage(spark, f"{base}/{name}", name)
+    if not path_exists(spark, f"{base}/model"):
+        raise FileNotFoundError(f"MISSING: model ({base}/model); rerun the stage that writes it")
+    contract = load_contract(spark, f"{base}/contract")
+    medians = read_stage(spark, f"{base}/medians", "medians")
+    return Artifacts([r["feature"] for r in contract.orderBy("position").collect()],
+                     preprocess.load_params(spark, f"{base}/params"), contract,
+                     read_stage(spark, f"{base}/class_mapping", "class_mapping"),
+                     {r["feature"]: r["median"] for r in medians.collect() if r["median"] is not None},
+                     models.load_model(f"{base}/model"))
+
+
 @register("score_batch")
 def score_batch(spark, sf):
-    """Production path: contract check -> preprocess -> tree -> class name (test split)."""
-    from flowguard.sources.contract import contract_of, contract_violations
+    """Production path from saved artifacts: contract check -> preprocess -> tree -> class name (test split)."""
     w = Workflow(spark, sf)
-    feats, params, tr, _ = _scaled(w)
-    contract = contract_of(w.train_filled.select(*[F.col(f"`{c}`") for c in feats]))
-    bad = contract_violations(w.test_filled, contract).filter(~F.col("ok")).count()
+    a = load_artifacts(spark, save_artifacts(w))
+    bad = contract_violations(w.test_filled, a.contract).filter(~F.col("ok")).count()
     if bad:
         raise ValueError(f"{bad} contract violations")
-    model = models.fit_tree(_demo(tr), feats, "label_id", KEY, seed=SEED)
-    te = preprocess.apply_preprocess(w.test_filled, params, keep=[KEY, "label_id"])
-    pred = models.predict(model, te, feats, keep=[KEY, "label_id"])
-    m = w.mapping.select(F.col("label_id").alias("prediction"), F.col("label").alias("predicted_class"))
+    te = preprocess.apply_preprocess(w.test_filled, a.params, keep=[KEY, "label_id"])
+    pred = models.predict(a.model, te, a.features, keep=[KEY, "label_id"])
+    m = a.mapping.select(F.col("label_id").alias("prediction"), F.col("label").alias("predicted_class"))
     return pred.join(F.broadcast(m), "prediction", "left")
+
+
+@register("score_batch_checks", O.with_(O.SPLIT, """
+SELECT t.label_id, count(*) AS rows, count(DISTINCT t.row_key) AS keys, CAST(0 AS BIGINT) AS unknown_classes
+FROM test t GROUP BY 1"""))
+def score_batch_checks(spark, sf):
+    """Per true class: every test row is scored once, with a known class."""
+    return score_batch(spark, sf).groupBy("label_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct(KEY).alias("keys"),
+        F.count_if(F.col("predicted_class").isNull()).alias("unknown_classes"))
+
+
+@register("model_report_checks", O.with_(O.SPLIT, """
+SELECT s.strategy, m.label AS "class", count(*) AS support
+FROM test t JOIN mapping m USING (label_id) CROSS JOIN (VALUES ('weights'), ('under'), ('smote')) s(strategy) GROUP BY 1, 2
+UNION ALL
+SELECT s.strategy, a.name, (SELECT count(*) FROM test)
+FROM (VALUES ('weights'), ('under'), ('smote')) s(strategy)
+CROSS JOIN (VALUES ('accuracy'), ('macro avg'), ('weighted avg')) a(name)"""))
+def model_report_checks(spark, sf):
+    """Reports of the three trees: every class of the test rows with its number of rows, and the summary rows."""
+    w = Workflow(spark, sf)
+    reps = [f(w).filter("support > 0").select(F.lit(name).alias("strategy"), "class", "support")
+            for name, f in (("weights", _weighted_report), ("under", _under_report), ("smote", _smote_report))]
+    return reps[0].unionByName(reps[1]).unionByName(reps[2])
+
+
+@register("model_importance_checks", O.with_(O.PREP, """
+SELECT scope, (SELECT count(*) FROM final_feat) AS features, (SELECT count(*) FROM final_feat) AS ranks,
+       CAST(1.0 AS DOUBLE) AS total, true AS in_order
+FROM (SELECT 'preview' AS scope UNION ALL SELECT 'global')"""))
+def model_importance_checks(spark, sf):
+    """Importances of the two forests: one per feature, sum 1, ranked by falling importance."""
+    w = Workflow(spark, sf)
+    feats, smp = _global_sample(w)
+    glob = models.rf_importance(smp, feats, "label_id", KEY, trees=50, max_depth=12, top=len(feats), seed=SEED)
+    both = (_rf_preview(w).withColumn("scope", F.lit("preview"))
+            .unionByName(glob.withColumn("scope", F.lit("global"))))
+    before = F.lag("importance").over(Window.partitionBy("scope").orderBy("rank"))
+    both = both.withColumn("falls", F.coalesce(before >= F.col("importance"), F.lit(True)))
+    return rounded(both.groupBy("scope").agg(
+        F.count_distinct("feature").alias("features"), F.max("rank").cast("bigint").alias("ranks"),
+        F.sum("importance").alias("total"), F.bool_and("falls").alias("in_order")))

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from flowguard.plans import oracle as O
 from flowguard.plans.catalog import SQL, register
-from flowguard.plans.fixtures import KEY, LABEL, SEED, flows_from_events
+from flowguard.plans.catalog_models import load_artifacts, save_artifacts
+from flowguard.plans.fixtures import KEY, LABEL, flows_from_events
 from flowguard.plans.flows import Workflow
 from flowguard.streaming import score as S
 
@@ -26,15 +27,22 @@ SQL["stream_unknown_labels"] = SQL["encode_unknown_labels"]  # same answer as th
 
 @register("stream_score")
 def stream_score(spark, sf):
-    """Stream of flows -> validated, imputed, scaled, predicted class and alert flag."""
-    from flowguard.operators import models, preprocess, sampling
-    w = Workflow(spark, sf)
-    feats = w.final_features
-    params = preprocess.fit_preprocess(w.train_filled, feats, w.medians)
-    tr = preprocess.apply_preprocess(w.train_filled, params, keep=[KEY, "label_id"])
-    demo = sampling.stratified_sample(tr, "label_id", 0.1, SEED, key=[KEY], salt="demo")
-    model = models.fit_tree(demo, feats, "label_id", KEY, seed=SEED)
-    meds = {r["feature"]: r["median"] for r in w.medians.collect() if r["median"] is not None}
+    """Stream of flows, scored from saved artifacts: validated, contract checked, imputed,
+    scaled, predicted class and alert flag."""
+    a = load_artifacts(spark, save_artifacts(Workflow(spark, sf)))
     flows = flows_from_events(S.event_stream(spark, sf))
-    scored = S.score(flows, meds, params, model, feats, w.mapping, keep=[KEY])
+    scored = S.score(flows, a.medians, a.params, a.model, a.features, a.mapping, keep=[KEY], contract=a.contract)
     return spark.read.parquet(S.run_to_parquet(scored, "score"))
+
+
+@register("stream_score_checks", O.with_(O.FLOWS, """
+SELECT count(*) AS rows, count(DISTINCT row_key) AS keys, CAST(0 AS BIGINT) AS unknown_classes,
+       CAST(0 AS BIGINT) AS wrong_alerts
+FROM flows_raw"""))
+def stream_score_checks(spark, sf):
+    """Every row of the stream is scored once, with a known class and the alert that follows from it."""
+    got = stream_score(spark, sf)
+    alert = (F.lower("predicted_class") != "benign").cast("int")
+    return got.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(KEY).alias("keys"),
+                   F.count_if(F.col("predicted_class").isNull()).alias("unknown_classes"),
+                   F.count_if(~F.col("alert").eqNullSafe(alert)).alias("wrong_alerts"))

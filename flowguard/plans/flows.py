@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from flowguard.operators import clean, encode, profile, sampling
 from flowguard.plans.fixtures import DAY, KEY, LABEL, SEED, flows_raw
-from flowguard.session import materialize
+from flowguard.session import bounded_rows, materialize
 
 
 def normalized(spark: SparkSession, sf: str) -> DataFrame:
@@ -88,7 +88,11 @@ class Workflow:
 
     @property
     def mapping(self) -> DataFrame:
-        return self._get("mapping", lambda: materialize(mapping(self.spark, self.sf)))
+        def build():
+            m = materialize(mapping(self.spark, self.sf))
+            bounded_rows(m)  # everything of one row per class stays within this
+            return m
+        return self._get("mapping", build)
 
     @property
     def split(self) -> DataFrame:

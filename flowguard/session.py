@@ -11,11 +11,13 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 # Largest number of rows a derived "small" table may have to be broadcast.
 BROADCAST_MAX_ROWS = 200_000
+# Largest number of classes that a label may have; tables of one row per class are broadcast.
+MAX_CLASSES = 10_000
 
 
 def get_spark(master: str | None = None, app: str = "flowguard",
@@ -76,6 +78,14 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def bounded_rows(df: DataFrame, limit: int = MAX_CLASSES, what: str = "classes") -> list[Row]:
+    """The rows of a table of one row per class, file or feature; an error beyond ``limit``."""
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} {what}: this table must stay small")
+    return rows
+
+
 def small_table(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, int]:
     """Checkpoint a derived table and broadcast it only if its size is proven small.
 

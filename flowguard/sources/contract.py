@@ -28,6 +28,15 @@ def load_contract(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CONTRACT_SCHEMA).parquet(path)
 
 
+def check_schema(df: DataFrame, contract: DataFrame) -> None:
+    """Raise unless the table has every contract feature with its type (no data is read)."""
+    have = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    bad = [f"{r['feature']}: {r['dtype']} wanted, {have.get(r['feature'], 'missing')}"
+           for r in contract.collect() if have.get(r["feature"]) != r["dtype"]]  # one row per feature
+    if bad:
+        raise ValueError("contract violations: " + "; ".join(sorted(bad)))
+
+
 def contract_violations(df: DataFrame, contract: DataFrame) -> DataFrame:
     """(feature, position, expected, actual, rows_failing_cast, status, ok) for every
     contract or data column; status is ok / extra / missing / bad_values."""

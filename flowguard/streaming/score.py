@@ -14,16 +14,19 @@ from pyspark.sql import functions as F
 from flowguard.functions.labels import strip_ws
 from flowguard.operators import clean, models, preprocess
 from flowguard.session import scratch_path
+from flowguard.sources.contract import check_schema
 
 EVENTS_SCHEMA = ("event_id bigint, ts timestamp, user_id bigint, event_type string, "
                  "value double, props string")
 
 
-def event_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """The ``events`` table read as a file stream with an explicit schema."""
-    return (spark.readStream.schema(EVENTS_SCHEMA)
-            .option("maxFilesPerTrigger", max_files_per_trigger)
-            .parquet(f"{sf_dir.rstrip('/')}/events*.parquet"))
+def event_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The ``events`` table read as a file stream with an explicit schema (all new files
+    of a trigger in one batch, unless bounded)."""
+    reader = spark.readStream.schema(EVENTS_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{{events}}.parquet")  # a pattern of exactly this name
 
 
 def run_to_parquet(df: DataFrame, name: str) -> str:
@@ -47,9 +50,15 @@ def flag_unknown(flows: DataFrame, mapping: DataFrame, label: str = "Label") ->
 
 
 def score(flows: DataFrame, medians: dict, params: DataFrame, model, features: list[str],
-          mapping: DataFrame, keep: list[str], benign: str = "benign") -> DataFrame:
-    """validate -> fill train medians -> scale -> predict -> class name + binary alert."""
+          mapping: DataFrame, keep: list[str], benign: str = "benign",
+          contract: DataFrame | None = None) -> DataFrame:
+    """validate -> contract check -> fill train medians -> scale -> predict -> class name + binary alert.
+
+    A stream that lacks a feature of the contract, or has it with another type, is
+    refused before it starts; values that cannot be read are missing values."""
     v = clean.validate(flows)
+    if contract is not None:
+        check_schema(v, contract)
     v = v.select(*[F.coalesce(F.col(clean.q(c)), F.lit(medians[c])).alias(c)
                    if c in medians else F.col(clean.q(c)) for c in v.columns])
     x = preprocess.apply_preprocess(v, params, keep=keep)

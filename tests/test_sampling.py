@@ -59,3 +59,23 @@ def test_capped_sample(spark):
     df = _micro(spark, {0: 100})
     assert sampling.capped_sample(df, 0.2, 15, 42, key=["id"]).count() == 15
     assert sampling.capped_sample(df, 0.2, 1000, 42, key=["id"]).count() == 20
+
+
+def test_errors_instead_of_silent_results(spark):
+    import pytest
+    one = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "id int, y string")
+    with pytest.raises(ValueError, match="class b has 1"):
+        sampling.stratified_split(one, "y", 0.2, 42, key=["id"])
+    null = spark.createDataFrame([(1, "a"), (2, "a"), (3, None), (4, None)], "id int, y string")
+    with pytest.raises(ValueError, match="2 rows without a class"):
+        sampling.undersample(null, "y", 42, key=["id"])
+    with pytest.raises(ValueError, match="key"):
+        sampling.capped_sample(one, 0.5, 10, 42)
+
+
+def test_class_tables_are_bounded(spark):
+    import pytest
+    from flowguard.session import bounded_rows
+    assert len(bounded_rows(spark.range(3), 3)) == 3
+    with pytest.raises(ValueError, match="more than 2"):
+        bounded_rows(spark.range(3), 2)
