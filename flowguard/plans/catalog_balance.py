@@ -282,3 +282,25 @@ def imbalance_smote_neighbours(spark, sf):
     kt = counts.select("Label", F.least(F.lit(kk), F.col("n") - 1).alias("k"))
     nn = nearest_neighbours(rc, "Label", ["n_chars", "n_words"], KEY, kt)
     return nn.select("Label", "base_key", F.col("nn_rank").cast("int"), "nn_key")
+
+
+@register("imbalance_smote_neighbours_wide", """
+WITH v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+c AS (SELECT label, count(*) AS n FROM v GROUP BY 1),
+k AS (SELECT label, least((SELECT greatest(1, least(5, min(n) - 1)) FROM c), n - 1) AS k FROM c),
+d AS (SELECT a.label, a.vec_id AS base_key, b.vec_id AS nn_key,
+             list_sum([z[1] * z[1] for z in [[x[1] - x[2]] for x in list_zip(a.e, b.e)]]) AS dist2
+      FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY label, base_key ORDER BY dist2, nn_key) AS nn_rank FROM d)
+SELECT r.label AS "Label", base_key, CAST(nn_rank AS INTEGER) AS nn_rank, nn_key, round(dist2, 6) AS dist2
+FROM r JOIN k USING (label) WHERE nn_rank <= k.k""")
+def imbalance_smote_neighbours_wide(spark, sf):
+    """The exact k nearest same-class neighbours over 64 features (embeddings by label)."""
+    from flowguard.operators.smote import nearest_neighbours, smote_k
+    from flowguard.plans.fixtures import WIDE, wide_features
+    t = wide_features(spark, sf).filter("Label IS NOT NULL")
+    counts = t.groupBy("Label").agg(F.count(F.lit(1)).alias("n"))
+    kk = smote_k(counts, 5)
+    kt = counts.select("Label", F.least(F.lit(kk), F.col("n") - 1).alias("k"))
+    return rounded(nearest_neighbours(t, "Label", [f"e{i}" for i in range(WIDE)], KEY, kt)
+                   .select("Label", "base_key", F.col("nn_rank").cast("int"), "nn_key", "dist2"))

@@ -26,6 +26,7 @@ FLOW_FEATURES = (
 RAW_LABELS_STRIPPED = ("BENIGN", "DoS Hulk", "FTP-Patator", "Infiltration",
                        "Web Attack - XSS", "ftp patator")
 SEED = 42
+WIDE = 64  # features of the wide table: the dimensions of ``embeddings``
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,3 +78,13 @@ def rare_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_chars").cast("double").alias("n_chars"),
         F.size(F.split(F.col("text"), " ")).cast("double").alias("n_words"),
     )
+
+
+def wide_features(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataFrame:
+    """``embeddings`` as a table of ``WIDE`` feature columns; with ``gaps`` every seventh value is NULL."""
+    e = table(spark, sf_dir, "embeddings")
+
+    def value(i: int):
+        v = F.get(F.col("embedding"), F.lit(i)).cast("double")
+        return F.when((F.col("vec_id") + i) % 7 != 0, v) if gaps else v
+    return e.select(F.col("vec_id").alias(KEY), F.col("label").alias(LABEL), *[value(i).alias(f"e{i}") for i in range(WIDE)])
