@@ -5,16 +5,16 @@ importance top-k, literature overlap and annotations."""
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowguard.operators.clean import q
 from flowguard.session import small_table
 
-# ``corr`` aggregates of one pass: wider tables take several passes, all by the same rule.
-CORR_PAIRS_PER_PASS = 200
 # Rank error of the sketch that brackets an exact quantile is n / QUANTILE_ACCURACY.
 QUANTILE_ACCURACY = 100_000
 
@@ -141,25 +141,60 @@ def corr_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         return spark.createDataFrame([], "feature_a string, feature_b string, pos_a int, pos_b int, r double")
     st = {r["feature"]: (r["mn"], r["mx"]) for r in _stats_long(df, cols).collect()}
     const = {c for c, (a, b) in st.items() if a is None or a == b}
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    live = [(i, j) for i, j in pairs if cols[i] not in const and cols[j] not in const]
+    live = [c for c in cols if c not in const]
     vals = {}
-    for at in range(0, len(live), CORR_PAIRS_PER_PASS):
-        part = live[at:at + CORR_PAIRS_PER_PASS]
-        row = df.agg(*[_safe_corr(cols[i], cols[j]).alias(f"r{i}_{j}") for i, j in part]).first()
-        vals |= {(i, j): row[f"r{i}_{j}"] for i, j in part}
-    rows = [(cols[i], cols[j], i, j, float(vals[(i, j)]) if vals.get((i, j)) is not None
-             else float("nan")) for i, j in pairs]
+    if len(live) > 1:
+        vals = {(live[r["i"]], live[r["j"]]): r["r"] for r in _pair_corr(df, live).collect()}  # one row per pair
+    rows = [(x, y, i, j, float(v) if (v := vals.get((x, y))) is not None else float("nan"))
+            for i, x in enumerate(cols) for j, y in enumerate(cols) if i < j]
     return spark.createDataFrame(rows, "feature_a string, feature_b string, pos_a int, pos_b int, r double")
 
 
-def _safe_corr(a: str, b: str):
-    """Pearson r over the rows that have both; NULL where one is constant in these rows."""
-    both = F.col(q(a)).isNotNull() & F.col(q(b)).isNotNull()
-    x, y = F.when(both, F.col(q(a)).cast("double")), F.when(both, F.col(q(b)).cast("double"))
-    varied = (F.min(x) != F.max(x)) & (F.min(y) != F.max(y))
-    n, sx, sy = F.count(x), F.stddev_pop(x), F.stddev_pop(y)
-    return F.when(varied & (n > 1), F.try_divide(F.covar_pop(x, y), sx * sy))
+_MOMENTS = ("n", "sx", "sy", "sxx", "syy", "sxy", "odd")
+_RANGE = ("mnx", "mny", "mxx", "mxy")
+
+
+def _pair_corr(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(i, j, r) with i < j: Pearson r over the rows that have both, in one pass at any number of columns.
+
+    Each task adds up products of its centred columns and their masks, one row per pair; Spark merges these.
+    r is NULL where either column is constant in the common rows, or holds a NaN or an infinity there.
+    """
+    p = len(cols)
+    x = df.select(*[F.col(q(c)).cast("double").alias(f"c{k}") for k, c in enumerate(cols)])
+    mean = x.agg(*[F.avg(F.when(F.abs(f"c{k}") < float("inf"), F.col(f"c{k}"))) for k in range(p)]).first()
+    centre = np.array([m or 0.0 for m in mean])
+    i, j = np.triu_indices(p, 1)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(_MOMENTS), p, p))
+        low, high = np.full((p, p), np.inf), np.full((p, p), -np.inf)
+        for b in batches:
+            for at in range(0, b.num_rows, 4096):
+                part = b.slice(at, 4096)
+                v = np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in part.columns], 1) - centre
+                m = np.stack([c.is_valid().to_numpy(zero_copy_only=False) for c in part.columns], 1)
+                odd = (m & ~np.isfinite(v)).astype(float)
+                v[~np.isfinite(v)] = 0
+                w = m.astype(float)
+                s, s2, bad = v.T @ w, (v * v).T @ w, odd.T @ w  # of the first column, over rows with the second
+                total += np.stack([w.T @ w, s, s.T, s2, s2.T, v.T @ v, bad + bad.T])
+                for one in np.unique(m, axis=1).T if len(m) else ():  # columns with equal masks share the ranges
+                    same = np.flatnonzero((m == one[:, None]).all(0))
+                    here = m & one[:, None]
+                    low[:, same] = np.minimum(low[:, same], np.where(here, v, np.inf).min(0)[:, None])
+                    high[:, same] = np.maximum(high[:, same], np.where(here, v, -np.inf).max(0)[:, None])
+        cols_out = [pa.array(a.astype(np.int32)) for a in (i, j)]
+        cols_out += [pa.array(t[i, j]) for t in (*total, low, low.T, high, high.T)]
+        yield pa.RecordBatch.from_arrays(cols_out, ["i", "j", *_MOMENTS, *_RANGE])
+
+    parts = x.mapInArrow(add, "i int, j int, " + ", ".join(f"{c} double" for c in (*_MOMENTS, *_RANGE)))
+    both = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in _MOMENTS], F.min("mnx").alias("mnx"), F.min("mny").alias("mny"),
+                                       F.max("mxx").alias("mxx"), F.max("mxy").alias("mxy"))
+    top = F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")
+    spread = F.sqrt(F.col("sxx") - F.col("sx") * F.col("sx") / F.col("n")) * F.sqrt(F.col("syy") - F.col("sy") * F.col("sy") / F.col("n"))
+    known = (F.col("n") > 1) & (F.col("odd") == 0) & (F.col("mnx") < F.col("mxx")) & (F.col("mny") < F.col("mxy"))
+    return both.select("i", "j", F.when(known, F.try_divide(top, spread)).alias("r"))
 
 
 def high_corr_pairs(pairs: DataFrame, threshold: float = 0.95) -> DataFrame:

@@ -75,6 +75,18 @@ def profile_corr(spark, sf):
     return rounded(Workflow(spark, sf).pairs.select("feature_a", "feature_b", "r"))
 
 
+@register("profile_corr_wide", f"""
+WITH v AS (SELECT vec_id, i - 1 AS i, CASE WHEN (vec_id + i - 1) % 7 <> 0 THEN CAST(embedding[i] AS DOUBLE) END AS x
+           FROM embeddings, (SELECT unnest(generate_series(1, 64)) AS i) g)
+SELECT 'e' || a.i AS feature_a, 'e' || b.i AS feature_b, {rnd('corr(a.x, b.x)')} AS r
+FROM v a JOIN v b ON a.vec_id = b.vec_id AND a.i < b.i GROUP BY a.i, b.i""")
+def profile_corr_wide(spark, sf):
+    """Pairwise-complete correlations of 64 features (2,016 pairs) with NULLs in all of them."""
+    from flowguard.plans.fixtures import WIDE, wide_features
+    t = wide_features(spark, sf, gaps=True)
+    return rounded(profile.corr_pairs(t, [f"e{i}" for i in range(WIDE)]).select("feature_a", "feature_b", "r"))
+
+
 @register("profile_high_corr", O.with_(O.PREP, f"SELECT feature_a, feature_b, {rnd('r')} AS r FROM high"))
 def profile_high_corr(spark, sf):
     return rounded(Workflow(spark, sf).high.select("feature_a", "feature_b", "r"))

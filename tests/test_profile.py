@@ -36,3 +36,27 @@ def test_redundant_not_greedy(spark):
     high = profile.high_corr_pairs(pairs)
     red = {r["feature"] for r in profile.redundant_features(high).collect()}
     assert red == {"B", "C"}   # B goes although A survives; C goes although B is dropped too
+
+
+def test_corr_same_rule_at_every_width(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(1e6, 3.0, (400, 12))
+    x[:, 1] = 2 * x[:, 0] + rng.normal(0, 1, 400)
+    gone = rng.random((400, 12)) < 0.3
+    gone[:, 11] = np.arange(400) % 2 == 0
+    x[:, 10] = np.where(gone[:, 11], rng.normal(0, 1, 400), 7.0)  # constant in the rows that column 11 has
+    x[5, 9], gone[5, 9] = np.inf, False
+    rows = [tuple(None if g else float(v) for v, g in zip(*r)) for r in zip(x, gone)]
+    names = [f"c{i}" for i in range(12)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in names)).repartition(3)
+    wide = {(r["feature_a"], r["feature_b"]): r["r"] for r in profile.corr_pairs(df, names).collect()}
+    assert len(wide) == 66
+    two = profile.corr_pairs(df, names[:2]).first()["r"]
+    assert abs(two - wide["c0", "c1"]) < 1e-12
+    for (a, b), r in wide.items():
+        i, j = int(a[1:]), int(b[1:])
+        both = ~gone[:, i] & ~gone[:, j]
+        if 9 in (i, j) and both[5] or (i, j) == (10, 11):
+            assert np.isnan(r)
+        else:
+            assert abs(r - np.corrcoef(x[both, i], x[both, j])[0, 1]) < 1e-9
