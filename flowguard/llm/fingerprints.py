@@ -2,7 +2,7 @@
 
 A sketch retains every distinct shingle hash below a fixed fraction of the hash space.  Sketches of parts
 merge by union, and the shared hashes of two sketches estimate how far one document contains the other,
-however unequal their lengths.
+however unequal their lengths.  Where both texts are at hand, all their hashes are compared instead.
 """
 
 from __future__ import annotations
@@ -13,13 +13,12 @@ from pyspark.sql import functions as F
 from flowguard.llm.common import WORD, materialize, text_of
 
 SHINGLE = 5  #: words of a shingle
-SCALE = 8  #: one of so many hashes is retained
+SCALE = 2  #: one of so many hashes is retained
 
 
-def sketch(text: Column, scale: int = SCALE, shingle: int = SHINGLE) -> Column:
-    """Sorted distinct hashes below the threshold.  Fewer words than a shingle make one; no words none."""
+def shingles(text: Column, shingle: int = SHINGLE) -> Column:
+    """Distinct shingle hashes of a text.  Fewer words than a shingle make one; no words none."""
     words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
-    top = -(1 << 63) + (1 << 64) // scale
 
     def of(ws: Column) -> Column:
         several = F.transform(F.sequence(F.lit(0), F.size(ws) - shingle),
@@ -27,26 +26,32 @@ def sketch(text: Column, scale: int = SCALE, shingle: int = SHINGLE) -> Column:
         hashes = (F.when(F.size(ws) >= shingle, several)
                   .when(F.size(ws) > 0, F.array(F.xxhash64(F.array_join(ws, " "))))
                   .otherwise(F.array().cast("array<bigint>")))
-        return F.array_sort(F.array_distinct(F.filter(hashes, lambda h: h < F.lit(top))))
+        return F.array_distinct(hashes)
 
     # the word list is bound once by the lambda, not evaluated again for each use
     return F.transform(F.array(words), of)[0]
 
 
+def sketch(hashes: Column, scale: int = SCALE) -> Column:
+    """The hashes below the threshold, sorted."""
+    top = -(1 << 63) + (1 << 64) // scale - 1
+    return F.sort_array(F.filter(hashes, lambda h: h <= F.lit(top)))
+
+
 def fingerprint_text(hashes: Column, text: Column) -> Column:
     """A digest of the whole text and the retained hashes, as one string."""
     return F.concat(F.md5(text.cast("binary")), F.lit(":"), F.array_join(F.transform(hashes, lambda h: F.lower(F.hex(h))), ","))
 
 
 def likeness(a: Column, b: Column, same: Column) -> Column:
-    """Jaccard estimate of two sketches; 1 for equal texts, 0 where either sketch is empty."""
+    """Jaccard similarity of two sets of hashes; 1 for equal texts, 0 where either text has no word."""
     shared = F.size(F.array_intersect(a, b))
     union = F.size(a) + F.size(b) - shared
     return F.when(same, 1.0).when(union > 0, shared / F.greatest(union, F.lit(1))).otherwise(0.0)
 
 
 def containment(a: Column, b: Column, same: Column) -> Column:
-    """Estimate of the part of a's shingles that b has; 1 for equal texts, 0 where a's sketch is empty."""
+    """The part of a's hashes that b has; 1 for equal texts, 0 where a has no word."""
     return F.when(same, 1.0).when(F.size(a) > 0, F.size(F.array_intersect(a, b)) / F.greatest(F.size(a), F.lit(1))).otherwise(0.0)
 
 
@@ -69,28 +74,26 @@ def fingerprints(docs: DataFrame, scale: int = SCALE, shingle: int = SHINGLE) ->
     """Fingerprint every text and its edited text (its last third replaced by the next document's beginning).
 
     Returns ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next,
-    in_edited, in_next``; the near columns are Jaccard estimates, the in columns containment estimates.
-    Null text counts as empty; rows of null doc_id are left out, as they have no place in the order; rows of
-    equal doc_id are kept, and as a next document they count by their smallest text; the only document is
-    its own next; an empty table gives none; other columns are ignored.
+    in_edited, in_next``; the near columns are Jaccard similarities, the in columns containments, both of all
+    shingles; a fingerprint has the retained ones.  Null text counts as empty; rows of null doc_id are left
+    out, as they have no place in the order; rows of equal doc_id are kept, and as a next document they count
+    by their smallest text; the only document is its own next; an empty table gives none; other columns are
+    ignored.
     """
     base = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     order = next_ids(base)
-    sizes = base.select("doc_id", F.floor(F.char_length("text") / 3).cast("int").alias("k")).groupBy("doc_id").agg(F.max("k").alias("k"))
-    wanted = order.join(sizes, "doc_id").select(F.col("next_id").alias("doc_id"), F.col("doc_id").alias("for_id"), "k")
-    base = base.withColumn("fp", sketch(F.col("text"), scale, shingle))
-    given = (base.join(wanted, "doc_id")
-             .select("for_id", F.struct(F.expr("left(text, k)").alias("start"), F.md5(F.col("text").cast("binary")).alias("sum"), "fp").alias("nx"))
-             .groupBy("for_id").agg(F.min("nx").alias("nx")))
+    wanted = order.select(F.col("next_id").alias("doc_id"), F.col("doc_id").alias("for_id"))
+    # the next text travels, not its hashes: they are more bytes, and no easier to make
+    given = base.join(wanted, "doc_id").groupBy("for_id").agg(F.min("text").alias("nx"))
     both = base.join(given, base["doc_id"] == given["for_id"])
     n = F.char_length("text")
     both = both.withColumn("edited", F.concat(F.expr("left(text, char_length(text) - cast(floor(char_length(text) / 3) as int))"),
-                                              F.expr("left(nx.start, cast(floor(char_length(text) / 3) as int))")))
-    both = both.withColumn("efp", sketch(F.col("edited"), scale, shingle))
-    fp, efp, nfp, text, edited = F.col("fp"), F.col("efp"), F.col("nx.fp"), F.col("text"), F.col("edited")
-    same, as_next = text == edited, F.md5(text.cast("binary")) == F.col("nx.sum")
+                                              F.expr("left(nx, cast(floor(char_length(text) / 3) as int))")))
+    both = both.withColumns({"h": shingles(F.col("text"), shingle), "eh": shingles(F.col("edited"), shingle), "nh": shingles(F.col("nx"), shingle)})
+    h, eh, nh, text, edited = F.col("h"), F.col("eh"), F.col("nh"), F.col("text"), F.col("edited")
+    same, as_next = text == edited, text == F.col("nx")
     return both.select(
         "doc_id", n.cast("long").alias("n_chars"), F.sha2(edited.cast("binary"), 256).alias("edited_sha256"),
-        fingerprint_text(fp, text).alias("fingerprint"), fingerprint_text(efp, edited).alias("edited_fingerprint"),
-        likeness(fp, efp, same).alias("near_edited"), likeness(fp, nfp, as_next).alias("near_next"),
-        containment(fp, efp, same).alias("in_edited"), containment(fp, nfp, as_next).alias("in_next"))
+        fingerprint_text(sketch(h, scale), text).alias("fingerprint"), fingerprint_text(sketch(eh, scale), edited).alias("edited_fingerprint"),
+        likeness(h, eh, same).alias("near_edited"), likeness(h, nh, as_next).alias("near_next"),
+        containment(h, eh, same).alias("in_edited"), containment(h, nh, as_next).alias("in_next"))

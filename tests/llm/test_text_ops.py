@@ -91,6 +91,29 @@ def test_fingerprints(spark, odd):
     assert fingerprints.fingerprints(odd).count() == len(ODD) - 1 and fingerprints.fingerprints(df.limit(0)).count() == 0
 
 
+def test_fingerprint_likeness_is_exact(spark):
+    def of(text):
+        w = re.findall(r"[^\x20\x09-\x0D]+", text)
+        return {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+
+    rnd = random.Random(9)
+    rows, text = [], ""
+    for i in range(150):  # runs of near copies, most of them short
+        words = text.split() if i % 3 and text else [f"w{rnd.randrange(90)}" for _ in range(rnd.choice([1, 4, 6, 9, 15, 30, 400]))]
+        words[rnd.randrange(len(words))] = f"new{i}"
+        text = " ".join(words)
+        rows.append((i, text))
+    rows.append((150, " \t "))
+    got = {r["doc_id"]: r for r in fingerprints.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, t in rows:
+        after = rows[i - 1][1]
+        edited = t[:len(t) - len(t) // 3] + after[:len(t) // 3]
+        for other, near, within in ((edited, "near_edited", "in_edited"), (after, "near_next", "in_next")):
+            a, b = of(t), of(other)
+            assert abs(got[i][near] - (1 if t == other else len(a & b) / max(1, len(a | b)))) < 1e-9, (i, near)
+            assert abs(got[i][within] - (1 if t == other else len(a & b) / max(1, len(a)))) < 1e-9, (i, within)
+
+
 def _frozen_tree(train, test, depth):
     """Plain recursion over dictionaries of nodes."""
     cnt, mem, kids = {}, {}, {}
