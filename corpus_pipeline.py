@@ -7,12 +7,13 @@ reads it again for the next.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowguard.llm import language, mixing, neardup, pieces, quality
 from flowguard.llm.catalog import piece_model
-from flowguard.llm.common import broadcast_if_small, crc_remainder, ensure_checkpoint_dir, scratch_path, ship_package, table
+from flowguard.llm.common import (broadcast_if_small, crc_remainder, ensure_checkpoint_dir, materialize, scratch_path, ship_package, table,
+                                  text_of)
 
 MIN_LANGUAGE_SCORE = 0.5  #: least posterior probability of the predicted language
 
@@ -38,15 +39,18 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each near-duplicate class, that of the smallest doc_id, and one row of each doc_id."""
-    found = neardup.near_duplicates(docs)
-    gone = broadcast_if_small(found.where("not kept").select("doc_id").distinct(), 16)
-    left = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-    again = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
-    again = broadcast_if_small(again, 16)
-    first = Window.partitionBy("doc_id").orderBy(*[F.col(f"`{c}`") for c in docs.columns if c != "doc_id"])
-    one = left.join(again, "doc_id", "left_semi").withColumn("__n", F.row_number().over(first)).where("__n = 1")
-    return left.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(one.select(docs.columns))
+    """Keep one text of each near-duplicate class, that of the smallest doc_id (null last), and one of equal rows.
+
+    Rows are equal if doc_id (null or not) and text are; different texts of one doc_id are judged each by itself.
+    """
+    found = materialize(neardup.distinct_texts(docs).where("not kept or n > 1")
+                        .select(F.col("doc_id").alias("__id"), F.col("key").alias("__sum"), "kept"))
+    same = (F.col("__key") == F.col("__sum")) & F.col("doc_id").eqNullSafe(F.col("__id"))
+    gone, again = (broadcast_if_small(found.where(which).drop("kept"), 64) for which in ("not kept", "kept"))
+    left = docs.withColumn("__key", F.md5(text_of().cast("binary"))).join(gone, same, "left_anti")
+    one = left.join(again, same, "left_semi").groupBy("doc_id", "__key").agg(
+        F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "doc_id"])).alias("__row")).select("doc_id", "__row.*")
+    return left.join(again, same, "left_anti").select(docs.columns).unionByName(one.select(docs.columns))
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -49,7 +49,7 @@ def least_matches(threshold: float, tolerance: float, perms: int, step: int) ->
 def sketches(docs: DataFrame) -> DataFrame:
     """``doc_id, key (digest of the text), n_bytes, bands`` of documents with a word; whole texts."""
     bounded_batches(docs.sparkSession)
-    rows = docs.where(F.col("doc_id").isNotNull()).select(
+    rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.md5(text_of().cast("binary")).alias("key"), text_of().cast("binary").alias("raw"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,23 +129,16 @@ def links(a: Texts, b: Texts, same: bool, threshold: float = THRESHOLD) -> tuple
     return i[good], j[good]
 
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
-    """One row per document: ``doc_id, class_id, n_links, kept``.
+def linked(docs: DataFrame, classes: DataFrame, threshold: float, block: int) -> DataFrame:
+    """Links between classes ``key, id, n, n_bytes, bands`` of equal texts, and how many documents each links.
 
-    n_links: other documents whose shingles have a Jaccard similarity of ``threshold`` or more (equal texts
-    included); class_id: the smallest doc_id reachable by links; kept: doc_id = class_id.  Null, empty and
-    wordless texts link with nothing; fewer than five words make one shingle.  Repeated rows link with each
-    other; rows that share a doc_id count as one document in class_id, and each of its texts counts in
-    n_links.  A null doc_id links with nothing, its class_id is null and it is kept.  An empty table gives
-    none; other columns are ignored.
+    Returns ``id, other, n, link``: counts (not link), and stars over the linked ids.  The text of a class is
+    that of the document ``id``, or of ``lead`` (null for a row without an id) where classes have that column.
     """
-    known = materialize(sketches(docs))
-    classes = materialize(known.groupBy("key").agg(F.min("doc_id").alias("id"), F.count("*").alias("n"),
-                                                   F.max("n_bytes").alias("n_bytes"), F.any_value("bands").alias("bands")))
     bands = classes.select("id", F.explode("bands").alias("band"))
     first = bands.groupBy("band").agg(F.min("id").alias("lead"), F.count("*").alias("n")).where("n > 1").drop("n")
     parts = connected_components(bands.join(first, "band").select(F.col("id").alias("a"), F.col("lead").alias("b")))
-    members = materialize(classes.select("key", "id", "n", "n_bytes").join(parts, "id"))
+    members = materialize(classes.drop("bands").join(parts, "id"))
     blocks = members.groupBy("component").agg(
         F.greatest(F.lit(1), F.ceil(F.count("*") / block), F.ceil(F.sum("n_bytes") / BLOCK_BYTES)).cast("int").alias("nb"))
     members = members.join(blocks, "component").withColumn("block", F.pmod(F.xxhash64("key"), F.col("nb")).cast("int"))
@@ -153,8 +146,13 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, block: int =
     members = broadcast_if_small(members, 120)
     total = members.agg(F.sum(F.col("n_bytes") * F.col("nb"))).first()[0] or 0
     groups = max(1, -(-total // GROUP_BYTES))
-    texts = (docs.select(F.col("doc_id").cast("long").alias("id"), text_of().cast("binary").alias("raw"))
-             .withColumn("key", F.md5("raw")).join(members, ["id", "key"]).dropDuplicates(["id", "key"]))
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), text_of().cast("binary").alias("raw")).withColumn("key", F.md5("raw"))
+    if "lead" in classes.columns:
+        texts = texts.select(F.col("id").alias("of"), "raw", F.col("key").alias("sum"))
+        texts = texts.join(members, (F.col("sum") == F.col("key")) & F.col("of").eqNullSafe(F.col("lead")))
+    else:
+        texts = texts.join(members, ["id", "key"])
+    texts = texts.dropDuplicates(["id", "key"])
     pairs = texts.select("id", "n", "raw", "component", "block", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("other"))
     pairs = pairs.select("id", "n", "raw", "component", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
                          F.when(F.col("block") <= F.col("other"), 0).otherwise(1).alias("side"))
@@ -187,7 +185,22 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, block: int =
         return pa.table({"id": pa.array(who, pa.int64()), "other": pa.array(other, pa.int64()), "n": pa.array(n, pa.int64()),
                          "link": pa.array(n == 0, pa.bool_())})
 
-    found = materialize(pairs.groupBy("g").applyInArrow(compare, "id long, other long, n long, link boolean"))
+    return materialize(pairs.groupBy("g").applyInArrow(compare, "id long, other long, n long, link boolean"))
+
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
+    """One row per document: ``doc_id, class_id, n_links, kept``.
+
+    n_links: other documents whose shingles have a Jaccard similarity of ``threshold`` or more (equal texts
+    included); class_id: the smallest doc_id reachable by links; kept: doc_id = class_id.  Null, empty and
+    wordless texts link with nothing; fewer than five words make one shingle.  Repeated rows link with each
+    other; rows that share a doc_id count as one document in class_id, and each of its texts counts in
+    n_links.  A null doc_id links with nothing, its class_id is null and it is kept.  An empty table gives
+    none; other columns are ignored.
+    """
+    known = materialize(sketches(docs.where(F.col("doc_id").isNotNull())))
+    classes = materialize(known.groupBy("key").agg(F.min("doc_id").alias("id"), F.count("*").alias("n"),
+                                                   F.max("n_bytes").alias("n_bytes"), F.any_value("bands").alias("bands")))
+    found = linked(docs, classes, threshold, block)
     counts = found.where("not link").groupBy("id").agg(F.sum("n").alias("linked"))
     joined = connected_components(found.where("link").select(F.col("id").alias("a"), F.col("other").alias("b")))
     of_class = (classes.select("key", "id", "n").join(counts, "id", "left").join(joined, "id", "left")
@@ -197,3 +210,29 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, block: int =
     rest = (docs.where(F.col("doc_id").isNull() | ~text_of().rlike(r"[^\x20\x09-\x0D]"))
             .select(F.col("doc_id").cast("long").alias("doc_id"), F.col("doc_id").cast("long").alias("class_id"), F.lit(0).cast("long").alias("n_links")))
     return inside.unionByName(rest).withColumn("kept", F.expr("doc_id <=> class_id"))
+
+
+def distinct_texts(docs: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
+    """One row per distinct pair of doc_id and text: ``doc_id, key (md5 of the text), n (its rows), kept``.
+
+    Texts are linked as by near_duplicates, but every distinct text is a node of its own, so texts that share a
+    doc_id are one class only if links join them, and rows of null doc_id take part.  kept: the pair of the
+    class's smallest doc_id (null last) and key; texts without words link with nothing, and each pair is kept.
+    """
+    known = materialize(sketches(docs))
+    classes = known.groupBy("key").agg(F.min("doc_id").alias("lead"), F.count("*").alias("n"), F.max("n_bytes").alias("n_bytes"),
+                                       F.any_value("bands").alias("bands"))
+    classes = materialize(classes.withColumn("id", F.monotonically_increasing_id()))  # numbers are read back, never made again
+    found = linked(docs, classes, threshold, block)
+    joined = connected_components(found.where("link").select(F.col("id").alias("a"), F.col("other").alias("b")))
+    several = classes.select("id", "lead", "key").join(joined, "id")
+    best = several.groupBy("component").agg(F.min(F.struct(F.col("lead").isNull().alias("none"), "lead", "key")).alias("best"))
+    several = several.join(best, "component").select("id", F.col("best.key").alias("best"))
+    of_class = classes.select("id", "key", "lead").join(several, "id", "left").select(
+        "key", "lead", F.coalesce(F.col("best") == F.col("key"), F.lit(True)).alias("best"))
+    pairs = known.groupBy("doc_id", "key").agg(F.count("*").alias("n")).join(of_class, "key").select(
+        "doc_id", "key", "n", (F.col("best") & F.col("doc_id").eqNullSafe(F.col("lead"))).alias("kept"))
+    rest = (docs.where(~text_of().rlike(r"[^\x20\x09-\x0D]"))
+            .groupBy(F.col("doc_id").cast("long").alias("doc_id"), F.md5(text_of().cast("binary")).alias("key"))
+            .agg(F.count("*").alias("n")).withColumn("kept", F.lit(True)))
+    return pairs.unionByName(rest)

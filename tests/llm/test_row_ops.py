@@ -184,3 +184,19 @@ def test_pipeline_stages(spark, tmp_path):
     assert kept.columns == df.columns and sorted(r["doc_id"] for r in kept.collect()) == list(range(40))
     out = p.run(spark, str(tmp_path)).collect()
     assert abs(sum(r["doc_id"] is not None for r in out) - 60) <= 2 and all(r["round_trip"] for r in out)
+
+
+def test_pipeline_keeps_distinct_texts_of_one_id(spark, tmp_path):
+    import corpus_pipeline as p
+
+    rnd = random.Random(10)
+    text = [" ".join(f"w{rnd.randrange(900)}" for _ in range(100)) for _ in range(9)]
+    near = text[2] + " end"
+    rows = [(3, text[0]), (5, text[0]), (5, text[1]), (2, text[2]), (7, near), (7, text[3]), (8, text[4]), (8, text[5]), (8, text[5]),
+            (None, text[6]), (None, text[6]), (None, text[2]), (None, text[7]), (None, text[7] + " end"), (9, text[8]), (None, None), (None, None)]
+    df = spark.createDataFrame([(*r, "en", "s", k) for k, r in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = p.near_duplicates(spark, df, str(tmp_path))
+    got = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    seven = next(t for i, t in got if i is None and t in (text[7], text[7] + " end"))  # of null ids the digest decides
+    want = [(3, text[0]), (5, text[1]), (2, text[2]), (7, text[3]), (8, text[4]), (8, text[5]), (9, text[8]), (None, text[6]), (None, seven), (None, None)]
+    assert kept.columns == df.columns and sorted(got, key=str) == sorted(want, key=str)
