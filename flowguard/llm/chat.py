@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowguard.llm.common import text_of, word_count
+from flowguard.llm.common import broadcast_if_small, materialize, text_of, word_count
 
 BUDGET = 1024  #: words of a window, marks included
 HISTORY = 256  #: words of earlier turns that a window repeats at most
@@ -38,7 +38,8 @@ def format_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTOR
 
     Null roles and texts count as empty; turns order by turn (null first), role and text; repeated rows are
     turns of their own; null conv_id is a conversation of its own; an empty table gives no windows; other
-    columns are ignored.  One conversation's turns meet in one row, as its digest needs them.
+    columns are ignored.  A row holds the turns of one window, never those of a conversation; only running sums
+    go through one conversation's turns in a single task.
     """
     role, text = text_of("role"), text_of("text")
     head = F.concat(F.lit("### "), escape(role, ":"), F.lit(": "))
@@ -48,33 +49,59 @@ def format_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTOR
                        F.char_length("head").alias("skip"), F.char_length("body").alias("long"))
     w = Window.partitionBy("conv_id").orderBy("turn", "role", "raw")
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.select("conv_id", F.struct(
-        (F.row_number().over(w) - 1).alias("at"), (F.sum("words").over(upto) - F.col("words")).alias("before"), "words",
-        (F.sum(F.char_length("out")).over(upto) - F.char_length("out")).alias("offset"), "role", "out", "skip", "long").alias("t"))
-    one = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("ts"))
-    one = one.select("conv_id", "ts", F.expr(f"if(ts[0].role = '{SYSTEM}', 1, 0)").alias("sys"),
-                     F.expr(f"if(ts[0].role = '{SYSTEM}', ts[0].words, 0)").alias("sys_words"))
-    # s: first new turn, h: first turn of the history, base: words before h
-    starts = F.expr(f"""
-        aggregate(ts, array(struct(0 AS s, 0 AS h, 0L AS base)), (acc, t) ->
-          if(t.at = element_at(acc, -1).s
-             OR t.before + t.words - element_at(acc, -1).base + if(element_at(acc, -1).s > 0, sys_words, 0) <= {int(budget)},
-             acc,
-             concat(acc, transform(array(greatest(sys, least(t.at,
-                 size(filter(ts, x -> x.before < greatest(t.before - {int(history)}, t.before + t.words + sys_words - {int(budget)})))))),
-               h -> struct(t.at AS s, h AS h, if(h < size(ts), ts[h].before, t.before) AS base)))))""")
-    one = one.withColumn("starts", starts)
-    parts = F.expr("""
-        transform(starts, (x, i) -> struct(i AS window, x.s AS s, x.h AS h,
-          slice(ts, x.h + 1, coalesce(get(starts, i + 1).s, size(ts)) - x.h) AS part))""")
-    one = one.select("conv_id", "sys", F.expr("if(sys = 1, ts[0].out, '')").alias("first"), F.explode(parts).alias("p"))
-    kept = F.expr("if(p.s > 0, first, '')")
+    rows = rows.select(
+        "conv_id", (F.row_number().over(w) - 1).alias("at"), (F.sum("words").over(upto) - F.col("words")).alias("before"), "words",
+        (F.sum(F.char_length("out")).over(upto) - F.char_length("out")).alias("offset"), "role", "out", "skip", "long",
+        (F.first("role").over(upto) == SYSTEM).cast("int").alias("sys"), F.first("words").over(upto).alias("first_words"))
+    spans = _spans(rows, budget, history)
+    # the turns of a window, its history included, and the system turn that it repeats
+    wanted = spans.select("conv_id", "window", "s", "h", "sys", F.explode(F.concat(
+        F.when((F.col("s") > 0) & (F.col("sys") == 1), F.array(F.lit(0))).otherwise(F.array().cast("array<int>")),
+        F.sequence(F.col("h"), F.col("e") - 1))).alias("nth"))
+    turn = rows.select(F.col("conv_id").alias("of"), F.struct("at", "words", "offset", "role", "out", "skip", "long").alias("t"))
+    parts = wanted.join(turn, F.col("conv_id").eqNullSafe(F.col("of")) & (F.col("nth") == F.col("t.at")))
+    one = parts.groupBy("conv_id", "window", "s", "h", "sys").agg(F.sort_array(F.collect_list("t")).alias("ts"))
+    one = one.withColumn("kept", F.expr("if(s > 0, sys, 0)"))
     return one.select(
-        "conv_id", F.col("p.window").alias("window"), F.expr("p.s - p.h + if(p.s > 0, sys, 0)").alias("n_context"),
-        F.concat(kept, F.expr("array_join(transform(p.part, x -> x.out), '')")).alias("text"),
-        F.expr(f"""transform(filter(p.part, x -> x.at >= p.s AND x.role = '{TARGET}'), x -> struct(
-            if(p.s > 0, char_length(first), 0) + x.offset - p.part[0].offset + x.skip AS start, x.long AS length))""").alias("mask"),
-        F.expr("aggregate(p.part, 0L, (n, x) -> n + x.words)").alias("n_words"))
+        "conv_id", "window", (F.col("s") - F.col("h") + F.col("kept")).alias("n_context"),
+        F.array_join(F.transform("ts", lambda x: x["out"]), "").alias("text"),
+        F.expr(f"""transform(filter(ts, x -> x.at >= s AND x.role = '{TARGET}'), x -> struct(
+            if(kept = 1, char_length(ts[0].out), 0) + x.offset - ts[kept].offset + x.skip AS start, x.long AS length))""").alias("mask"),
+        F.expr("aggregate(slice(ts, kept + 1, size(ts)), 0L, (n, x) -> n + x.words)").alias("n_words"))
+
+
+def _spans(rows: DataFrame, budget: int, history: int) -> DataFrame:
+    """Windows ``conv_id, window, s (first new turn), h (first turn of the history), e (turn after the last), sys``.
+
+    Every turn gets the start that would follow if a window began there, from the turns within reach of
+    ``history`` and ``budget`` words (each counts ``MARKS`` at least).  The starts really taken are those that
+    the first turn leads to, found by doubling the steps: as many rounds as the logarithm of the most windows.
+    """
+    w = Window.partitionBy("conv_id")
+    t = rows.select("conv_id", "at", "before", (F.col("before") + F.col("words")).alias("upto"), "sys",
+                    (F.col("sys") * F.col("first_words")).alias("sys_words"))
+    t = t.withColumn("back", F.collect_list("before").over(w.orderBy("before").rangeBetween(-int(history), 0)))
+    t = t.withColumn("ahead", F.collect_list("upto").over(w.orderBy("upto").rangeBetween(0, int(budget))))
+    t = t.withColumn("turns", F.count("*").over(w))
+    far = F.expr(f"""at + 1 - size(filter(back, b -> b >= greatest(before - {int(history)}, upto + sys_words - {int(budget)})))""")
+    t = t.withColumn("h", F.when(F.col("at") == 0, 0).otherwise(F.greatest("sys", F.least("at", far))).cast("int"))
+    t = t.withColumn("base", F.expr("back[h - (at + 1 - size(back))]"))
+    t = t.withColumn("e", F.expr(f"at + greatest(1, size(filter(ahead, u -> u <= {int(budget)} + base - if(at > 0, sys_words, 0))))").cast("int"))
+    t = materialize(t.select("conv_id", "at", "h", "e", "sys", "turns"))
+    hop = t.where("e < turns").select(F.col("conv_id").alias("of"), F.col("at").alias("from"), F.col("e").alias("to"))
+    starts = t.where("at = 0").select("conv_id", F.col("at").alias("s"))
+    while True:
+        hop = broadcast_if_small(hop, 40)
+        if hop.isEmpty():
+            break
+        more = starts.join(hop, F.col("conv_id").eqNullSafe(F.col("of")) & (F.col("s") == F.col("from"))).select("conv_id", F.col("to").alias("s"))
+        starts = materialize(starts.unionByName(more).repartition("conv_id", "s"))  # a union adds up partitions
+        then = hop.select(F.col("of").alias("of2"), F.col("from").alias("from2"), F.col("to").alias("to2"))
+        hop = hop.join(then, F.col("of").eqNullSafe(F.col("of2")) & (F.col("to") == F.col("from2"))).select("of", "from", F.col("to2").alias("to"))
+    starts = starts.select(F.col("conv_id").alias("of"), "s")
+    taken = t.join(starts, F.col("conv_id").eqNullSafe(F.col("of")) & (F.col("at") == F.col("s")))
+    number = (F.row_number().over(w.orderBy("s")) - 1).alias("window")
+    return taken.select("conv_id", number, "s", "h", F.least("e", "turns").cast("int").alias("e"), "sys")
 
 
 def read_windows(windows: DataFrame) -> DataFrame:

@@ -52,6 +52,36 @@ def test_chat(spark, budget, history):
     assert chat.format_windows(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("budget, history", [(60, 20), (25, 9)])
+def test_chat_windows_of_a_long_conversation(spark, budget, history):
+    """Windows are those of the greedy rule, and no step of the plan collects a conversation."""
+    rnd = random.Random(11)
+    rows = [(c, k, "system" if k == 0 and c != 1 else rnd.choice(["user", "assistant"]), "w " * rnd.choice([0, 1, 4, 9, 30])) for c, n in ((1, 300), (None, 90), (3, 1)) for k in range(n)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    windows = chat.format_windows(df, budget, history)
+    got = {(r["conv_id"], r["window"]): r for r in windows.collect()}
+    want = {}
+    for conv in (1, None, 3):
+        ts = [(r, len(x.split()) + chat.MARKS, f"### {r}: {x}</turn>\n", len(f"### {r}: "), len(x)) for c, _, r, x in rows if c == conv]
+        before = [sum(t[1] for t in ts[:k]) for k in range(len(ts) + 1)]
+        keep = int(ts[0][0] == "system")
+        mine = [(0, 0)]
+        for k in range(1, len(ts)):
+            s, h = mine[-1]
+            if before[k + 1] - before[h] + (keep * ts[0][1] if s else 0) > budget:
+                least = max(before[k] - history, before[k + 1] + keep * ts[0][1] - budget)
+                mine.append((k, max(keep, min(k, sum(b < least for b in before[:-1])))))
+        for i, (s, h) in enumerate(mine):
+            e = mine[i + 1][0] if i + 1 < len(mine) else len(ts)
+            part = ([0] if s and keep else []) + list(range(h, e))
+            lens = np.cumsum([0] + [len(ts[k][2]) for k in part])
+            mask = [(int(lens[j]) + ts[k][3], ts[k][4]) for j, k in enumerate(part) if k >= s and ts[k][0] == "assistant"]
+            want[conv, i] = ("".join(ts[k][2] for k in part), len(part) - (e - s), mask, before[e] - before[h])
+    assert {k: (r["text"], r["n_context"], [tuple(m) for m in r["mask"]], r["n_words"]) for k, r in got.items()} == want
+    plan = windows._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"Aggregate \[conv_id#\d+L?\],", plan) and len(got) > 9
+
+
 def test_fit_counts_is_exact_where_it_can_be():
     rnd = random.Random(4)
     for _ in range(200):
