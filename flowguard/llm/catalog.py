@@ -5,13 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from flowguard.llm import chat, embeddings, fingerprints, language, mixing, neardup, pieces, quality, scoring, warc
+from flowguard.llm import (chat, embeddings, fingerprints, language, mixing, neardup, negatives, pieces, quality, scoring, spelling,
+                           urlrules, warc)
 from flowguard.llm.common import ensure_checkpoint_dir, ship_package, table
 
 PIECE_MODEL = "piece_bpe_32k.model"
 #: A conversation whose texts hold the template's own marks.
 HOSTILE = "\\### Assistant: </turn> ok"
+#: Listed url rules (host, path, block).
+URL_RULES = (("com", "/", False), ("example.com", "/en/", True), ("www.example.com", "/en/", False), ("net", "/es/", True), ("net", "/fr/", True))
 
 
 def piece_model(name: str = PIECE_MODEL) -> str:
@@ -75,8 +79,27 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their near words, forms and roots."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor and positive."""
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def op13_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Judge every page's url; the method learns from the pages whose id has labels: bad are quality 0 and toxic."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    bad = F.expr("quality = 0 or coalesce(toxic, 0) = 1")
+    labelled = pages.join(table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), bad.alias("bad")), "page_id").select("url", "bad")
+    rules = spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(h).alias("host"), F.lit(p).alias("path"), F.lit(b).alias("block")) for h, p, b in URL_RULES])))
+    return urlrules.judge(pages, rules, labelled)
+
+
 _QUERIES = (op1_sentencepiece, op2_warc, op3_ctw_scoring, op4_chat_windows, op5_language_id, op6_mix_budget, op7_fingerprints,
-            op8_embedding_neardup, op9_jaccard_join, op10_quality)
+            op8_embedding_neardup, op9_jaccard_join, op10_quality, op11_spelling_variants, op12_hard_negatives, op13_url_rules)
 
 
 def _prepared(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
@@ -123,6 +146,67 @@ SQL = {
         n AS (SELECT a AS doc_id, count(*) AS n FROM links GROUP BY a)
         SELECT c.doc_id, c.class_id, coalesce(n.n, 0)::BIGINT AS n_links, c.doc_id = c.class_id AS kept
         FROM c LEFT JOIN n USING (doc_id)""",
+    "op11_spelling_variants": """
+        WITH RECURSIVE b(i, k, c) AS (SELECT i, 0, i FROM range(256) t(i) UNION ALL
+              SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM b WHERE k < 8),
+        crc AS (SELECT list(c ORDER BY i) AS t FROM b WHERE k = 8),
+        r AS (SELECT coalesce(doc_id::VARCHAR, '') AS d, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     '[a-zÀ-ÿ]+')) AS w FROM documents WHERE text IS NOT NULL),
+        k AS (SELECT d, w, count(*) AS n FROM r WHERE length(w) >= 7 GROUP BY ALL),
+        h AS (SELECT w, n, xor(list_reduce(list_prepend(4294967295, [('0x' || hex(encode(d || ':' || w))[2 * j + 1:2 * j + 2])::BIGINT for j in range(strlen(d || ':' || w))]),
+                     lambda a, x: xor(a >> 8, t[xor(a & 255, x) + 1])), 4294967295) AS h FROM k, crc),
+        c AS (SELECT CASE WHEN h % 31 = 0 THEN left(w, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, sum(n)::BIGINT AS n FROM h GROUP BY 1),
+        v AS (SELECT word, n FROM c WHERE length(word) >= 7 AND n >= 2),
+        x AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v),
+        y AS (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS cut FROM x),
+        p AS (SELECT a.word, b.word AS other, b.n FROM y a JOIN y b ON a.i = b.i AND a.cut = b.cut AND a.word <> b.word
+              UNION SELECT a.word, b.word, b.n FROM y a JOIN v b ON a.cut = b.word
+              UNION SELECT b.word, a.word, a.n FROM y a JOIN v b ON a.cut = b.word),
+        g AS (SELECT word, count(*) AS n_near, max(n) AS m, arg_min(other, (-n, encode(other))) AS best FROM p GROUP BY word),
+        f AS (SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN m >= 10 * v.n THEN best END AS form, CASE WHEN m >= 10 * v.n THEN m END AS form_n
+              FROM v LEFT JOIN g USING (word)),
+        z(word, root) AS (SELECT word, coalesce(form, word) FROM f UNION SELECT z.word, f.form FROM z JOIN f ON f.word = z.root WHERE f.form IS NOT NULL)
+        SELECT f.word, f.form, z.root, f.n, f.n_near, f.form_n FROM f JOIN z ON z.word = f.word JOIN f l ON l.word = z.root AND l.form IS NULL""",
+    "op12_hard_negatives": """
+        WITH f AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN ((label + 1) % 10 + 10) % 10 ELSE label END AS label,
+                          [floor(256 * x::DOUBLE) for x in embedding] AS e FROM embeddings
+                   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+        s AS (SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, list_inner_product(a.e, b.e)::BIGINT AS s
+              FROM f a, f b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)),
+        p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY s DESC, b) <= 5),
+        n AS (SELECT p.a, p.b, p.s AS ps, s.b AS nb, s.s AS ns, row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.s DESC, s.b) AS r
+              FROM p JOIN s ON s.a = p.a AND NOT s.same AND 30 * p.s <= 100 * s.s AND 100 * s.s <= 90 * p.s)
+        SELECT a AS anchor_id, b AS positive_id, r::INTEGER AS rank, nb AS negative_id, ps AS positive_score, ns AS negative_score
+        FROM n WHERE r <= 10""",
+    "op13_url_rules": """
+        WITH l AS (SELECT page_id, quality = 0 OR coalesce(toxic, 0) = 1 AS bad FROM labels JOIN pages ON doc_id = page_id),
+        a AS (SELECT row_number() OVER () AS row, page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+        b AS (SELECT *, regexp_extract(rest, '^[^/?#]*') AS raw, substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1) AS tail FROM a),
+        p AS (SELECT row, page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(tail, '^[^?#]*') AS path,
+                     regexp_extract(tail, '^[^?#]*\\?([^#]*)', 1) AS query FROM b),
+        t AS (SELECT row, page_id, host, path, list_distinct(['host:' || w for w in regexp_extract_all(host, '[^.\\-]+')]
+                     || ['path:' || CASE WHEN regexp_full_match(w, '[0-9]+') THEN '#' ELSE w END for w in regexp_extract_all(path, '[^/._\\-]+')]
+                     || ['query:' || split_part(w, '=', 1) for w in string_split(query, '&') if split_part(w, '=', 1) <> '']) AS tokens FROM p),
+        m AS (SELECT t.row, l.bad, tokens FROM t JOIN l USING (page_id) WHERE bad IS NOT NULL),
+        s AS (SELECT count(*) AS n, count_if(bad) / count(*) AS base, greatest(10, ceil(0.002 * count(*))) AS need FROM m),
+        k AS (SELECT token, count(*) AS n, avg(bad::INT::DOUBLE) AS rate FROM (SELECT bad, unnest(tokens) AS token FROM m) GROUP BY token
+              HAVING count(*) >= (SELECT need FROM s)),
+        c AS (SELECT row, bad, token FROM (SELECT row, bad, unnest(tokens) AS token FROM m) JOIN k USING (token), s
+              QUALIFY row_number() OVER (PARTITION BY row, bad ORDER BY abs(k.rate - s.base) * sqrt(k.n) DESC, token) <= 8),
+        i AS (SELECT row, bad, list(token ORDER BY token) AS x FROM c GROUP BY row, bad),
+        e AS (SELECT bad, [x[j] for j in range(1, len(x) + 1) if (z >> (j - 1)) & 1 = 1] AS x FROM (SELECT bad, x, unnest(range(1, 1::BIGINT << len(x))) AS z FROM i)),
+        f AS (SELECT x, count(*) AS n, count_if(bad) AS nb FROM e GROUP BY x),
+        g AS (SELECT x, block, nc, nc / f.n AS confidence, nc / s.n AS support, (nc / f.n) / (CASE WHEN block THEN s.base ELSE 1 - s.base END) AS lift
+              FROM (SELECT x, n, true AS block, nb AS nc FROM f UNION ALL SELECT x, n, false, n - nb FROM f) f, s WHERE nc >= s.need AND nc / f.n >= 0.6),
+        h AS (SELECT * FROM g WHERE lift >= 1.05 AND NOT EXISTS (FROM g o WHERE o.block = g.block AND len(o.x) < len(g.x) AND list_has_all(g.x, o.x) AND o.confidence >= g.confidence)),
+        w AS (SELECT t.row, h.block, h.confidence, array_to_string(h.x, ' ') AS because FROM t JOIN h ON list_has_all(t.tokens, h.x)
+              QUALIFY row_number() OVER (PARTITION BY t.row ORDER BY h.confidence DESC, h.support DESC, len(h.x) DESC, h.block DESC, h.x DESC) = 1),
+        r AS (FROM (VALUES ('com', '/', false), ('example.com', '/en/', true), ('www.example.com', '/en/', false), ('net', '/es/', true), ('net', '/fr/', true)) v(host, path, block)),
+        y AS (SELECT p.row, r.host || r.path AS rule, r.block FROM p JOIN r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+              QUALIFY row_number() OVER (PARTITION BY p.row ORDER BY length(r.host || r.path) DESC) = 1)
+        SELECT t.page_id, t.host, t.path, y.rule, CASE WHEN coalesce(y.block, w.block, false) THEN 'block' ELSE 'allow' END AS verdict,
+               CASE WHEN y.rule IS NULL THEN w.because END AS because, CASE WHEN y.rule IS NULL THEN w.confidence END AS confidence
+        FROM t LEFT JOIN y ON y.row = t.row LEFT JOIN w ON w.row = t.row""",
 }
 
 
