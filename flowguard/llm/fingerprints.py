@@ -2,7 +2,7 @@
 
 A sketch retains every distinct shingle hash below a fixed fraction of the hash space.  Sketches of parts
 merge by union, and the shared hashes of two sketches estimate how far one document contains the other,
-however unequal their lengths.  Where both texts are at hand, all their hashes are compared instead.
+however unequal their lengths.  The exact values, from all hashes, stand beside the estimates.
 """
 
 from __future__ import annotations
@@ -55,6 +55,16 @@ def containment(a: Column, b: Column, same: Column) -> Column:
     return F.when(same, 1.0).when(F.size(a) > 0, F.size(F.array_intersect(a, b)) / F.greatest(F.size(a), F.lit(1))).otherwise(0.0)
 
 
+def parse(fingerprint: Column) -> Column:
+    """The retained hashes (hexadecimal) of a fingerprint as fingerprint_text writes it."""
+    return F.filter(F.split(F.substring_index(fingerprint, ":", -1), ","), lambda h: h != "")
+
+
+def merge(a: Column, b: Column) -> Column:
+    """The sketch of two parts together, from their sketches."""
+    return F.sort_array(F.array_union(a, b))
+
+
 def next_ids(ids: DataFrame) -> DataFrame:
     """``doc_id, next_id``: the next distinct id in descending order; after the last the first.
 
@@ -74,26 +84,32 @@ def fingerprints(docs: DataFrame, scale: int = SCALE, shingle: int = SHINGLE) ->
     """Fingerprint every text and its edited text (its last third replaced by the next document's beginning).
 
     Returns ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next,
-    in_edited, in_next``; the near columns are Jaccard similarities, the in columns containments, both of all
-    shingles; a fingerprint has the retained ones.  Null text counts as empty; rows of null doc_id are left
-    out, as they have no place in the order; rows of equal doc_id are kept, and as a next document they count
-    by their smallest text; the only document is its own next; an empty table gives none; other columns are
-    ignored.
+    in_edited, in_next`` and ``exact_`` forms of the last four.  The near columns are Jaccard similarities, the in
+    columns containments, both of the retained hashes; the exact ones of all.  Texts that retain no hash are alike
+    only if equal.  Null text counts as empty.  Rows of equal doc_id are kept, and as a next document they count by
+    their smallest text; a row of null doc_id is nobody's next and its own next is the first document (its own text
+    where no row has an id); the only document is its own next; an empty table gives none; other columns are ignored.
     """
-    base = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    order = next_ids(base)
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
+    known = base.where(F.col("doc_id").isNotNull())
+    order = next_ids(known)
+    order = order.unionByName(known.agg(F.max("doc_id").alias("next_id")).select(F.lit(None).cast("long").alias("doc_id"), "next_id"))
     wanted = order.select(F.col("next_id").alias("doc_id"), F.col("doc_id").alias("for_id"))
     # the next text travels, not its hashes: they are more bytes, and no easier to make
-    given = base.join(wanted, "doc_id").groupBy("for_id").agg(F.min("text").alias("nx"))
-    both = base.join(given, base["doc_id"] == given["for_id"])
+    given = known.join(wanted, "doc_id").groupBy("for_id").agg(F.min("text").alias("nx"))
+    both = base.join(given, base["doc_id"].eqNullSafe(given["for_id"]), "left").withColumn("nx", F.coalesce("nx", "text"))
     n = F.char_length("text")
     both = both.withColumn("edited", F.concat(F.expr("left(text, char_length(text) - cast(floor(char_length(text) / 3) as int))"),
                                               F.expr("left(nx, cast(floor(char_length(text) / 3) as int))")))
     both = both.withColumns({"h": shingles(F.col("text"), shingle), "eh": shingles(F.col("edited"), shingle), "nh": shingles(F.col("nx"), shingle)})
-    h, eh, nh, text, edited = F.col("h"), F.col("eh"), F.col("nh"), F.col("text"), F.col("edited")
-    same, as_next = text == edited, text == F.col("nx")
+    both = both.withColumns({"s" + c: sketch(F.col(c), scale) for c in ("h", "eh", "nh")})
+    text, edited, h = F.col("text"), F.col("edited"), F.col("h")
+    pairs = {"edited": (F.col("eh"), text == edited), "next": (F.col("nh"), text == F.col("nx"))}
+    kept = {"edited": F.col("seh"), "next": F.col("snh")}
     return both.select(
         "doc_id", n.cast("long").alias("n_chars"), F.sha2(edited.cast("binary"), 256).alias("edited_sha256"),
-        fingerprint_text(sketch(h, scale), text).alias("fingerprint"), fingerprint_text(sketch(eh, scale), edited).alias("edited_fingerprint"),
-        likeness(h, eh, same).alias("near_edited"), likeness(h, nh, as_next).alias("near_next"),
-        containment(h, eh, same).alias("in_edited"), containment(h, nh, as_next).alias("in_next"))
+        fingerprint_text(F.col("sh"), text).alias("fingerprint"), fingerprint_text(F.col("seh"), edited).alias("edited_fingerprint"),
+        *(likeness(F.col("sh"), kept[k], same).alias(f"near_{k}") for k, (_, same) in pairs.items()),
+        *(containment(F.col("sh"), kept[k], same).alias(f"in_{k}") for k, (_, same) in pairs.items()),
+        *(likeness(h, other, same).alias(f"exact_near_{k}") for k, (other, same) in pairs.items()),
+        *(containment(h, other, same).alias(f"exact_in_{k}") for k, (other, same) in pairs.items()))

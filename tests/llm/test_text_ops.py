@@ -88,7 +88,78 @@ def test_fingerprints(spark, odd):
         assert got[i]["n_chars"] == len(t) and got[i]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
         assert 0 <= got[i]["near_edited"] <= 1 and 0 <= got[i]["near_next"] <= 1
     assert got[2000]["fingerprint"] == got[1999]["fingerprint"] and got[2000]["near_next"] == 1
-    assert fingerprints.fingerprints(odd).count() == len(ODD) - 1 and fingerprints.fingerprints(df.limit(0)).count() == 0
+    assert fingerprints.fingerprints(odd).count() == len(ODD) and fingerprints.fingerprints(df.limit(0)).count() == 0
+
+
+def spark_hash(words):
+    """Spark's xxhash64 of several strings: each word's hash is the next one's seed."""
+    import xxhash
+
+    seed = 42
+    for w in words:
+        seed = xxhash.xxh64(w.encode(), seed=seed).intdigest()
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
+def shingle_set(text, n=5):
+    ws = re.findall("[^\\x20\\x09-\\x0D]+", text or "")
+    if len(ws) >= n:
+        return {spark_hash(ws[i:i + n]) for i in range(len(ws) - n + 1)}
+    return {spark_hash([" ".join(ws)])} if ws else set()
+
+
+def retained(hashes, scale):
+    return {h for h in hashes if h < -(1 << 63) + (1 << 64) // scale}
+
+
+@pytest.mark.parametrize("scale", [2, 8])
+def test_sketches_equal_brute_force(spark, scale):
+    """Which hashes are kept, what is estimated from them alone, and that parts merge."""
+    rnd = random.Random(scale)
+    base = [str(rnd.randrange(3000)) for _ in range(900)]
+    rows = [(i, " ".join(base[rnd.randrange(500):][:rnd.choice([0, 2, 5, 30, 400])])) for i in range(0, 60, 2)]
+    rows += [(7, None), (11, "é ü"), (12, "é ü"), (12, "other words here"), (None, " ".join(base[:300])), (None, None)]
+    df = spark.createDataFrame([(*r, "x", "y") for r in rows], "doc_id long, text string, h string, fingerprint string")
+    got = fingerprints.fingerprints(df, scale=scale)
+    assert got.count() == len(rows)
+    ids = sorted({i for i, _ in rows if i is not None})
+    least = {i: min(t or "" for j, t in rows if j == i) for i in ids}
+    want = collections.Counter()
+
+    def near(a, b, same):
+        return 1.0 if same else len(a & b) / len(a | b) if a | b else 0.0
+
+    def inside(a, b, same):
+        return 1.0 if same else len(a & b) / len(a) if a else 0.0
+    for i, t in rows:
+        t = t or ""
+        nx = least[ids[ids.index(i) - 1]] if i is not None else least[ids[-1]]
+        edited = t[:len(t) - len(t) // 3] + nx[:len(t) // 3]
+        h, eh, nh = map(shingle_set, (t, edited, nx))
+        s, es, ns = (retained(x, scale) for x in (h, eh, nh))
+        prints = [hashlib.md5(x.encode()).hexdigest() + ":" + ",".join(f"{v % (1 << 64):x}" for v in sorted(y)) for x, y in ((t, s), (edited, es))]
+        values = [f(a, b, same) for a, pairs in ((s, ((es, t == edited), (ns, t == nx))), (h, ((eh, t == edited), (nh, t == nx))))
+                  for f in (near, inside) for b, same in pairs]
+        want[(i, *prints, *(round(v, 9) for v in values))] += 1
+    names = [f"{e}{f}_{k}" for e in ("", "exact_") for f in ("near", "in") for k in ("edited", "next")]
+    assert collections.Counter((r["doc_id"], r["fingerprint"], r["edited_fingerprint"], *(round(r[c], 9) for c in names)) for r in got.collect()) == want
+    only = fingerprints.fingerprints(df.where("doc_id is null"), scale=scale).collect()
+    assert len(only) == 2 and all(r["near_next"] == 1 for r in only)
+
+
+def test_sketches_merge_and_contain(spark):
+    """The union of the parts' sketches is the whole's, and a hundredth of a text is found in it."""
+    rnd = random.Random(5)
+    words = [str(rnd.randrange(10 ** 6)) for _ in range(20000)]
+    whole, part, rest = " ".join(words), " ".join(words[:204]), " ".join(words[200:])
+    df = spark.createDataFrame([(whole, part, rest)], "whole string, part string, rest string")
+    s = {c: fingerprints.sketch(fingerprints.shingles(df[c]), 8) for c in df.columns}
+    r = df.select(fingerprints.merge(s["part"], s["rest"]).alias("m"), s["whole"].alias("w"), s["part"].alias("p"),
+                  fingerprints.containment(s["part"], s["whole"], df["part"] == df["whole"]).alias("inside"),
+                  fingerprints.parse(fingerprints.fingerprint_text(s["whole"], df["whole"])).alias("parsed")).first()
+    assert r["m"] == r["w"] and r["p"] and r["inside"] == 1
+    assert [int(x, 16) - (1 << 64) if int(x, 16) >> 63 else int(x, 16) for x in r["parsed"]] == r["w"]
+    assert set(r["w"]) == retained(shingle_set(whole), 8)
 
 
 def test_fingerprint_likeness_is_exact(spark):
@@ -108,7 +179,7 @@ def test_fingerprint_likeness_is_exact(spark):
     for i, t in rows:
         after = rows[i - 1][1]
         edited = t[:len(t) - len(t) // 3] + after[:len(t) // 3]
-        for other, near, within in ((edited, "near_edited", "in_edited"), (after, "near_next", "in_next")):
+        for other, near, within in ((edited, "exact_near_edited", "exact_in_edited"), (after, "exact_near_next", "exact_in_next")):
             a, b = of(t), of(other)
             assert abs(got[i][near] - (1 if t == other else len(a & b) / max(1, len(a | b)))) < 1e-9, (i, near)
             assert abs(got[i][within] - (1 if t == other else len(a & b) / max(1, len(a)))) < 1e-9, (i, within)
