@@ -1,5 +1,7 @@
 """WARC, chat windows, mixing, near duplicates and the pipeline: brute force and odd rows."""
 
+import collections
+import gzip
 import hashlib
 import itertools
 import random
@@ -26,6 +28,48 @@ def test_warc(spark):
     assert warc.archive_pages(df.limit(0)).count() == 0
 
 
+def test_warc_null_and_repeated_ids(spark):
+    """Rows of null or equal page_id are records of their own."""
+    big, other = "a" * 100000, "b" * 100000
+    rows = [(None, "u", big), (None, "u", None), (None, None, "x"), (5, "u", big), (5, "u", other), (5, "u", "small"), (5, "u", "small"),
+            (6, "u", other), (6, "u", other), (7, "u", "c" * 150000), (7, "u", "c" * 150000), (-3, "u", "neg")]
+    df = spark.createDataFrame([(*r, "n", "r") for r in rows], "page_id long, url string, html string, name string, record_id string")
+    got = collections.Counter((r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"], r["status"])
+                              for r in warc.archive_pages(df, segment=20000).collect())
+    sha = lambda t: hashlib.sha1((t or "").encode()).hexdigest()
+    want = collections.Counter([
+        (None, 100000, sha(big), "revisit", 5, "ok"), (None, 0, sha(""), "response", None, "ok"), (None, 1, sha("x"), "response", None, "ok"),
+        (5, 100000, sha(big), "response", None, "ok"), (5, 100000, sha(other), "revisit", 6, "ok"), (5, 5, sha("small"), "response", None, "ok"),
+        (5, 5, sha("small"), "response", None, "ok"), (6, 100000, sha(other), "revisit", 6, "ok"), (6, 100000, sha(other), "response", None, "ok"),
+        (7, 150000, sha("c" * 150000), "revisit", 7, "ok"), (7, 150000, sha("c" * 150000), "response", None, "ok"), (-3, 3, sha("neg"), "response", None, "ok")])
+    assert got == want
+
+
+def test_warc_segments(spark, tmpdir_path):
+    """Missing, doubled, altered and misnumbered segments are reported, not guessed; the order of records is free."""
+    body = bytes(range(256)) * 40
+    cases = {"ok": lambda r: r, "shuffled": lambda r: r[::-1], "missing": lambda r: r[:1] + r[2:], "no last": lambda r: r[:-1], "no first": lambda r: r[1:],
+             "doubled": lambda r: r + r[1:2], "altered": lambda r: r + [r[1].replace(bytes(range(60, 80)), bytes(20))],
+             "total": lambda r: [x.replace(b"Total-Length: ", b"Total-Length: 1") for x in r],
+             "digest": lambda r: [r[0].replace(b"Payload-Digest: sha1:", b"Payload-Digest: sha1:0")] + r[1:],
+             "framing": lambda r: [x.replace(b"\r\n2800\r\n", b"\r\n27ff\r\n") for x in r]}
+    records = [x for name, change in cases.items() for x in change(list(warc.page_records(name, "u", body, 2000)))]
+    records += [warc._record("warcinfo", "<urn:info>", b"about"), warc._record("revisit", "<urn:page:r>", b"", WARC_Refers_To="<urn:page:gone>")]
+    with gzip.open(f"{tmpdir_path}/part-0.warc.gz", "wb") as f:
+        f.write(b"\r\n\r\n".join(records[:30]) + b"\r\n\r\n")
+    with gzip.open(f"{tmpdir_path}/part-1.warc.gz", "wb") as f:
+        for r in records[30:]:
+            f.write(r + b"\r\n\r\n")
+    want = {n: "broken" if n in ("missing", "no last", "no first", "doubled", "altered", "total", "framing") else "digest differs" if n == "digest" else "ok" for n in cases} | {"r": "ok"}
+    for payloads in (True, False):
+        got = {r["record_id"][10:-1]: r for r in warc.read_archives(spark, tmpdir_path, payloads).collect()}
+        assert {n: r["status"] for n, r in got.items()} == want
+        assert all((bytes(got[n]["payload"]) == body if payloads else got[n]["payload"] is None) and got[n]["payload_bytes"] == len(body)
+                   for n in ("ok", "shuffled", "digest"))
+        assert all(got[n]["payload_digest"] is None and got[n]["payload"] is None for n in want if want[n] == "broken")
+    assert warc.page_digests(spark, tmpdir_path).where("record_type = 'revisit'").first()["status"] == "unresolved"
+
+
 def test_unframed_rejects_broken_framing():
     good = warc.framed(b"abc" * 9000)
     assert warc.unframed(good) == b"abc" * 9000 and warc.unframed(good[:-100]) is None and warc.unframed(b"no head") is None
