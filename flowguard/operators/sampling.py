@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowguard.functions.hashing import hash_bucket, hash_long, order_hash
-from flowguard.session import bounded_rows, small_table
+from flowguard.session import small_table
 
 _H, _B, _G = "_fg_h", "_fg_b", "_fg_g"
 
@@ -169,52 +169,39 @@ def undersample(df: DataFrame, label: str, seed: int = 42, key: Sequence[str] =
         .filter("_keep").drop("_keep")
 
 
-def _slot_owner(offsets: list[tuple], label_type: str) -> tuple[Column, Column]:
-    """(class, slot number within class) of a global slot id, from class offsets."""
-    cls = None
-    j = None
-    for value, off, d in offsets:
-        cond = F.col("id") < F.lit(off + d)
-        lit = F.lit(value).cast(label_type)
-        cls = F.when(cond, lit) if cls is None else cls.when(cond, lit)
-        jj = F.col("id") - F.lit(off) + 1
-        j = F.when(cond, jj) if j is None else j.when(cond, jj)
-    return cls, j
+SLOT_CHUNK = 65_536  #: draws of a class that one row of the slot plan makes
+SLOTS_PER_TASK = 2_000_000
+
+
+def draw_slots(sizes: DataFrame, draws: str, out: str) -> DataFrame:
+    """The rows of ``sizes`` (one a class) once for each of their ``draws``, numbered from 1 in ``out``.
+
+    A class's draws are cut into chunks of bounded size, and the chunks are dealt over tasks, so neither many
+    classes nor one class of many draws meets in one task or in one expression.
+    """
+    total = sizes.agg(F.sum(draws)).first()[0] or 0
+    parts = max(1, math.ceil(total / SLOTS_PER_TASK))
+    chunks = sizes.filter(F.col(draws) > 0).withColumn("_chunk", F.explode(F.expr(f"sequence(0L, ({draws} - 1) div {SLOT_CHUNK})")))
+    chunks = chunks.repartition(parts)
+    return chunks.withColumn(out, F.explode(F.expr(
+        f"sequence(_chunk * {SLOT_CHUNK} + 1, least(cast({draws} as bigint), (_chunk + 1) * {SLOT_CHUNK}))"))).drop("_chunk")
 
 
 def oversample(df: DataFrame, label: str, seed: int = 42, key: Sequence[str] = (),
-               salt: str = "over", copy_col: str = "copy_id",
-               slots_per_task: int = 2_000_000) -> DataFrame:
+               salt: str = "over", copy_col: str = "copy_id") -> DataFrame:
     """Random oversampling with replacement up to the largest class.
 
-    A class of n rows needs d = n_max - n draws.  The d draw slots of all classes
-    come from one ``spark.range`` spread over many tasks (no class is expanded in
-    a single task); slot j of a class picks row ``hash(seed, class, j) mod n + 1``
-    in hash order, fetched by an equi-join on (class, row number).  Originals
-    are kept with copy_id 0, drawn rows carry their slot number.
+    A class of n rows needs d = n_max - n draws, made by ``draw_slots``; slot j of a class picks row
+    ``hash(seed, class, j) mod n + 1`` in hash order, fetched by an equi-join on (class, row number).
+    Originals are kept with copy_id 0, drawn rows carry their slot number.
     """
-    spark = df.sparkSession
-    label_type = df.schema[label].dataType.simpleString()
     counts = class_counts_table(df, label)
-    counts = counts.withColumn("_d", F.max("n").over(Window.partitionBy()) - F.col("n"))
-    rows = sorted((r[label], r["n"], r["_d"]) for r in bounded_rows(counts) if r["_d"] > 0)
-    base = df.withColumn(copy_col, F.lit(0).cast("bigint"))
-    if not rows:
-        return base
-    offsets, off = [], 0
-    for value, _, d in rows:
-        offsets.append((value, off, d))
-        off += d
-    total = off
-    cls, j = _slot_owner(offsets, label_type)
-    parts = max(1, math.ceil(total / slots_per_task))
-    slots = spark.range(0, total, 1, parts).select(cls.alias(label), j.alias(copy_col))
-    sizes = spark.createDataFrame([(v, n) for v, n, _ in rows], f"{_G} {label_type}, _n bigint")
-    slots = slots.join(F.broadcast(sizes), slots[label] == sizes[_G]).drop(_G)
-    slots = slots.withColumn("_rn", F.pmod(hash_long(seed, salt + "-pick",
-                                                     [F.col(label), F.col(copy_col)]),
-                                           F.col("_n")) + 1).drop("_n")
-    minority = df.join(F.broadcast(sizes.select(F.col(_G).alias(label))), label, "left_semi")
+    counts, _ = small_table(counts.withColumn("_d", F.max("n").over(Window.partitionBy()) - F.col("n")).filter("_d > 0"))
+    slots = draw_slots(counts, "_d", copy_col).drop("_d")
+    slots = slots.withColumn("_rn", F.pmod(hash_long(seed, salt + "-pick", [F.col(label), F.col(copy_col)]),
+                                           F.col("n")) + 1).drop("n")
+    minority = df.join(counts.select(label), label, "left_semi")
     numbered = hash_row_number(minority, label, seed, salt, key, out="_rn")
     picked = slots.join(numbered, [label, "_rn"]).drop("_rn")
+    base = df.withColumn(copy_col, F.lit(0).cast("bigint"))
     return base.unionByName(picked.withColumn(copy_col, F.col(copy_col).cast("bigint")))

@@ -304,3 +304,33 @@ def imbalance_smote_neighbours_wide(spark, sf):
     kt = counts.select("Label", F.least(F.lit(kk), F.col("n") - 1).alias("k"))
     return rounded(nearest_neighbours(t, "Label", [f"e{i}" for i in range(WIDE)], KEY, kt)
                    .select("Label", "base_key", F.col("nn_rank").cast("int"), "nn_key", "dist2"))
+
+
+@register("imbalance_smote_neighbours_lsh", """
+WITH v AS (SELECT label, count(*) AS n FROM embeddings WHERE label IS NOT NULL GROUP BY 1),
+k AS (SELECT label, n, least((SELECT greatest(1, least(5, min(n) - 1)) FROM v), n - 1) AS k FROM v)
+SELECT label AS "Label", n * k AS wanted, true AS recall_90, CAST(0 AS BIGINT) AS nearer_than_exact, true AS near_linear FROM k WHERE k > 0""")
+def imbalance_smote_neighbours_lsh(spark, sf):
+    """Approximate neighbours over 64 features beside the exact ones: per class how many are wanted, whether nine
+    tenths are found, that none is nearer than the exact one of its rank, and that the vectors compared are at most
+    rows x tables x probes x twice the bucket."""
+    from flowguard.operators import lsh
+    from flowguard.operators.smote import nearest_neighbours, smote_k
+    from flowguard.plans.fixtures import WIDE, wide_features
+    t = wide_features(spark, sf).filter("Label IS NOT NULL")
+    counts = t.groupBy("Label").agg(F.count(F.lit(1)).alias("n"))
+    kk = smote_k(counts, 5)
+    kt = counts.select("Label", F.least(F.lit(kk), F.col("n") - 1).alias("k"))
+    cols = [f"e{i}" for i in range(WIDE)]
+    exact = nearest_neighbours(t, "Label", cols, KEY, kt)
+    rough = lsh.lsh_neighbours(t, "Label", cols, KEY, kt).select(
+        "Label", "base_key", "nn_rank", F.col("nn_key").alias("_k"), F.col("dist2").alias("_d"))
+    at_rank = exact.join(rough, ["Label", "base_key", "nn_rank"], "left").groupBy("Label").agg(
+        F.count(F.lit(1)).alias("wanted"), F.count_if(F.col("_d") < F.col("dist2") - 1e-9).alias("nearer_than_exact"))
+    hits = exact.join(rough.select("Label", "base_key", F.col("_k").alias("nn_key")), ["Label", "base_key", "nn_key"]).groupBy("Label").agg(
+        F.count(F.lit(1)).alias("_hits"))
+    pairs = lsh.lsh_pairs(t, "Label", cols, KEY, kt).join(counts, "Label")
+    bound = F.col("n") * lsh.TABLES * lsh.PROBES * 2 * lsh.BUCKET
+    return (at_rank.join(hits, "Label", "left").join(pairs, "Label")
+            .select("Label", "wanted", (F.coalesce("_hits", F.lit(0)) >= 0.9 * F.col("wanted")).alias("recall_90"), "nearer_than_exact",
+                    (F.col("pairs") <= bound).alias("near_linear")))
