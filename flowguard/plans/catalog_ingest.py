@@ -183,3 +183,89 @@ def ingest_stage_saved(spark, sf):
     w = Workflow(spark, sf)
     return stage.save_stage({"train": w.train, "test": w.test, "class_mapping": w.mapping},
                             scratch_path(spark, "stage"))
+
+
+_DAY_NO = F.regexp_extract(DAY, r"(\d+)", 1).cast("int")
+_DAY_SQL = """CAST(regexp_extract("Day", '(\\d+)', 1) AS INTEGER)"""
+
+
+def write_malformed_csvs(spark, sf):
+    """Day CSVs as broken tools leave them: every fifth day has a field too many in every second row, the days after
+    those hold quotes, separators and line ends inside quoted values."""
+    f = flows_raw(spark, sf).select("row_key", DAY, "Label", "`Flow Duration`")
+    key = F.col("row_key")
+    odd = f.filter(_DAY_NO % 5 == 0).withColumn("Label", F.when(key % 2 == 0, F.concat("Label", F.lit(",EXTRA"))).otherwise(F.col("Label")))
+    note = F.when(key % 11 == 0, 'two\nlines, "quoted"').when(key % 11 == 1, "a,b").otherwise("plain")
+    bases = []
+    for name, part, options in (("odd", odd, {"quote": ""}), ("even", f.filter(_DAY_NO % 5 != 0).withColumn(
+            "Label", F.when(_DAY_NO % 5 == 1, note).otherwise(F.col("Label"))), {"escape": '"'})):
+        base = scratch_path(spark, "flow-csv") + "/" + name
+        (part.hint("rebalance", DAY).write.partitionBy(DAY).option("header", True).options(**options)
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(base))
+        bases.append(base)
+    return bases
+
+
+def load_days(spark, bases):
+    dirs, days = [], []
+    for base in bases:
+        d, n = day_folders(spark, base)
+        dirs, days = dirs + d, days + n
+    return csv_flows.load_files(spark, dirs, tag=DAY, tag_values=days)
+
+
+@register("ingest_malformed", O.with_(O.FLOWS, f"""
+SELECT "Day" AS file, CAST(CASE WHEN {_DAY_SQL} % 5 = 0 THEN 0 ELSE count(*) END AS BIGINT) AS rows, {_DAY_SQL} % 5 = 0 AS malformed,
+       CAST(CASE WHEN {_DAY_SQL} % 5 = 0 THEN count_if(row_key % 2 = 0) ELSE 0 END AS BIGINT) AS too_long, {_DAY_SQL} % 5 = 1 AS quoted_breaks
+FROM flows_raw GROUP BY "Day\""""))
+def ingest_malformed(spark, sf):
+    """Load log with the records of too many fields: their files are errors and left out; quoted line ends are no records."""
+    got = load_days(spark, write_malformed_csvs(spark, sf))
+    files = got.files.groupBy("file").agg(F.sum("too_long").alias("too_long"), F.bool_or("quoted_breaks").alias("quoted_breaks"))
+    return got.log.join(files, "file").select("file", "rows", F.coalesce(F.col("error").startswith("ParserError"), F.lit(False)).alias("malformed"),
+                                              "too_long", "quoted_breaks")
+
+
+@register("ingest_malformed_rows", O.with_(O.FLOWS, f"""
+SELECT row_key, "Day", CASE WHEN {_DAY_SQL} % 5 <> 1 THEN "Label" WHEN row_key % 11 = 0 THEN 'two' || chr(10) || 'lines, "quoted"'
+                            WHEN row_key % 11 = 1 THEN 'a,b' ELSE 'plain' END AS "Label", "Flow Duration"
+FROM flows_raw WHERE {_DAY_SQL} % 5 <> 0"""))
+def ingest_malformed_rows(spark, sf):
+    """All rows of the files that are well formed; values with quotes, separators and line ends come back whole."""
+    return load_days(spark, write_malformed_csvs(spark, sf)).flows.select("row_key", DAY, "Label", "`Flow Duration`")
+
+
+@register("ingest_mixed_folder", O.with_(O.FLOWS, """
+SELECT row_key, "Day", CASE row_key % 3 WHEN 0 THEN 'déjà vu' WHEN 1 THEN 'über' ELSE 'ok' END AS "Comment" FROM flows_raw"""))
+def ingest_mixed_folder(spark, sf):
+    """Every day's folder holds UTF-8 and Latin-1 files: each is decoded by itself."""
+    f = flows_raw(spark, sf).select("row_key", DAY)
+    f = f.withColumn("Comment", F.when(F.col("row_key") % 3 == 0, "déjà vu").when(F.col("row_key") % 3 == 1, "über").otherwise("ok"))
+    base = scratch_path(spark, "flow-csv")
+    for charset, rest in (("ISO-8859-1", 0), ("UTF-8", 1)):
+        (f.filter(F.col("row_key") % 2 == rest).hint("rebalance", DAY).write.mode("append").partitionBy(DAY).option("header", True)
+         .option("encoding", charset).csv(base))
+    return load_days(spark, [base]).flows.select("row_key", DAY, "Comment")
+
+
+@register("ingest_types", O.with_(O.FLOWS, f"""
+SELECT DISTINCT "Day" AS file, 'Mixed' AS "column", CASE {_DAY_SQL} % 3 WHEN 0 THEN 'bigint' WHEN 1 THEN 'double' ELSE 'string' END AS type FROM flows_raw
+UNION ALL SELECT DISTINCT "Day", 'Number', CASE {_DAY_SQL} % 2 WHEN 0 THEN 'bigint' ELSE 'double' END FROM flows_raw
+UNION ALL SELECT DISTINCT "Day", 'Sometimes', CASE {_DAY_SQL} % 2 WHEN 0 THEN 'none' ELSE 'bigint' END FROM flows_raw
+UNION ALL SELECT 'all', 'Mixed', CASE WHEN bool_or({_DAY_SQL} % 3 = 2) THEN 'string' WHEN bool_or({_DAY_SQL} % 3 = 1) THEN 'double' ELSE 'bigint' END FROM flows_raw
+UNION ALL SELECT 'all', 'Number', CASE WHEN bool_or({_DAY_SQL} % 2 = 1) THEN 'double' ELSE 'bigint' END FROM flows_raw
+UNION ALL SELECT 'all', 'Sometimes', CASE WHEN bool_or({_DAY_SQL} % 2 = 1) THEN 'bigint' ELSE 'double' END FROM flows_raw"""))
+def ingest_types(spark, sf):
+    """The types of each day's file, and what they widen to in the merged table."""
+    f = flows_raw(spark, sf).select("row_key", DAY)
+    key = F.col("row_key").cast("string")
+    f = f.withColumns({
+        "Mixed": F.when(_DAY_NO % 3 == 0, key).when(_DAY_NO % 3 == 1, F.concat(key, F.lit(".5"))).otherwise(F.concat(F.lit("k"), key)),
+        "Number": F.when(_DAY_NO % 2 == 0, key).otherwise(F.concat(key, F.lit("e-1"))),
+        "Sometimes": F.when(_DAY_NO % 2 == 0, "NA").otherwise(key)})
+    base = scratch_path(spark, "flow-csv")
+    f.hint("rebalance", DAY).write.partitionBy(DAY).option("header", True).csv(base)
+    got = load_days(spark, [base])
+    merged = spark.createDataFrame([("all", c, t) for c, t in got.flows.dtypes if c in ("Mixed", "Number", "Sometimes")], "file string, column string, type string")
+    by_file = got.types.filter(F.col("column") != "row_key").select("file", "column", "type").distinct()
+    return by_file.unionByName(merged)
