@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowguard.operators.clean import q
-from flowguard.operators.profile import exact_quantiles, to_long
+from flowguard.operators.profile import exact_quantiles
 
 PARAMS_SCHEMA = "feature string, position int, median double, mean double, std double"
 
@@ -26,7 +26,7 @@ def fit_preprocess(train: DataFrame, cols: Sequence[str], medians: DataFrame | N
     cols = list(cols)
     spark = train.sparkSession
     med = medians.select("feature", "median") if medians is not None else exact_quantiles(
-        to_long(train, cols), ["feature"], [0.5]).select("feature", F.col("q").alias("median"))
+        train, cols, [0.5]).select("feature", F.col("q").alias("median"))
     names = spark.createDataFrame([(c, i) for i, c in enumerate(cols)], "feature string, position int")
     med_rows = {r["feature"]: r["median"] for r in names.join(med, "feature", "left").collect()}
     filled = train.select(*[F.coalesce(F.col(q(c)), F.lit(med_rows[c])).alias(c)

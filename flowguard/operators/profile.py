@@ -13,11 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowguard.operators.clean import q
-from flowguard.session import small_table
-
-# Rank error of the sketch that brackets an exact quantile is n / QUANTILE_ACCURACY.
-QUANTILE_ACCURACY = 100_000
-
+from flowguard.session import materialize, small_table
 
 def to_long(df: DataFrame, cols: Sequence[str], ids: Sequence[str] = (),
             feature: str = "feature", value: str = "value") -> DataFrame:
@@ -30,73 +26,121 @@ def to_long(df: DataFrame, cols: Sequence[str], ids: Sequence[str] = (),
 
 # ── exact quantiles without one task holding a whole group ─────────────────
 
-def exact_quantiles(long_df: DataFrame, groups: Sequence[str], probs: Sequence[float],
-                    value: str = "value", accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
-    """Exact linear-interpolation quantiles (same rule as SQL ``quantile_cont``).
+QUANTILE_BITS = 16  #: bits of a value that one round of the selection fixes
+_TOP = np.int64(-(1 << 63))
+
+
+def ordered_bits(x: np.ndarray) -> np.ndarray:
+    """Doubles as unsigned integers of the same order; both zeros are equal, all NaNs are the greatest."""
+    x = np.where(np.isnan(x), np.nan, x + 0.0)
+    b = x.view(np.int64)
+    return (b ^ np.where(b < 0, np.int64(-1), _TOP)).view(np.uint64)
+
 
-    A mergeable sketch (``percentile_approx``) brackets the wanted ranks; one
-    counting pass checks the bracket (falls back to the whole range for a
-    group where it does not hold), and only rows inside the bracket — about
-    8 * n / accuracy per group — are ranked by a window.
-    Returns (groups..., p, q).
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], group: str | None = None) -> DataFrame:
+    """Exact linear-interpolation quantiles (same rule as SQL ``quantile_cont``): (group, feature, p, q).
+
+    A selection over the bits of the values: each round counts, by column, the values that agree with a wanted
+    rank's bits so far by their next ``QUANTILE_BITS`` bits, which fixes those bits of the value at that rank.
+    A round is one pass over the wide rows and one aggregate; it ends for a rank when all values left are equal,
+    after 64 / ``QUANTILE_BITS`` rounds at the latest.  No task sees more than 2 ** ``QUANTILE_BITS`` counts of a
+    group and column, whatever the values.  Missing values are skipped; rows of a null group are left out; a
+    group without values in a column gives no row for it.
     """
-    groups = list(groups)
-    eps = 3.0 / accuracy
-    lo_p = [max(0.0, p - eps) for p in probs]
-    hi_p = [min(1.0, p + eps) for p in probs]
-    stats = long_df.groupBy(*groups).agg(
-        F.count(value).alias("_n"),
-        F.percentile_approx(value, F.array(*[F.lit(x) for x in lo_p + hi_p]), accuracy)
-         .alias("_br"))
-    k = len(probs)
-    per_p = stats.select(*groups, "_n", F.explode(F.arrays_zip(
-        F.array(*[F.lit(float(p)) for p in probs]).alias("p"),
-        F.slice("_br", 1, k).alias("lo"),
-        F.slice("_br", k + 1, k).alias("hi"))).alias("_z"))
-    pos = (F.col("_n") - 1) * F.col("_z.p")
-    bounds = per_p.select(*groups, "_n", F.col("_z.p").alias("p"),
-                          F.col("_z.lo").alias("_lo"), F.col("_z.hi").alias("_hi"),
-                          F.floor(pos).cast("bigint").alias("_k1"),
-                          F.ceil(pos).cast("bigint").alias("_k2"),
-                          (pos - F.floor(pos)).alias("_frac"))
-    bounds, _ = small_table(bounds)
-    j = long_df.join(bounds, groups)
-    chk = j.groupBy(*groups, "p").agg(
-        F.count_if(F.col(value) < F.col("_lo")).alias("_below"),
-        F.count_if(F.col(value) <= F.col("_hi")).alias("_upto"))
-    b2 = bounds.join(chk, groups + ["p"])
-    ok = (F.col("_below") <= F.col("_k1")) & (F.col("_upto") >= F.col("_k2") + 1)
-    b2 = b2.select(*groups, "p", "_k1", "_k2", "_frac",
-                   F.when(ok, F.col("_lo")).otherwise(F.lit(float("-inf"))).alias("_lo"),
-                   F.when(ok, F.col("_hi")).otherwise(F.lit(float("inf"))).alias("_hi"),
-                   F.when(ok, F.col("_below")).otherwise(F.lit(0)).alias("_below"))
-    b2, _ = small_table(b2)
-    cand = long_df.join(b2, groups).filter(
-        (F.col(value) >= F.col("_lo")) & (F.col(value) <= F.col("_hi")))
-    # ties are counted before ranking: a value that fills a third of the rows is one row here
-    tied = cand.groupBy(*groups, "p", value, "_k1", "_k2", "_frac", "_below").agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(*groups, "p").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    last = F.sum("_c").over(w) + F.col("_below")  # one past the rank of the value's last row
-    ranked = tied.withColumn("_last", last)
-    agg = ranked.groupBy(*groups, "p").agg(
-        F.min(F.when(F.col("_last") > F.col("_k1"), F.col(value))).alias("_v1"),
-        F.min(F.when(F.col("_last") > F.col("_k2"), F.col(value))).alias("_v2"),
-        F.first("_frac").alias("_frac"))
-    return agg.select(*groups, "p", (F.col("_v1") + (F.col("_v2") - F.col("_v1")) * F.col("_frac"))
-                      .alias("q"))
+    spark = df.sparkSession
+    cols, probs = list(cols), [float(p) for p in probs]
+    ranks = 2 * len(probs)  # the rank below and above each quantile
+    rows = df.select(F.col(group).alias("_g") if group else F.lit(0).alias("_g"), *[F.col(q(c)).cast("double").alias(f"_x{i}") for i, c in enumerate(cols)])
+    rows = rows.filter(F.col("_g").isNotNull())
+    gtype = rows.schema["_g"].dataType.simpleString()
+    known = None
+    for at in range(0, 64, QUANTILE_BITS):
+        counts = _next_bits(rows, known, len(cols), ranks, at, gtype)
+        w = Window.partitionBy("_g", "_f", "_t").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+        if known is None:  # one histogram serves all ranks of a column
+            total = Window.partitionBy("_g", "_f")
+            some = counts.drop("_t").withColumn("_total", F.sum("_n").over(total))
+            wanted = F.explode(F.array(*[F.struct(F.lit(2 * i + up).alias("_t"), F.lit(p).alias("p"), F.lit(up).alias("up")) for i, p in enumerate(probs) for up in (0, 1)]))
+            some = some.withColumn("_w", wanted).select("_g", "_f", "_b", "_n", "_lo", "_hi", "_total", "_w.*")
+            spot = (F.col("_total") - 1) * F.col("p")
+            counts = some.withColumn("_rank", F.when(F.col("up") == 1, F.ceil(spot)).otherwise(F.floor(spot)).cast("bigint")).withColumn("_part", spot - F.floor(spot))
+            counts = counts.withColumn("_before", F.lit(0).cast("bigint")).withColumn("_prefix", F.lit(0).cast("bigint")).drop("up", "_total")
+        else:
+            counts = counts.join(known.filter("not _done").select("_g", "_f", "_t", "p", "_rank", "_part", "_before", "_prefix"), ["_g", "_f", "_t"])
+        upto = F.col("_before") + F.sum("_n").over(w)
+        hit = (counts.withColumn("_upto", upto).filter((F.col("_upto") > F.col("_rank")) & (F.col("_upto") - F.col("_n") <= F.col("_rank")))
+               .select("_g", "_f", "_t", "p", "_rank", "_part", (F.col("_upto") - F.col("_n")).alias("_before"),
+                       F.shiftleft("_prefix", QUANTILE_BITS).bitwiseOR(F.col("_b")).alias("_prefix"), F.col("_lo").alias("_value"), (F.col("_lo") == F.col("_hi")).alias("_done")))
+        known = materialize(hit if known is None else known.filter("_done").unionByName(hit))
+        if not known.filter("not _done").limit(1).count():
+            break
+    names = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("_f") + 1)
+    value = known.groupBy("_g", "_f", "p").agg(F.max(F.when(F.col("_t") % 2 == 0, F.col("_value"))).alias("a"),
+                                               F.max(F.when(F.col("_t") % 2 == 1, F.col("_value"))).alias("b"), F.max("_part").alias("_part"))
+    # equal ends first: infinite ones have no difference
+    between = F.when(F.col("a") == F.col("b"), F.col("a")).otherwise(F.col("a") + (F.col("b") - F.col("a")) * F.col("_part"))
+    out = value.select(F.col("_g"), names.alias("feature"), "p", between.alias("q"))
+    return out.withColumnRenamed("_g", group) if group else out.drop("_g")
+
+
+def _next_bits(rows: DataFrame, known: DataFrame | None, d: int, ranks: int, at: int, gtype: str) -> DataFrame:
+    """(_g, _f, _t, _b, _n, _lo, _hi): values by the bits from place ``at`` on, for each open rank (all values in one
+    histogram, ``_t`` 0, where no bits are known)."""
+    shift = np.uint64(64 - QUANTILE_BITS - at)
+    mask = np.uint64((1 << QUANTILE_BITS) - 1)
+    later = known is not None
+    if later:
+        # one row per group: the bits so far of each column's ranks, null where the rank is done
+        by_rank = F.map_from_entries(F.collect_list(F.struct((F.col("_f") * ranks + F.col("_t")).alias("k"), F.col("_prefix"))))
+        wanted = known.filter("not _done").groupBy("_g").agg(by_rank.alias("_m"))
+        wanted, _ = small_table(wanted.select("_g", F.transform(F.sequence(F.lit(0), F.lit(d * ranks - 1)), lambda k: F.try_element_at(F.col("_m"), k)).alias("_m")))
+        rows = rows.join(wanted, "_g")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, 8192):
+                b = whole.slice(start, 8192)
+                groups = b.column(0).dictionary_encode()
+                code = groups.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+                if later:
+                    flat = b.column(d + 1).flatten()
+                    open_ = flat.is_valid().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
+                    prefix = flat.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64).reshape(b.num_rows, -1)
+                out = []
+                for f in range(d):
+                    col = b.column(f + 1)
+                    has = col.is_valid().to_numpy(zero_copy_only=False)
+                    x = col.to_numpy(zero_copy_only=False).astype(np.float64)
+                    bits = ordered_bits(x)
+                    for t in range(ranks if later else 1):
+                        use = has if not later else has & open_[:, f * ranks + t] & (bits >> np.uint64(64 - at) == prefix[:, f * ranks + t])
+                        i = np.flatnonzero(use)
+                        if not len(i):
+                            continue
+                        i = i[np.lexsort((bits[i], code[i]))]
+                        key = code[i] << QUANTILE_BITS | ((bits[i] >> shift) & mask).astype(np.int64)
+                        cut = np.flatnonzero(np.diff(key, prepend=-1))
+                        last = np.append(cut[1:], len(i)) - 1
+                        out.append((code[i][cut], np.full(len(cut), f), np.full(len(cut), t), key[cut] & int(mask), last - cut + 1, x[i][cut] + 0.0, x[i][last] + 0.0))
+                if out:
+                    g, *cols = (np.concatenate(c) for c in zip(*out))
+                    yield pa.RecordBatch.from_arrays(
+                        [groups.dictionary.take(pa.array(g)), *(pa.array(c.astype(np.int32)) for c in cols[:2]), *(pa.array(c.astype(np.int64)) for c in cols[2:4]),
+                         *(pa.array(c) for c in cols[4:])], ["_g", "_f", "_t", "_b", "_n", "_lo", "_hi"])
+
+    parts = rows.mapInArrow(count, f"_g {gtype}, _f int, _t int, _b bigint, _n bigint, _lo double, _hi double")
+    return parts.groupBy("_g", "_f", "_t", "_b").agg(F.sum("_n").alias("_n"), F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
 
 
 def medians(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
     """(feature, median) per column, missing values skipped; all-missing -> NULL."""
     names = df.sparkSession.createDataFrame([(c, i) for i, c in enumerate(cols)],
                                             "feature string, position int")
-    long_ = to_long(df, cols).persist()  # scanned by several passes
     if exact:
-        m = exact_quantiles(long_, ["feature"], [0.5]).select("feature", F.col("q").alias("median"))
+        m = exact_quantiles(df, cols, [0.5]).select("feature", F.col("q").alias("median"))
     else:
-        m = long_.groupBy("feature").agg(F.percentile_approx("value", 0.5, 10_000).alias("median"))
+        m = to_long(df, cols).groupBy("feature").agg(F.percentile_approx("value", 0.5, 10_000).alias("median"))
     out, _ = small_table(names.join(m, "feature", "left").select("feature", "median", "position"))
-    long_.unpersist()
     return out
 
 
@@ -237,24 +281,28 @@ def class_means(df: DataFrame, cols: Sequence[str], label: str = "label_id") ->
 
 
 def class_box_stats(df: DataFrame, cols: Sequence[str], label: str = "label_id") -> DataFrame:
-    """Per class and feature: n, q1, median, q3, whisker ends at 1.5 IQR, outliers."""
+    """Per class and feature: n, q1, median, q3, whisker ends at 1.5 IQR, outliers.
+
+    The whiskers are one aggregate by class over the wide rows."""
     have = [c for c in cols if c in df.columns]
-    long_ = to_long(df, have, ids=[label]).persist()  # quantile passes + whisker pass
-    qs = exact_quantiles(long_, [label, "feature"], [0.25, 0.5, 0.75])
+    qs = exact_quantiles(df, have, [0.25, 0.5, 0.75], label)
     wide = qs.groupBy(label, "feature").pivot("p", [0.25, 0.5, 0.75]).agg(F.first("q"))
     wide = wide.toDF(label, "feature", "q1", "median", "q3")
-    wide = wide.withColumn("_lo", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
-               .withColumn("_hi", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
-    wide, _ = small_table(wide)
-    j = long_.join(wide, [label, "feature"])
-    inside = (F.col("value") >= F.col("_lo")) & (F.col("value") <= F.col("_hi"))
-    agg = j.groupBy(label, "feature").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(F.when(inside, F.col("value"))).alias("whisker_lo"),
-        F.max(F.when(inside, F.col("value"))).alias("whisker_hi"),
-        F.count_if(~inside).alias("outliers"))
-    out, _ = small_table(wide.drop("_lo", "_hi").join(agg, [label, "feature"]))
-    long_.unpersist()
+    reach = 1.5 * (F.col("q3") - F.col("q1"))
+    wide, _ = small_table(wide.withColumn("_lo", F.col("q1") - reach).withColumn("_hi", F.col("q3") + reach))
+    ends = F.map_from_entries(F.collect_list(F.struct("feature", F.struct("_lo", "_hi"))))
+    by_class, _ = small_table(wide.groupBy(label).agg(ends.alias("_ends")))
+    aggs = []
+    for i, c in enumerate(have):
+        v, end = F.col(q(c)).cast("double"), F.try_element_at(F.col("_ends"), F.lit(c))
+        inside = (v >= end["_lo"]) & (v <= end["_hi"])
+        aggs += [F.count(v).alias(f"n{i}"), F.min(F.when(inside, v)).alias(f"lo{i}"), F.max(F.when(inside, v)).alias(f"hi{i}"),
+                 F.count_if(v.isNotNull() & ~inside).alias(f"out{i}")]
+    seen = df.select(F.col(label), *[F.col(q(c)) for c in have]).join(by_class, label).groupBy(label).agg(*aggs)
+    each = [F.struct(F.lit(c).alias("feature"), F.col(f"n{i}").alias("n"), F.col(f"lo{i}").alias("whisker_lo"), F.col(f"hi{i}").alias("whisker_hi"),
+                     F.col(f"out{i}").alias("outliers")) for i, c in enumerate(have)]
+    long_ = seen.select(label, F.inline(F.array(*each)))
+    out, _ = small_table(wide.drop("_lo", "_hi").join(long_, [label, "feature"]))
     return out
 
 

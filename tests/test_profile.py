@@ -3,14 +3,63 @@ import numpy as np
 from flowguard.operators import profile
 
 
+def _quantiles_equal_numpy(spark, columns, groups, probs=(0.0, 0.25, 0.5, 0.75, 0.9, 1.0)):
+    names = [f"c{i}" for i in range(len(columns))]
+    rows = list(zip(groups, *[[None if v is None else float(v) for v in c] for c in columns]))
+    df = spark.createDataFrame(rows, "g string, " + ", ".join(f"{c} double" for c in names)).repartition(3)
+    got = {(r["g"], r["feature"], r["p"]): r["q"] for r in profile.exact_quantiles(df, names, probs, "g").collect()}
+    want = {}
+    for g in set(groups) - {None}:
+        for name, c in zip(names, columns):
+            v = np.array(sorted((float(x) for x, h in zip(c, groups) if h == g and x is not None), key=lambda x: (np.isnan(x), x)))
+            for p in probs if len(v) else ():
+                at = (len(v) - 1) * p
+                a, b = v[int(np.floor(at))], v[int(np.ceil(at))]
+                want[g, name, p] = a if a == b or np.isnan(a) and np.isnan(b) else a + (b - a) * (at - np.floor(at))
+    assert got.keys() == want.keys()
+    for k, w in want.items():
+        assert got[k] == w or np.isnan(got[k]) and np.isnan(w) or abs(got[k] - w) <= 1e-12 * abs(w), k
+
+
 def test_exact_quantiles_match_numpy(spark):
     rng = np.random.default_rng(1)
-    rows = [(int(g), float(v)) for g in range(3) for v in rng.normal(size=101 + 50 * g).round(3)]
-    df = spark.createDataFrame(rows, "g int, value double")
-    got = profile.exact_quantiles(df, ["g"], [0.25, 0.5, 0.75], accuracy=50)
-    for r in got.collect():
-        vals = np.array([v for g, v in rows if g == r["g"]])
-        assert abs(r["q"] - np.percentile(vals, r["p"] * 100)) < 1e-12
+    groups = [str(g) for g in range(3) for _ in range(101 + 50 * g)]
+    n = len(groups)
+    holes = [None if rng.random() < 0.3 else v for v in rng.normal(size=n)]
+    _quantiles_equal_numpy(spark, [rng.normal(size=n).round(3), holes, rng.integers(0, 3, n)], groups)
+
+
+def test_exact_quantiles_of_values_that_no_sketch_tells_apart(spark):
+    """Values that differ in their last bits only, huge and tiny ones, ties, infinities, NaN, zeros of both signs."""
+    rng = np.random.default_rng(2)
+    n = 3000
+    close = 1.0 + rng.integers(0, 5000, n) * np.finfo(float).eps
+    ladder = np.sign(rng.normal(size=n)) * 10.0 ** rng.integers(-300, 300, n)
+    tiny = rng.integers(-50, 50, n) * 5e-324
+    odd = rng.choice([np.inf, -np.inf, np.nan, 0.0, -0.0, 1.0], n)
+    ties = np.where(rng.random(n) < 0.4, 7.0, rng.normal(size=n))
+    one = [None] * (n - 1) + [3.5]
+    groups = [["a", "b", None, "lone"][i] for i in rng.choice(3, n - 1)] + ["lone"]
+    _quantiles_equal_numpy(spark, [close, ladder, tiny, odd, ties, one], groups)
+
+
+def test_quantile_rounds_are_bounded(spark, monkeypatch):
+    """A window ranks at most 2 ** QUANTILE_BITS counts of a group and column; fewer bits only take more rounds."""
+    seen = []
+    real = profile._next_bits
+
+    def watch(*args):
+        out = real(*args).persist()
+        seen.append(out.groupBy("_g", "_f", "_t").count().agg({"count": "max"}).first()[0] or 0)
+        return out
+    monkeypatch.setattr(profile, "_next_bits", watch)
+    monkeypatch.setattr(profile, "QUANTILE_BITS", 8)
+    x = 1.0 + np.random.default_rng(3).permutation(20000) * np.finfo(float).eps
+    df = spark.createDataFrame([(float(v),) for v in x], "a double")
+    got = {r["p"]: r["q"] for r in profile.exact_quantiles(df, ["a"], [0.5, 0.999]).collect()}
+    assert got[0.5] == np.percentile(x, 50) and abs(got[0.999] - np.percentile(x, 99.9)) < 1e-15
+    assert max(seen) <= 256 and len(seen) == 8
+    assert profile.exact_quantiles(df.limit(0), ["a"], [0.5]).count() == 0
 
 
 def test_medians_interpolate(spark):
