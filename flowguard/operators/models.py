@@ -1,64 +1,83 @@
 """Tree models with MLlib: weighted / resampled decision trees, forest
 importances (global and one-vs-rest per class).
 
-Training data is sorted by its row key before fitting so the same data and
-seed give the same model regardless of upstream partitioning.
+Training rows are dealt to partitions by a hash of their key, as many as the number
+of rows asks for, and sorted by key in each, so the same data and seed give the same
+model on any cluster and with any upstream partitioning; the layout is kept with a
+saved model.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowguard.operators.clean import q
 from flowguard.session import bounded_rows
 
 MAX_DEPTH = 30  # MLlib's limit; stands for "unlimited"
-FIT_PARTITIONS = 32  # of the training rows: trees must not depend on the cluster's size
+FIT_CHUNK = 25_000  #: training rows of a partition on average: trees depend on the rows, not on the cluster's size
+
+
+@dataclass(frozen=True)
+class FitLayout:
+    """How training rows were dealt: what else than data and seed a model depends on."""
+    rows: int
+    partitions: int
+    seed: int
+
+
+def fit_layout(rows: int, seed: int = 42) -> FitLayout:
+    return FitLayout(rows, max(1, math.ceil(rows / FIT_CHUNK)), seed)
 
 
 def _assembled(df: DataFrame, cols: Sequence[str], label: str, key: str | None,
-               weight: str | None = None) -> DataFrame:
+               weight: str | None, seed: int) -> tuple[DataFrame, FitLayout]:
     sel = [F.col(q(c)).cast("double").alias(f"_x{i}") for i, c in enumerate(cols)]
     extra = [F.col(label).cast("double").alias("_y")]
     if weight:
         extra.append(F.col(weight).cast("double").alias("_w"))
-    if key:
-        extra.append(F.col(key))
-    out = df.select(*sel, *extra)
-    if key:
-        out = out.repartitionByRange(FIT_PARTITIONS, key) \
-                 .sortWithinPartitions(key)
-    return VectorAssembler(inputCols=[f"_x{i}" for i in range(len(cols))], outputCol="_v") \
-        .transform(out).select("_v", "_y", *(["_w"] if weight else [])).persist()
+    out = df.select(*sel, *extra, *([F.col(key)] if key else [])).persist()
+    layout = fit_layout(out.count(), seed)
+    dealt = out.repartition(layout.partitions, key).sortWithinPartitions(key) if key else out.repartition(layout.partitions)
+    data = VectorAssembler(inputCols=[f"_x{i}" for i in range(len(cols))], outputCol="_v") \
+        .transform(dealt).select("_v", "_y", *(["_w"] if weight else [])).persist()
+    data.count()
+    out.unpersist()
+    return data, layout
+
+
+def _fit(learner, df: DataFrame, cols, label, key, weight, seed):
+    data, layout = _assembled(df, cols, label, key, weight, seed)
+    try:
+        model = (learner.setWeightCol("_w") if weight else learner).fit(data)
+    finally:
+        data.unpersist()
+    model.layout = layout
+    return model
 
 
 def fit_tree(df: DataFrame, cols: Sequence[str], label: str = "label_id", key: str | None = None,
              weight: str | None = None, seed: int = 42, max_depth: int = MAX_DEPTH):
-    data = _assembled(df, cols, label, key, weight)
     dt = DecisionTreeClassifier(featuresCol="_v", labelCol="_y", seed=seed, maxDepth=max_depth,
-                                maxBins=64, maxMemoryInMB=1024, cacheNodeIds=True,
-                                **({"weightCol": "_w"} if weight else {}))
-    model = dt.fit(data)
-    data.unpersist()
-    return model
+                                maxBins=64, maxMemoryInMB=1024, cacheNodeIds=True)
+    return _fit(dt, df, cols, label, key, weight, seed)
 
 
 def fit_forest(df: DataFrame, cols: Sequence[str], label: str = "label_id", key: str | None = None,
-               trees: int = 50, max_depth: int = MAX_DEPTH, seed: int = 42):
-    data = _assembled(df, cols, label, key)
+               trees: int = 50, max_depth: int = MAX_DEPTH, seed: int = 42, weight: str | None = None):
     rf = RandomForestClassifier(featuresCol="_v", labelCol="_y", seed=seed, numTrees=trees,
                                 maxDepth=max_depth, maxBins=64, maxMemoryInMB=1024,
                                 cacheNodeIds=True)
-    model = rf.fit(data)
-    data.unpersist()
-    return model
+    return _fit(rf, df, cols, label, key, weight, seed)
 
 
 def predict(model, df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (),
@@ -81,20 +100,25 @@ def importances(model, cols: Sequence[str], spark, scope: str | None = None) ->
 
 
 def rf_importance(df: DataFrame, cols: Sequence[str], label: str = "label_id", key: str | None = None,
-                  trees: int = 50, max_depth: int = MAX_DEPTH, top: int = 20, seed: int = 42) -> DataFrame:
-    m = fit_forest(df, cols, label, key, trees, max_depth, seed)
+                  trees: int = 50, max_depth: int = MAX_DEPTH, top: int = 20, seed: int = 42, weight: str | None = None) -> DataFrame:
+    m = fit_forest(df, cols, label, key, trees, max_depth, seed, weight)
     return importances(m, cols, df.sparkSession).filter(F.col("rank") <= top)
 
 
 def rf_per_class(df: DataFrame, cols: Sequence[str], mapping: DataFrame, label: str = "label_id",
                  key: str | None = None, trees: int = 30, max_depth: int = 8, top: int = 3,
                  min_pos: int = 5, global_top: DataFrame | None = None, seed: int = 42,
-                 threads: int = 4) -> DataFrame:
-    """One-vs-rest forest per class; classes with < ``min_pos`` positives take the
-    global top features (flag ``fallback``).  Fits run as concurrent jobs."""
+                 threads: int = 4, counts: DataFrame | None = None, weight: str | None = None) -> DataFrame:
+    """One-vs-rest forest per class; classes with < ``min_pos`` rows take the global top features
+    (flag ``fallback``).  Fits run as concurrent jobs.
+
+    ``df`` may be a sample; ``counts`` (label, count) then gives the rows of each class in the whole table, and the
+    sample must hold some of every class (``sampling.floored_sample``), with ``weight`` to undo its bias.
+    """
     spark = df.sparkSession
     data = df.persist()
-    pos = {r[label]: r["n"] for r in bounded_rows(data.groupBy(label).agg(F.count(F.lit(1)).alias("n")))}
+    counted = counts.select(F.col(label), F.col("count").alias("n")) if counts is not None else data.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    pos = {r[label]: r["n"] for r in bounded_rows(counted)}
     classes = [(r["label_id"], r["label"]) for r in bounded_rows(mapping)]
 
     def one(item):
@@ -102,18 +126,18 @@ def rf_per_class(df: DataFrame, cols: Sequence[str], mapping: DataFrame, label:
         if pos.get(cid, 0) < min_pos:
             return None
         binary = data.withColumn("_ovr", (F.col(label) == F.lit(cid)).cast("int"))
-        m = fit_forest(binary, cols, "_ovr", key, trees, max_depth, seed)
+        m = fit_forest(binary, cols, "_ovr", key, trees, max_depth, seed, weight)
         return importances(m, cols, spark, name).filter(F.col("rank") <= top) \
             .withColumn("fallback", F.lit(False))
 
     with ThreadPoolExecutor(max_workers=threads) as ex:
-        parts = [p.persist() if p is not None else None for p in ex.map(one, classes)]
+        parts = list(ex.map(one, classes))  # tables of one row a feature, made on the driver
     data.unpersist()
     out = None
     for (cid, name), part in zip(classes, parts):
         if part is None:
             if global_top is None:
-                global_top = rf_importance(df, cols, label, key, seed=seed)
+                global_top = rf_importance(df, cols, label, key, seed=seed, weight=weight)
             part = global_top.filter(F.col("rank") <= top).select(
                 F.lit(name).alias("scope_class"), "feature", "importance", "rank") \
                 .withColumn("fallback", F.lit(True))
@@ -122,8 +146,20 @@ def rf_per_class(df: DataFrame, cols: Sequence[str], mapping: DataFrame, label:
 
 
 def save_model(model, path: str) -> None:
+    """The model and, where it was fitted here, its layout."""
     PipelineModel(stages=[model]).write().overwrite().save(path)
+    layout = getattr(model, "layout", None)
+    if layout is not None:
+        spark = SparkSession.getActiveSession()
+        spark.createDataFrame([(layout.rows, layout.partitions, layout.seed)], "rows bigint, partitions int, seed bigint") \
+            .coalesce(1).write.mode("overwrite").parquet(path.rstrip("/") + "-layout")
 
 
 def load_model(path: str):
-    return PipelineModel.load(path).stages[0]
+    model = PipelineModel.load(path).stages[0]
+    from flowguard.sources.csv_flows import path_exists
+    spark = SparkSession.getActiveSession()
+    where = path.rstrip("/") + "-layout"
+    if path_exists(spark, where):
+        model.layout = FitLayout(*spark.read.parquet(where).select("rows", "partitions", "seed").first())
+    return model

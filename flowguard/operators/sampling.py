@@ -160,6 +160,21 @@ def capped_sample(df: DataFrame, frac: float = 0.2, cap: int = 200_000, seed: in
         .filter("_keep").drop("_keep")
 
 
+def floored_sample(df: DataFrame, label: str, frac: float = 0.2, cap: int = 200_000, floor: int = 100, seed: int = 42,
+                   key: Sequence[str] = (), salt: str = "floored", weight: str = "sample_weight") -> DataFrame:
+    """A sample of min(int(frac*n), cap) rows shared out over classes by largest remainder, but of every class
+    ``floor`` rows at least (all, if it has fewer), so at most cap + floor * classes rows.
+
+    ``weight``: rows of the class for each of its rows in the sample, which undoes the bias toward small classes.
+    """
+    counts = class_counts_table(df, label)
+    share = largest_remainder(counts, label, "n", F.least(F.floor(F.lit(float(frac)) * F.col("_total")), F.lit(cap)))
+    share, _ = small_table(share.select(label, "n", F.greatest("quota", F.least(F.col("n"), F.lit(floor))).alias("quota")))
+    kept = first_in_hash_order(df, label, share.select(label, "quota"), seed, salt, key, flag="_keep").filter("_keep").drop("_keep")
+    weights = share.select(label, (F.col("n") / F.col("quota")).alias(weight))
+    return kept.join(weights, label)
+
+
 def undersample(df: DataFrame, label: str, seed: int = 42, key: Sequence[str] = (),
                 salt: str = "under") -> DataFrame:
     """Every class cut to the size of the smallest class, without replacement."""

@@ -33,6 +33,8 @@ def _scaled(w: Workflow):
 FIT_FRAC = 0.1
 #: Share and row bound of the sample that the forests are fitted on.
 FOREST_FRAC, FOREST_ROWS = 0.2, 200_000
+#: Rows that the sample of the global and per-class forests keeps of every class at least.
+FOREST_FLOOR = 100
 
 
 def _demo(tr: DataFrame, fit_frac: float = FIT_FRAC) -> DataFrame:
@@ -106,27 +108,30 @@ def model_rf_importance(spark, sf):
 
 def _global_sample(w: Workflow) -> tuple[list[str], DataFrame]:
     feats, _, tr, _ = _scaled(w)
-    return feats, sampling.capped_sample(tr, FOREST_FRAC, FOREST_ROWS, SEED, key=[KEY]).persist()
+    return feats, sampling.floored_sample(tr, "label_id", FOREST_FRAC, FOREST_ROWS, FOREST_FLOOR, SEED, key=[KEY]).persist()
+
+
+def _global_forest(smp: DataFrame, feats: list[str], top: int = 15) -> DataFrame:
+    return models.rf_importance(smp, feats, "label_id", KEY, trees=50, max_depth=12, top=top, seed=SEED, weight="sample_weight")
 
 
 @register("model_rf_global")
 def model_rf_global(spark, sf):
-    """Forest 50 trees depth 12 on the capped sample; top 15."""
-    w = Workflow(spark, sf)
-    feats, smp = _global_sample(w)
-    return rounded(models.rf_importance(smp, feats, "label_id", KEY, trees=50, max_depth=12, top=15, seed=SEED))
+    """Forest 50 trees depth 12 on the bounded sample; top 15."""
+    feats, smp = _global_sample(Workflow(spark, sf))
+    return rounded(_global_forest(smp, feats))
 
 
 def _per_class(w: Workflow) -> DataFrame:
     feats, smp = _global_sample(w)
-    glob = models.rf_importance(smp, feats, "label_id", KEY, trees=50, max_depth=12, top=15, seed=SEED)
-    return models.rf_per_class(smp, feats, w.mapping, "label_id", KEY, trees=30, max_depth=8,
-                               top=3, global_top=glob, seed=SEED)
+    counts = w.train.groupBy("label_id").agg(F.count(F.lit(1)).alias("count"))
+    return models.rf_per_class(smp, feats, w.mapping, "label_id", KEY, trees=30, max_depth=8, top=3,
+                               global_top=_global_forest(smp, feats), seed=SEED, counts=counts, weight="sample_weight")
 
 
 @register("model_rf_per_class")
 def model_rf_per_class(spark, sf):
-    """One-vs-rest forests (30 trees, depth 8) per class, top 3; < 5 positives -> global top 3."""
+    """One-vs-rest forests (30 trees, depth 8) per class, top 3; classes of < 5 train rows -> global top 3."""
     return rounded(_per_class(Workflow(spark, sf)))
 
 
@@ -141,9 +146,55 @@ def report_classes(spark, sf):
 def report_features(spark, sf):
     w = Workflow(spark, sf)
     feats, smp = _global_sample(w)
-    glob = models.rf_importance(smp, feats, "label_id", KEY, trees=50, max_depth=12, top=15, seed=SEED)
     removed = w.zero_var.select("feature", "reason").unionByName(w.redundant)
-    return rounded(report.synthesis_features(glob, removed, 10))
+    return rounded(report.synthesis_features(_global_forest(smp, feats), removed, 10))
+
+
+_CLASSES = O.PREP + """,
+tc AS (SELECT m.label, count(t.row_key) AS n FROM mapping m LEFT JOIN train t USING (label_id) GROUP BY 1),
+nf AS (SELECT count(*) AS features FROM final_feat)"""
+
+
+def _falls(by: str):
+    before = F.lag("importance").over(Window.partitionBy(by).orderBy("rank"))
+    return F.coalesce(before >= F.col("importance"), F.lit(True))
+
+
+@register("model_per_class_checks", O.with_(_CLASSES, """
+SELECT label AS class, n AS train_rows, least(3, features) AS features, least(3, features) AS last_rank, true AS falls, true AS shares,
+       n < 5 AS fallback FROM tc, nf"""))
+def model_per_class_checks(spark, sf):
+    """Per class: three different features ranked by falling importance, shares of one, its own model from 5 train rows on."""
+    w = Workflow(spark, sf)
+    counts = encode.class_counts(w.train, w.mapping).select(F.col("label").alias("scope_class"), F.col("count").alias("train_rows"))
+    top = _per_class(w).withColumn("_falls", _falls("scope_class"))
+    return top.join(counts, "scope_class").groupBy(F.col("scope_class").alias("class"), "train_rows").agg(
+        F.count_distinct("feature").alias("features"), F.max("rank").cast("bigint").alias("last_rank"), F.bool_and("_falls").alias("falls"),
+        F.bool_and(F.col("importance").between(0, 1)).alias("shares"), F.bool_or("fallback").alias("fallback"))
+
+
+_MEANINGS = ", ".join("('" + k.replace("'", "''") + "', '" + v.replace("'", "''") + "')" for k, v in report.FEATURE_MEANINGS.items())
+
+
+@register("report_classes_checks", O.with_(_CLASSES, f"""
+SELECT label AS class, n AS count, {O.rnd('n * 100.0 / sum(n) OVER ()')} AS pct, least(3, features) AS features, true AS annotated FROM tc, nf"""))
+def report_classes_checks(spark, sf):
+    """The class table: rows and share of each class, its three features, each with the dictionary's text."""
+    texts = spark.createDataFrame([(k, v) for k, v in report.FEATURE_MEANINGS.items()], "feature string, _text string")
+    r = report_classes(spark, sf).join(F.broadcast(texts), "feature", "left")
+    right = (F.col("meaning") == F.coalesce("_text", F.lit(report.DEFAULT_MEANING))) & F.col("literature").isNotNull()
+    return rounded(r.groupBy("class", "count", "pct").agg(F.count_distinct("feature").alias("features"), F.bool_and(right).alias("annotated")))
+
+
+@register("report_features_checks", O.with_(_CLASSES, """
+SELECT 'top_feature' AS kind, feature, CAST(NULL AS VARCHAR) AS reason, true AS ranked FROM final_feat
+UNION ALL SELECT 'removed', feature, reason, true FROM zv UNION ALL SELECT 'removed', feature, reason, true FROM red"""))
+def report_features_checks(spark, sf):
+    """The feature table: all features left (ten at most) with falling importance, and each removed one with its reason."""
+    r = report_features(spark, sf).withColumn("_falls", _falls("kind"))
+    top = F.col("kind") == "top_feature"
+    return r.select("kind", "feature", F.when(~top, F.col("meaning")).alias("reason"),
+                    F.when(top, F.col("_falls") & F.col("rank").between(1, 10)).otherwise(F.col("rank").isNull()).alias("ranked"))
 
 
 @register("preprocess_roundtrip", O.with_(O.PREP, """
@@ -251,7 +302,7 @@ def model_importance_checks(spark, sf):
     """Importances of the two forests: one per feature, sum 1, ranked by falling importance."""
     w = Workflow(spark, sf)
     feats, smp = _global_sample(w)
-    glob = models.rf_importance(smp, feats, "label_id", KEY, trees=50, max_depth=12, top=len(feats), seed=SEED)
+    glob = _global_forest(smp, feats, top=len(feats))
     both = (_rf_preview(w).withColumn("scope", F.lit("preview"))
             .unionByName(glob.withColumn("scope", F.lit("global"))))
     before = F.lag("importance").over(Window.partitionBy("scope").orderBy("rank"))
