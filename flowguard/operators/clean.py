@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from flowguard.functions.labels import normalize_label, short_day, strip_ws
 from flowguard.functions.numeric import is_infinite, null_if_infinite, null_if_negative
-from flowguard.session import materialize
+from flowguard.session import bounded_rows, materialize, small_table
 
 # Flow measurements that can never be negative, in the original order.
 NON_NEGATIVE_COLS = (
@@ -171,6 +171,15 @@ def null_counts(df: DataFrame) -> DataFrame:
     return _long_counts(df, exprs, "column", "nulls")
 
 
+def null_totals(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(column, nulls_before, nulls_after) for every column of both tables, and their sum as column ``total``."""
+    both = (null_counts(before).select("column", F.col("nulls").alias("nulls_before"))
+            .join(null_counts(after).select("column", F.col("nulls").alias("nulls_after")), "column"))
+    both, _ = small_table(both)  # one row per column
+    return both.unionByName(both.agg(F.lit("total").alias("column"), F.sum("nulls_before").cast("bigint").alias("nulls_before"),
+                                     F.sum("nulls_after").cast("bigint").alias("nulls_after")))
+
+
 def validate(df: DataFrame, cols: Sequence[str] = NON_NEGATIVE_COLS) -> DataFrame:
     """Coerce named columns, negatives -> NULL there, then +-inf -> NULL everywhere."""
     return null_if_infinite_cols(null_if_negative_cols(coerce_numeric(df, cols), cols))
@@ -186,29 +195,35 @@ def class_by_day(df: DataFrame, day: str = "Day", label: str = "Label") -> DataF
     """
     name = F.coalesce(strip_ws(F.col(label).cast("string")), F.lit("nan"))
     counts = materialize(df.groupBy(short_day(day).alias("Day"), name.alias("_l")).agg(F.count(F.lit(1)).alias("n")))
-    values = sorted(r["_l"] for r in counts.select("_l").distinct().collect())  # one per label
+    values = sorted(r["_l"] for r in bounded_rows(counts.select("_l").distinct(), what="labels"))
     return counts.groupBy("Day").pivot("_l", values).agg(F.sum("n")).na.fill(0)
 
 
-def quality_summary(deduped: DataFrame, dup_stats: DataFrame, negatives: DataFrame,
-                    infinities: DataFrame, label: str = "Label",
-                    encoding_issues: DataFrame | None = None) -> DataFrame:
-    """One row: rows, columns, labels, duplicates (+%), negatives, infinities, encoding issues.
+def quality_facts(df: DataFrame, label: str = "Label", day: str = "Day", cols: Sequence[str] = NON_NEGATIVE_COLS) -> DataFrame:
+    """One row about a table and what is left of it without duplicates: rows (left), labels, files, duplicates and
+    their share, negatives and infinities of the rows left, columns.
 
-    Built from one-row aggregates joined on a constant key (each side has one row).
+    One shuffle puts equal rows together; everything else is summed up from there, by label and day first.
     """
-    k = F.lit(1).alias("_k")
-    a = deduped.agg(F.count(F.lit(1)).alias("rows"),
-                    F.count_distinct(F.col(label)).alias("labels")).select(k, "*")
-    b = dup_stats.select(k, "duplicates", F.col("pct").alias("duplicate_pct"))
-    c = negatives.agg(F.coalesce(F.sum("negatives"), F.lit(0)).cast("bigint")
-                      .alias("negatives")).select(k, "*")
-    d = infinities.agg(F.coalesce(F.sum("infinities"), F.lit(0)).cast("bigint")
-                       .alias("infinities")).select(k, "*")
-    out = a.join(b, "_k").join(c, "_k").join(d, "_k")
-    if encoding_issues is not None:
-        e = encoding_issues.agg(F.count(F.lit(1)).alias("encoding_issues")).select(k, "*")
-        out = out.join(e, "_k")
-    else:
-        out = out.withColumn("encoding_issues", F.lit(0).cast("bigint"))
-    return out.withColumn("columns", F.lit(len(deduped.columns)).cast("bigint")).drop("_k")
+    groups = df.groupBy(*[F.col(q(c)) for c in df.columns]).agg(F.count(F.lit(1)).alias("_copies"))
+    coerced = coerce_numeric(groups, cols)
+    clean_ = null_if_negative_cols(coerced, cols)
+    total = lambda e: sum(e, F.lit(0))
+    rows = coerced.withColumns({"_neg": total(F.coalesce((F.col(q(c)) < 0).cast("int"), F.lit(0)) for c in present(df, cols))})
+    rows = null_if_negative_cols(rows, cols).withColumn(
+        "_inf", total(F.coalesce(is_infinite(q(c)).cast("int"), F.lit(0)) for c in floating_columns(clean_)))
+    parts = rows.groupBy(F.col(q(label)).alias("_l"), F.col(q(day)).alias("_d")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("_copies").alias("_all"), F.sum("_neg").alias("_neg"), F.sum("_inf").alias("_inf"))
+    parts = parts.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.count_distinct("_l").alias("labels"), F.count_distinct("_d").alias("files"),
+                      F.coalesce(F.sum("_all"), F.lit(0)).alias("_all"), F.coalesce(F.sum("_neg"), F.lit(0)).alias("negatives"),
+                      F.coalesce(F.sum("_inf"), F.lit(0)).alias("infinities"))
+    gone = F.col("_all") - F.col("rows")
+    return parts.select("rows", "labels", "files", gone.alias("duplicates"), F.try_divide(gone * 100.0, F.col("_all")).alias("duplicate_pct"),
+                        "negatives", "infinities", F.lit(len(df.columns)).cast("bigint").alias("columns"))
+
+
+def quality_summary(df: DataFrame, label: str = "Label", day: str = "Day", encoding_issues: DataFrame | None = None) -> DataFrame:
+    """One row: rows, columns, labels, duplicates (+%), negatives, infinities, and the files of ``encoding_issues``
+    (rows of a load log, one per file; none for a table that comes from no file)."""
+    issues = encoding_issues.count() if encoding_issues is not None else 0
+    return quality_facts(df, label, day).drop("files").withColumn("encoding_issues", F.lit(issues).cast("bigint"))

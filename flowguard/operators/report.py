@@ -3,39 +3,24 @@ and per-class tables, computed from the data (no typed-in numbers)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowguard.session import small_table
 
-def _kv(df: DataFrame, section: str, key: str, value) -> DataFrame:
-    return df.select(F.lit(section).alias("section"), F.lit(key).alias("key"),
-                     value.cast("double").alias("value"))
-
-
-def synthesis_profile(deduped: DataFrame, dup_stats: DataFrame, negatives: DataFrame,
-                      infinities: DataFrame, funnel: DataFrame, day: str = "Day",
-                      encoding_issues: DataFrame | None = None) -> DataFrame:
-    """Dataset profile: rows, feature funnel, duplicates, fixed values, files, encodings."""
-    parts = [
-        _kv(deduped.agg(F.count(F.lit(1)).alias("v")), "profile", "rows_after_cleaning", F.col("v")),
-        _kv(deduped.agg(F.count_distinct(day).alias("v")), "profile", "source_files", F.col("v")),
-        _kv(dup_stats, "quality", "duplicates_removed", F.col("duplicates")),
-        _kv(dup_stats, "quality", "duplicate_pct", F.col("pct")),
-        _kv(negatives.agg(F.coalesce(F.sum("negatives"), F.lit(0)).alias("v")),
-            "quality", "negatives_fixed", F.col("v")),
-        _kv(infinities.agg(F.coalesce(F.sum("infinities"), F.lit(0)).alias("v")),
-            "quality", "infinities_fixed", F.col("v")),
-        funnel.select(F.lit("features").alias("section"),
-                      F.concat(F.lit("after_"), F.col("step")).alias("key"),
-                      F.col("remaining").cast("double").alias("value")),
-    ]
-    enc = (encoding_issues.agg(F.count(F.lit(1)).alias("v")) if encoding_issues is not None
-           else deduped.sparkSession.range(1).select(F.lit(0).alias("v")))
-    parts.append(_kv(enc, "quality", "encoding_issues", F.col("v")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+
+def synthesis_profile(facts: DataFrame, funnel: DataFrame, encoding_issues: DataFrame | None = None) -> DataFrame:
+    """Dataset profile (section, key, value) from ``clean.quality_facts`` (one row), the feature funnel and the load
+    log's rows of encoding issues."""
+    issues = encoding_issues.count() if encoding_issues is not None else 0
+    rows = [("profile", "rows_after_cleaning", F.col("rows")), ("profile", "source_files", F.col("files")),
+            ("quality", "duplicates_removed", F.col("duplicates")), ("quality", "duplicate_pct", F.col("duplicate_pct")),
+            ("quality", "negatives_fixed", F.col("negatives")), ("quality", "infinities_fixed", F.col("infinities")),
+            ("quality", "encoding_issues", F.lit(issues))]
+    known = facts.select(F.inline(F.array(*[F.struct(F.lit(section).alias("section"), F.lit(key).alias("key"), v.cast("double").alias("value"))
+                                            for section, key, v in rows])))
+    return known.unionByName(funnel.select(F.lit("features").alias("section"), F.concat(F.lit("after_"), F.col("step")).alias("key"),
+                                           F.col("remaining").cast("double").alias("value")))
 
 
 def synthesis_imbalance(weights_report: DataFrame, imbalance: DataFrame) -> DataFrame:
@@ -104,16 +89,24 @@ LITERATURE_MATCH = {
 DEFAULT_LITERATURE = "Not specifically cited in Sharafaldin et al."
 
 
-def annotate(df: DataFrame, feature: str = "feature") -> DataFrame:
-    """Attach meaning and literature texts (broadcast join of a fixed table)."""
-    spark = df.sparkSession
-    t = spark.createDataFrame(
-        [(k, FEATURE_MEANINGS.get(k), LITERATURE_MATCH.get(k))
-         for k in sorted(set(FEATURE_MEANINGS) | set(LITERATURE_MATCH))],
-        f"{feature} string, meaning string, literature string")
-    return (df.join(F.broadcast(t), feature, "left")
-            .withColumn("meaning", F.coalesce("meaning", F.lit(DEFAULT_MEANING)))
-            .withColumn("literature", F.coalesce("literature", F.lit(DEFAULT_LITERATURE))))
+def feature_dictionary(spark: SparkSession) -> DataFrame:
+    """The dictionary above as a table: feature, meaning, literature."""
+    return spark.createDataFrame([(k, FEATURE_MEANINGS.get(k), LITERATURE_MATCH.get(k)) for k in sorted(set(FEATURE_MEANINGS) | set(LITERATURE_MATCH))],
+                                 "feature string, meaning string, literature string")
+
+
+#: Texts of a feature that the dictionary above lacks.
+DEFAULTS = {"meaning": DEFAULT_MEANING, "literature": DEFAULT_LITERATURE}
+
+
+def annotate(df: DataFrame, dictionary: DataFrame | None = None, defaults: dict[str, str] = DEFAULTS, feature: str = "feature") -> DataFrame:
+    """Attach the texts of a dictionary: one row per ``feature`` and a column per kind of text; ``defaults`` gives the
+    text of a kind where a feature has none.  Without a dictionary that of ``feature_dictionary``."""
+    texts = feature_dictionary(df.sparkSession) if dictionary is None else dictionary
+    texts, _ = small_table(texts.withColumnRenamed("feature", feature))
+    kinds = [c for c in texts.columns if c != feature]
+    out = df.join(texts, feature, "left")
+    return out.withColumns({k: F.coalesce(k, F.lit(defaults[k])) for k in kinds if k in defaults})
 
 
 def synthesis_classes(counts: DataFrame, per_class_top: DataFrame) -> DataFrame:

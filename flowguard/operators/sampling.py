@@ -8,8 +8,9 @@ first ``q`` rows of a class never sorts a whole class in one task:
    and this also yields the class sizes;
 2. a cumulative sum over that small table finds, per class, the one bucket in
    which the quota falls and how many rows of it are still needed;
-3. rows in earlier buckets are in, later buckets out; only the rows of the
-   boundary bucket (about n_class / 65,536) are ranked by a window.
+3. only the rows of the boundary bucket (about n_class / 65,536) are ranked, by
+   their keys alone, which gives the last selected (hash, key) of each class;
+4. one projection compares every row with its class's cut: no row is shuffled.
 
 The same rule written as ``row_number() over (partition by class order by
 hash, key) <= q`` is the reference definition used by the SQL oracle.
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowguard.functions.hashing import hash_bucket, hash_long, order_hash
-from flowguard.session import small_table
+from flowguard.session import materialize, small_table
 
 _H, _B, _G = "_fg_h", "_fg_b", "_fg_g"
 
@@ -66,34 +67,37 @@ def largest_remainder(counts: DataFrame, group: str, n_col: str, draws: Column)
 
 def first_in_hash_order(df: DataFrame, group: str | None, quota,
                         seed: int = 42, salt: str = "", key: Sequence[str] = (),
-                        flag: str = "selected") -> DataFrame:
+                        flag: str = "selected", least: int = 1) -> DataFrame:
     """Add boolean ``flag``: row is among the first ``quota`` rows of its group in
-    hash order.  ``quota`` is an int for all groups, a table (group, quota), or a
-    function of the group size (a Column) evaluated on the bucket histogram.
+    hash order.  ``quota`` is an int for all groups or a function from the group sizes
+    ``(group, n)`` to ``(group, quota)``; sizes come from the bucket histogram, counted once.
+
+    Key columns must tell the rows of a group apart: two rows of one key at the cut are an error, as are rows
+    without a group and groups below ``least`` rows.
     """
+    name = group or _G
     keyed = _keyed(df, group, seed, salt, key)
-    hist = bucket_histogram(keyed)
-    if callable(quota):
-        size = F.sum("_n").over(Window.partitionBy(_G))
-        hq = hist.withColumn("quota", quota(size).cast("bigint"))
-    elif isinstance(quota, int):
-        hq = hist.withColumn("quota", F.lit(quota).cast("bigint"))
-    else:
-        qt = quota.select(F.col(group).alias(_G), F.col("quota"))
-        hq = hist.join(qt, _G)  # both sides are small: the planner decides by size
+    hist = materialize(keyed.groupBy(_G, _B).agg(F.count(F.lit(1)).alias("_n")))
+    sizes = checked_sizes(hist.groupBy(F.col(_G).alias(name)).agg(F.sum("_n").cast("bigint").alias("n")), name, least)
+    quotas = sizes.select(name, F.lit(quota).cast("bigint").alias("quota")) if isinstance(quota, int) else quota(sizes)
+    w = Window.partitionBy(_G).orderBy(_B).rowsBetween(Window.unboundedPreceding, 0)
+    hq = hist.withColumn("_before", F.sum("_n").over(w) - F.col("_n")).join(quotas.select(F.col(name).alias(_G), "quota"), _G)
     # boundary bucket: before < quota <= before + n
     bnd = (hq.filter((F.col("_before") < F.col("quota"))
                      & (F.col("quota") <= F.col("_before") + F.col("_n")))
            .select(_G, F.col(_B).alias("_bb"), (F.col("quota") - F.col("_before")).alias("_need")))
     bnd, _ = small_table(bnd)
-    j = keyed.join(bnd, _G, "left")
-    # groups whose quota is 0 have no boundary bucket: nothing is selected
-    simple = j.filter(F.col("_bb").isNull() | (F.col(_B) != F.col("_bb"))) \
-              .withColumn(flag, F.coalesce(F.col(_B) < F.col("_bb"), F.lit(False)))
-    w = Window.partitionBy(_G).orderBy(_H, *key)
-    edge = j.filter(F.col(_B) == F.col("_bb")) \
-            .withColumn(flag, F.row_number().over(w) <= F.col("_need"))
-    return simple.unionByName(edge).drop(_G, _H, _B, "_bb", "_need")
+    place = F.struct(F.col(_H), *[F.col(k) for k in key])
+    edge = keyed.select(_G, _B, place.alias("_at")).join(bnd, _G).filter(F.col(_B) == F.col("_bb"))
+    by_place = Window.partitionBy(_G).orderBy("_at")
+    last = (edge.withColumn("_r", F.row_number().over(by_place)).withColumn("_next", F.lead("_at").over(by_place)).filter(F.col("_r") == F.col("_need"))
+            .select(_G, F.col("_at").alias("_cut"), (F.col("_next") == F.col("_at")).alias("_tie")))
+    last, _ = small_table(last)
+    if last.filter("_tie").limit(1).count():
+        raise ValueError(f"key {list(key)}: two rows of a group have the same key")
+    # groups whose quota is 0 have no cut: nothing is selected
+    return (keyed.join(last.select(_G, "_cut"), _G, "left").withColumn(flag, F.coalesce(place <= F.col("_cut"), F.lit(False)))
+            .drop(_G, _H, _B, "_cut"))
 
 
 def hash_row_number(df: DataFrame, group: str | None, seed: int = 42, salt: str = "",
@@ -111,9 +115,9 @@ def hash_row_number(df: DataFrame, group: str | None, seed: int = 42, salt: str
             .drop(_G, _H, _B, "_before"))
 
 
-def class_counts_table(df: DataFrame, label: str, least: int = 1) -> DataFrame:
+def checked_sizes(sizes: DataFrame, label: str, least: int = 1) -> DataFrame:
     """(class, n), counted once; an error for rows without a class or a class below ``least`` rows."""
-    counts, _ = small_table(df.groupBy(label).agg(F.count(F.lit(1)).alias("n")))
+    counts, _ = small_table(sizes)
     bad = counts.filter(F.col(label).isNull() | (F.col("n") < least)).orderBy(label).first()
     if bad is not None:
         raise ValueError(f"{label}: {bad['n']} rows without a class" if bad[label] is None else
@@ -121,6 +125,11 @@ def class_counts_table(df: DataFrame, label: str, least: int = 1) -> DataFrame:
     return counts
 
 
+def class_counts_table(df: DataFrame, label: str, least: int = 1) -> DataFrame:
+    """``checked_sizes`` of a table's classes."""
+    return checked_sizes(df.groupBy(label).agg(F.count(F.lit(1)).alias("n")), label, least)
+
+
 def stratified_split(df: DataFrame, label: str, test_frac: float = 0.2, seed: int = 42,
                      key: Sequence[str] = (), salt: str = "split",
                      out: str = "split") -> DataFrame:
@@ -128,12 +137,12 @@ def stratified_split(df: DataFrame, label: str, test_frac: float = 0.2, seed: in
     largest remainder on the train size, test = first rows in hash order.
 
     A class of one row cannot be split and rows without a class have none: both are errors."""
-    counts = class_counts_table(df, label, least=2)
     total = F.col("_total")
-    q = largest_remainder(counts, label, "n",
-                          total - F.ceil(F.lit(float(test_frac)) * total))
-    q = q.select(label, (F.col("n") - F.col("quota")).alias("quota"))
-    sel = first_in_hash_order(df, label, q, seed, salt, key, flag="_test")
+
+    def test_rows(sizes: DataFrame) -> DataFrame:
+        train = largest_remainder(sizes, label, "n", total - F.ceil(F.lit(float(test_frac)) * total))
+        return train.select(label, (F.col("n") - F.col("quota")).alias("quota"))
+    sel = first_in_hash_order(df, label, test_rows, seed, salt, key, flag="_test", least=2)
     return sel.withColumn(out, F.when(F.col("_test"), "test").otherwise("train")).drop("_test")
 
 
@@ -141,21 +150,19 @@ def stratified_sample(df: DataFrame, label: str, frac: float, seed: int = 42,
                       key: Sequence[str] = (), salt: str = "sample") -> DataFrame:
     """Exact stratified subsample keeping n - ceil((1-frac)*n) rows (class quotas
     by largest remainder)."""
-    counts = class_counts_table(df, label)
     total = F.col("_total")
-    q = largest_remainder(counts, label, "n",
-                          total - F.ceil(F.lit(float(1.0 - frac)) * total))
-    q = q.select(label, "quota")
-    return first_in_hash_order(df, label, q, seed, salt, key, flag="_keep") \
-        .filter("_keep").drop("_keep")
+
+    def rows(sizes: DataFrame) -> DataFrame:
+        return largest_remainder(sizes, label, "n", total - F.ceil(F.lit(float(1.0 - frac)) * total))
+    return first_in_hash_order(df, label, rows, seed, salt, key, flag="_keep").filter("_keep").drop("_keep")
 
 
 def capped_sample(df: DataFrame, frac: float = 0.2, cap: int = 200_000, seed: int = 42,
                   key: Sequence[str] = (), salt: str = "capped") -> DataFrame:
     """Uniform sample without replacement of min(int(frac*n), cap) rows; n comes
     from the same bucket histogram that places the cut (no extra pass)."""
-    def size(n):
-        return F.least(F.floor(F.lit(float(frac)) * n), F.lit(cap))
+    def size(sizes: DataFrame) -> DataFrame:
+        return sizes.withColumn("quota", F.least(F.floor(F.lit(float(frac)) * F.col("n")), F.lit(cap)).cast("bigint"))
     return first_in_hash_order(df, None, size, seed, salt, key, flag="_keep") \
         .filter("_keep").drop("_keep")
 
@@ -167,21 +174,21 @@ def floored_sample(df: DataFrame, label: str, frac: float = 0.2, cap: int = 200_
 
     ``weight``: rows of the class for each of its rows in the sample, which undoes the bias toward small classes.
     """
+    def rows(sizes: DataFrame) -> DataFrame:
+        share = largest_remainder(sizes, label, "n", F.least(F.floor(F.lit(float(frac)) * F.col("_total")), F.lit(cap)))
+        return share.withColumn("quota", F.greatest("quota", F.least(F.col("n"), F.lit(floor))))
+    kept = first_in_hash_order(df, label, rows, seed, salt, key, flag="_keep").filter("_keep").drop("_keep")
     counts = class_counts_table(df, label)
-    share = largest_remainder(counts, label, "n", F.least(F.floor(F.lit(float(frac)) * F.col("_total")), F.lit(cap)))
-    share, _ = small_table(share.select(label, "n", F.greatest("quota", F.least(F.col("n"), F.lit(floor))).alias("quota")))
-    kept = first_in_hash_order(df, label, share.select(label, "quota"), seed, salt, key, flag="_keep").filter("_keep").drop("_keep")
-    weights = share.select(label, (F.col("n") / F.col("quota")).alias(weight))
+    weights, _ = small_table(rows(counts).select(label, (F.col("n") / F.col("quota")).alias(weight)))
     return kept.join(weights, label)
 
 
 def undersample(df: DataFrame, label: str, seed: int = 42, key: Sequence[str] = (),
                 salt: str = "under") -> DataFrame:
     """Every class cut to the size of the smallest class, without replacement."""
-    counts = class_counts_table(df, label)
-    q = counts.select(label, F.min("n").over(Window.partitionBy()).alias("quota"))
-    return first_in_hash_order(df, label, q, seed, salt, key, flag="_keep") \
-        .filter("_keep").drop("_keep")
+    def smallest(sizes: DataFrame) -> DataFrame:
+        return sizes.withColumn("quota", F.min("n").over(Window.partitionBy()))
+    return first_in_hash_order(df, label, smallest, seed, salt, key, flag="_keep").filter("_keep").drop("_keep")
 
 
 SLOT_CHUNK = 65_536  #: draws of a class that one row of the slot plan makes

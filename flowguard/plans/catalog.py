@@ -141,12 +141,8 @@ SELECT (SELECT count(*) FROM flows_dedup) AS rows,
        CAST(0 AS BIGINT) AS encoding_issues,
        CAST(9 AS BIGINT) AS columns"""))
 def clean_quality_summary(spark, sf):
-    norm = P.normalized(spark, sf)
-    dd = clean.drop_duplicates(norm)
-    coerced = clean.coerce_numeric(dd)
-    negs = clean.negative_counts(coerced)
-    infs = clean.infinite_counts(clean.null_if_negative_cols(coerced))
-    return rounded(clean.quality_summary(dd, clean.duplicate_stats(norm), negs, infs, LABEL))
+    """One row about the table; one shuffle of its rows."""
+    return rounded(clean.quality_summary(P.normalized(spark, sf), LABEL, DAY))
 
 
 # ── C: encoding, split, sampling ────────────────────────────────────────────

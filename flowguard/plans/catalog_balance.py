@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowguard.operators import clean, encode, evaluate, imbalance, profile, report, sampling
+from flowguard.operators.smote import smote
 from flowguard.plans import flows as P
 from flowguard.plans import oracle as O
 from flowguard.plans.catalog import register, rounded
+from flowguard.plans.catalog_ingest import EVEN_DAY, latin1_files, load_faulty
 from flowguard.plans.fixtures import KEY, SEED
 from flowguard.plans.flows import Workflow
 
@@ -85,11 +87,19 @@ LEFT JOIN (SELECT label_id, count(*) AS n FROM us GROUP BY 1) a USING (label_id)
 UNION ALL
 SELECT 'oversample', b.label_id, b.n, coalesce(a.n, 0)
 FROM (SELECT label_id, count(*) AS n FROM train GROUP BY 1) b
-LEFT JOIN (SELECT label_id, count(*) AS n FROM ov GROUP BY 1) a USING (label_id)"""))
+LEFT JOIN (SELECT label_id, count(*) AS n FROM ov GROUP BY 1) a USING (label_id)
+UNION ALL
+SELECT 'smote', label_id, n, max(n) OVER () FROM (SELECT label_id, count(*) AS n FROM train GROUP BY 1)"""))
 def imbalance_resample_counts(spark, sf):
+    """Class counts before and after under- and oversampling and SMOTE of train."""
     w = Workflow(spark, sf)
-    return imbalance.resample_counts(w.train, _under(w), "undersample").unionByName(
-        imbalance.resample_counts(w.train, _over(w), "oversample"))
+    feats = w.final_features
+    train = w.train_filled.select(KEY, "label_id", *[F.col(clean.q(c)) for c in feats])
+    synthetic = smote(train, "label_id", feats, KEY, k=5, seed=SEED)
+    both = train.select("label_id").unionByName(synthetic.select("label_id"))
+    return (imbalance.resample_counts(w.train, _under(w), "undersample")
+            .unionByName(imbalance.resample_counts(w.train, _over(w), "oversample"))
+            .unionByName(imbalance.resample_counts(train, both, "smote")))
 
 
 # ── G: evaluation over deterministic predictions ────────────────────────────
@@ -202,20 +212,18 @@ UNION ALL SELECT 'quality', 'duplicates_removed', CAST((SELECT count(*) FROM flo
 UNION ALL SELECT 'quality', 'duplicate_pct', {rnd('((SELECT count(*) FROM flows_norm) - (SELECT count(*) FROM flows_dedup)) * 100.0 / (SELECT count(*) FROM flows_norm)')}
 UNION ALL SELECT 'quality', 'negatives_fixed', CAST((SELECT {' + '.join(f'count_if({qi(f)} < 0)' for f in O.NAMED)} FROM flows_coerced) AS DOUBLE)
 UNION ALL SELECT 'quality', 'infinities_fixed', CAST((SELECT {' + '.join(f'count_if(isinf({qi(f)}))' for f in O._F)} FROM flows_nonneg) AS DOUBLE)
-UNION ALL SELECT 'quality', 'encoding_issues', 0.0
+UNION ALL SELECT 'quality', 'encoding_issues', CAST((SELECT count(*) FROM (
+    SELECT "Day" FROM flows_raw WHERE {EVEN_DAY} GROUP BY 1 HAVING count_if(row_key % 7 = 0) > 0)) AS DOUBLE)
 UNION ALL SELECT 'features', 'after_initial', CAST({len(O._F)} AS DOUBLE)
 UNION ALL SELECT 'features', 'after_zero_variance', CAST({len(O._F)} - (SELECT count(*) FROM zv) AS DOUBLE)
 UNION ALL SELECT 'features', 'after_correlated', CAST((SELECT count(*) FROM final_feat) AS DOUBLE)
 UNION ALL SELECT 'features', 'after_final', CAST((SELECT count(*) FROM final_feat) AS DOUBLE)"""))
 def report_profile(spark, sf):
+    """The dataset's profile; encoding issues are those of the load log of its day files."""
     w = Workflow(spark, sf)
-    norm = P.normalized(spark, sf)
-    dd = clean.drop_duplicates(norm)
-    coerced = clean.coerce_numeric(dd)
     funnel = profile.feature_funnel(w.features, w.zero_var, w.redundant)
-    return rounded(report.synthesis_profile(
-        dd, clean.duplicate_stats(norm), clean.negative_counts(coerced),
-        clean.infinite_counts(clean.null_if_negative_cols(coerced)), funnel))
+    _, log = load_faulty(spark, sf)
+    return rounded(report.synthesis_profile(clean.quality_facts(P.normalized(spark, sf)), funnel, latin1_files(log)))
 
 
 @register("report_imbalance", O.with_(_W, f"""

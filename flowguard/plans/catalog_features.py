@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from flowguard.operators import preprocess, profile, sampling
+from flowguard.operators import clean, preprocess, profile, report, sampling
 from flowguard.plans import oracle as O
 from flowguard.plans.catalog import register, rounded
 from flowguard.plans.fixtures import FLOW_FEATURES, KEY, SEED
@@ -37,6 +37,7 @@ FEATURE_NOTES = {
     "Subflow Fwd Bytes": "Bytes per subflow forward. Reflects attack payload volume.",
     "Subflow Bwd Bytes": "Bytes per subflow backward. Reflects server response volume.",
 }
+# Fixed value: note of a feature without one.
 DEFAULT_NOTE = "Network flow metric used by CICFlowMeter."
 
 
@@ -177,14 +178,22 @@ FROM imp_rank r LEFT JOIN notes n USING (feature) WHERE r.rank <= 5"""))
 def profile_annotate(spark, sf):
     w = Workflow(spark, sf)
     top = profile.top_k(w.importance, 5)
-    notes = spark.createDataFrame(list(FEATURE_NOTES.items()), "feature string, meaning string")
-    pub = spark.createDataFrame([(p,) for p in profile.PUBLISHED_TOP_FEATURES], "feature string") \
-               .withColumn("_pub", F.lit(True))
-    out = (top.join(F.broadcast(notes), "feature", "left").join(F.broadcast(pub), "feature", "left")
-           .select("rank", "feature", "importance",
-                   F.coalesce("meaning", F.lit(DEFAULT_NOTE)).alias("meaning"),
-                   F.when(F.col("_pub"), "YES").otherwise("PARTIAL").alias("matches_literature")))
-    return rounded(out)
+    names = sorted(set(FEATURE_NOTES) | set(profile.PUBLISHED_TOP_FEATURES))
+    notes = spark.createDataFrame([(n, FEATURE_NOTES.get(n), "YES" if n in profile.PUBLISHED_TOP_FEATURES else None) for n in names],
+                                  "feature string, meaning string, matches_literature string")
+    return rounded(report.annotate(top, notes, {"meaning": DEFAULT_NOTE, "matches_literature": "PARTIAL"}).select(
+        "rank", "feature", "importance", "meaning", "matches_literature"))
+
+
+@register("profile_null_totals", O.with_(O.PREP, "SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT '{f}' AS \"column\", (SELECT count_if({qi(f)} IS NULL) FROM train)::BIGINT AS nulls_before, (SELECT count_if({qi(f)} IS NULL) FROM train_f)::BIGINT AS nulls_after"
+    for f in FLOW_FEATURES) + ") UNION ALL SELECT 'total', (SELECT " + " + ".join(f"count_if({qi(f)} IS NULL)" for f in FLOW_FEATURES) + " FROM train)::BIGINT, (SELECT "
+    + " + ".join(f"count_if({qi(f)} IS NULL)" for f in FLOW_FEATURES) + " FROM train_f)::BIGINT"))
+def profile_null_totals(spark, sf):
+    """Missing values of train by feature and in total, before and after the median fill."""
+    w = Workflow(spark, sf)
+    cols = [F.col(clean.q(c)) for c in w.features]
+    return clean.null_totals(w.train.select(*cols), w.train_filled.select(*cols))
 
 
 # ── E: preprocessing ────────────────────────────────────────────────────────

@@ -88,7 +88,7 @@ def ingest_merged(spark, sf):
                       F.col("`Destination Port`").cast("double"), "Label")
 
 
-_EVEN = """CAST(regexp_extract("Day", '(\\d+)', 1) AS INTEGER) % 2 = 0"""
+EVEN_DAY = """CAST(regexp_extract("Day", '(\\d+)', 1) AS INTEGER) % 2 = 0"""
 
 
 @register("ingest_faulty", O.with_(O.FLOWS, """
@@ -102,22 +102,27 @@ def ingest_faulty(spark, sf):
 
 
 @register("ingest_faulty_log", O.with_(O.FLOWS, f"""
-SELECT "Day" AS file, count(*) AS rows, CASE WHEN {_EVEN} THEN 'latin-1' ELSE 'utf-8' END AS encoding,
+SELECT "Day" AS file, count(*) AS rows, CASE WHEN {EVEN_DAY} THEN 'latin-1' ELSE 'utf-8' END AS encoding,
        CAST(NULL AS VARCHAR) AS error
 FROM flows_raw GROUP BY 1
-HAVING count_if(row_key % 7 = 0) > 0 OR NOT {_EVEN}
+HAVING count_if(row_key % 7 = 0) > 0 OR NOT {EVEN_DAY}
 UNION ALL SELECT "Day", count(*), 'utf-8', NULL FROM flows_raw GROUP BY 1
-HAVING count_if(row_key % 7 = 0) = 0 AND {_EVEN}
+HAVING count_if(row_key % 7 = 0) = 0 AND {EVEN_DAY}
 UNION ALL SELECT 'missing', 0, 'none', 'FileNotFoundError'"""))
 def ingest_faulty_log(spark, sf):
     """Load log of the faulty days: a day is Latin-1 where its bytes are no UTF-8."""
     return load_faulty(spark, sf)[1]
 
 
+def latin1_files(log):
+    """The rows of a load log that are encoding issues."""
+    return log.filter(F.col("encoding") == csv_flows.LATIN1)
+
+
 SQL["ingest_quality_summary"] = (
     SQL["clean_quality_summary"]
     .replace("CAST(0 AS BIGINT) AS encoding_issues", f"""
-       (SELECT count(*) FROM (SELECT "Day" FROM flows_raw WHERE {_EVEN} GROUP BY 1
+       (SELECT count(*) FROM (SELECT "Day" FROM flows_raw WHERE {EVEN_DAY} GROUP BY 1
                               HAVING count_if(row_key % 7 = 0) > 0)) AS encoding_issues""")
     .replace("CAST(9 AS BIGINT) AS columns", "CAST(10 AS BIGINT) AS columns"))
 
@@ -126,13 +131,7 @@ SQL["ingest_quality_summary"] = (
 def ingest_quality_summary(spark, sf):
     """Quality summary of the loaded files; encoding issues are the files that the log has as Latin-1."""
     flows, log = load_faulty(spark, sf)
-    norm = clean.with_normalized_label(flows)
-    dd = clean.drop_duplicates(norm)
-    coerced = clean.coerce_numeric(dd)
-    return rounded(clean.quality_summary(
-        dd, clean.duplicate_stats(norm), clean.negative_counts(coerced),
-        clean.infinite_counts(clean.null_if_negative_cols(coerced)),
-        encoding_issues=log.filter(F.col("encoding") == csv_flows.LATIN1)))
+    return rounded(clean.quality_summary(clean.with_normalized_label(flows), encoding_issues=latin1_files(log)))
 
 
 @register("ingest_parquet_verified", O.with_(O.FLOWS, """
@@ -269,3 +268,28 @@ def ingest_types(spark, sf):
     merged = spark.createDataFrame([("all", c, t) for c, t in got.flows.dtypes if c in ("Mixed", "Number", "Sometimes")], "file string, column string, type string")
     by_file = got.types.filter(F.col("column") != "row_key").select("file", "column", "type").distinct()
     return by_file.unionByName(merged)
+
+
+@register("ingest_stage_read", O.with_(O.SPLIT, """
+SELECT 'train' AS name, 'second' AS run, 'current' AS status, count(*) AS rows, CAST(8 AS INTEGER) AS cols, true AS unchanged FROM train WHERE row_key % 2 = 0
+UNION ALL SELECT 'test', 'first', 'earlier', count(*), 8, true FROM test
+UNION ALL SELECT 'class_mapping', 'first', 'earlier', count(*), 2, true FROM mapping
+UNION ALL SELECT 'weights', NULL, 'missing', NULL, NULL, NULL"""))
+def ingest_stage_read(spark, sf):
+    """A stage's tables by run: the second run wrote train anew and broke off while writing test, so test and mapping
+    come from the first; no run has weights.  Each table found is read and compared with what the run wrote."""
+    from flowguard.plans.flows import Workflow
+    from flowguard.sources import runs
+    w = Workflow(spark, sf)
+    base = scratch_path(spark, "runs")
+    runs.save_run(spark, base, "first", {"train": w.train, "test": w.test, "class_mapping": w.mapping})
+    runs.save_run(spark, base, "second", {"train": w.train.filter(F.col("row_key") % 2 == 0)})
+    w.test.filter(F.col("row_key") % 3 == 0).write.parquet(f"{base}/runs/second/test")  # no entry: broken off
+    found = runs.resolve(spark, base, ["train", "test", "class_mapping", "weights"], "second")
+    read = runs.read_run(spark, base, ["train", "test", "class_mapping"], "second", verify=True)
+    seen = None
+    for name, df in read.items():
+        one = df.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("_rows"), F.lit(len(df.columns)).alias("cols"), runs.content_hash(df).alias("_content"))
+        seen = one if seen is None else seen.unionByName(one)
+    same = (F.col("rows") == F.col("_rows")) & (F.col("content") == F.col("_content"))
+    return found.join(seen, "name", "left").select("name", "run", "status", "rows", "cols", same.alias("unchanged"))

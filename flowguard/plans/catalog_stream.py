@@ -9,6 +9,8 @@ from flowguard.plans.catalog import SQL, register
 from flowguard.plans.catalog_models import load_artifacts, save_artifacts
 from flowguard.plans.fixtures import KEY, LABEL, flows_from_events
 from flowguard.plans.flows import Workflow
+from flowguard.session import scratch_path
+from flowguard.streaming import quarantine
 from flowguard.streaming import score as S
 
 
@@ -46,3 +48,20 @@ def stream_score_checks(spark, sf):
     return got.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(KEY).alias("keys"),
                    F.count_if(F.col("predicted_class").isNull()).alias("unknown_classes"),
                    F.count_if(~F.col("alert").eqNullSafe(alert)).alias("wrong_alerts"))
+
+
+@register("stream_quarantine", O.with_(O.FLOWS, """
+SELECT 'rejected' AS kind, row_key, 'Total Fwd Packets' AS reasons, count(*) AS copies FROM flows_raw
+WHERE "Total Fwd Packets" IS NOT NULL AND TRY_CAST("Total Fwd Packets" AS DOUBLE) IS NULL GROUP BY row_key
+UNION ALL SELECT 'scored', row_key, NULL, count(*) FROM flows_raw
+WHERE "Total Fwd Packets" IS NULL OR TRY_CAST("Total Fwd Packets" AS DOUBLE) IS NOT NULL GROUP BY row_key"""))
+def stream_quarantine(spark, sf):
+    """The scoring stream with a quarantine: every row is scored once, or rejected once with the columns that it cannot
+    give as numbers."""
+    a = load_artifacts(spark, save_artifacts(Workflow(spark, sf)))
+    flows = flows_from_events(S.event_stream(spark, sf))
+    out = scratch_path(spark, "stream-quarantine")
+    quarantine.run_quarantined(flows, lambda good: S.score(good, a.medians, a.params, a.model, a.features, a.mapping, keep=[KEY]), out)
+    scored = spark.read.parquet(f"{out}/{quarantine.SCORED}").select(F.lit("scored").alias("kind"), KEY, F.lit(None).cast("string").alias("reasons"))
+    rejected = spark.read.parquet(f"{out}/{quarantine.REJECTED}").select(F.lit("rejected").alias("kind"), KEY, F.array_join("reasons", ", ").alias("reasons"))
+    return scored.unionByName(rejected).groupBy("kind", KEY, "reasons").agg(F.count(F.lit(1)).alias("copies"))

@@ -86,10 +86,15 @@ class Workflow:
             self._c[key] = build()
         return self._c[key]
 
+    @property
+    def clean(self) -> DataFrame:
+        """The validated rows, deduplicated once for the mapping and the split."""
+        return self._get("clean", lambda: materialize(validated(self.spark, self.sf)))
+
     @property
     def mapping(self) -> DataFrame:
         def build():
-            m = materialize(mapping(self.spark, self.sf))
+            m = materialize(encode.class_mapping(self.clean, LABEL))
             bounded_rows(m)  # everything of one row per class stays within this
             return m
         return self._get("mapping", build)
@@ -97,7 +102,7 @@ class Workflow:
     @property
     def split(self) -> DataFrame:
         def build():
-            e = encoded(self.spark, self.sf, mapping_df=self.mapping)
+            e = materialize(encoded(self.spark, self.sf, clean_df=self.clean, mapping_df=self.mapping))  # read several times
             return materialize(sampling.stratified_split(e, "label_id", 0.2, SEED, key=[KEY]))
         return self._get("split", build)
 
