@@ -17,13 +17,15 @@ from pyspark.sql import functions as F
 
 from flowguard.llm.common import bounded_batches, connected_components, materialize
 from flowguard.llm.shingles import star
+from flowguard.session import bounded_rows
 
 COSINE = 0.95  #: least cosine of a link
-SAMPLE = 20_000  #: vectors that centroids and codebooks are fitted on at most (by hash of vec_id)
+SAMPLE = 20_000  #: distinct vectors that centroids and codebooks are fitted on at most (by hash)
 PROBES = 8  #: lists that a vector probes
 SUBSPACES, CODES = 8, 64  #: parts of a residual and codewords of each
 MAX_LISTS = 4096  #: centroids at most: they are broadcast (at 1,024 dimensions 33 MB)
 BLOCK = 2048  #: vectors of a block on average
+MAX_DIMS = 1000  #: different dimensions of the vectors at most: each takes a round of its own
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int = 8, seed: int = 5) -> np.ndarray:
@@ -92,7 +94,7 @@ def _links(rows: DataFrame, cosine: float, probes: int) -> tuple[DataFrame, Data
     """Links among distinct vectors ``(id, n, embedding)`` of one dimension: counts ``(id, linked)`` and edges."""
     spark = rows.sparkSession
     count = rows.count()
-    sample = rows.orderBy(F.xxhash64("id")).limit(SAMPLE).select("embedding").toArrow()
+    sample = rows.orderBy(F.xxhash64("embedding")).limit(SAMPLE).select("embedding").toArrow()
     lists = int(min(MAX_LISTS, max(1, round(count ** 0.5))))
     shared = spark.sparkContext.broadcast(Index(_unit(_matrix(sample["embedding"])), lists))
     radius = float(np.sqrt(max(0.0, 2 - 2 * cosine))) + 1e-6
@@ -161,7 +163,8 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, probes: int = PROBE
 
     Equal vectors are one class from the start.  Vectors that are null, empty, zero or hold null or non-finite
     components link with nothing, and so do rows of null vec_id (their component_id is null); vectors of
-    different dimensions never link.  Repeated rows link with each other.  An empty table gives none; other
+    different dimensions never link.  Repeated rows link with each other; different vectors of one vec_id are
+    judged each by itself.  An empty table gives none; other
     columns, labels included, are ignored.
     """
     bounded_batches(vectors.sparkSession, 2000)
@@ -169,16 +172,20 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, probes: int = PROBE
     fine = F.expr("coalesce(vec_id is not null and size(embedding) > 0 and forall(embedding, x -> x is not null and not isnan(x) "
                   "and abs(x) < double('Infinity')) and exists(embedding, x -> x <> 0), false)")
     rows = rows.withColumn("fine", fine)
-    classes = materialize(rows.where("fine").groupBy("embedding").agg(F.min("vec_id").alias("id"), F.count("*").alias("n")))
+    classes = rows.where("fine").groupBy("embedding").agg(F.min("vec_id").alias("lead"), F.count("*").alias("n"))
+    classes = materialize(classes.withColumn("id", F.monotonically_increasing_id()))  # numbers are read back, never made again
     found, ties = None, None
-    for r in classes.select(F.size("embedding").alias("d")).distinct().collect():  # one round per dimension
+    for r in bounded_rows(classes.select(F.size("embedding").alias("d")).distinct(), MAX_DIMS, "vector dimensions"):  # a round each
         counts, edges = _links(classes.where(F.size("embedding") == r["d"]), cosine, probes)
         found, ties = (counts, edges) if found is None else (found.unionByName(counts), ties.unionByName(edges))
     if found is None:
         found, ties = (classes.select("id", F.col("n").alias("linked")), classes.select("id", F.col("id").alias("other")))
     parts = connected_components(ties.select(F.col("id").alias("a"), F.col("other").alias("b")))
-    of = (classes.join(found, "id", "left").join(parts, "id", "left")
-          .select(F.col("embedding").alias("e"), F.coalesce("component", "id").alias("component_id"),
+    several = classes.select("id", "lead").join(parts, "id")
+    least = several.groupBy("component").agg(F.min("lead").alias("least"))
+    several = several.join(least, "component").select("id", "least")
+    of = (classes.join(found, "id", "left").join(several, "id", "left")
+          .select(F.col("embedding").alias("e"), F.coalesce("least", "lead").alias("component_id"),
                   (F.col("n") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links")))
     linked = rows.where("fine").join(of, F.col("embedding") == F.col("e")).select("vec_id", "n_links", "component_id")
     alone = rows.where("not fine").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))

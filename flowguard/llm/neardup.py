@@ -1,10 +1,11 @@
 """Near duplicates: n-gram Jaccard join with Bayesian candidate pruning.
 
-Equal texts are one class from the start.  Classes that share a MinHash band are tied to the band's smallest
-class, and the connected parts of that graph are cut into blocks of bounded size.  Each pair of blocks is
-compared in one task: MinHash values go in steps, a pair is dropped as soon as the posterior probability
-that its similarity reaches the threshold falls below the tolerance, and the rest are verified exactly.
-No pair leaves the task: it gives back link counts, and a star per connected part.
+Equal texts are one class from the start.  Classes that share a MinHash band meet in that band's bucket, in blocks
+of bounded size, with eight bits of each MinHash value: these are compared in steps, a pair is dropped as soon as
+the posterior probability that its similarity reaches the threshold falls below the tolerance, and what is left
+ties classes to parts.  So classes that only share a band by chance are never tied.  A part is cut into
+blocks of texts, and each pair of blocks is compared in one task: whole MinHash values in steps, then exactly.
+No pair leaves a task: it gives back link counts, and a star per connected part.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ STEP = 30  #: MinHash values compared at a time
 TOLERANCE = 1e-6  #: posterior probability below which a candidate is dropped
 BLOCK, BLOCK_BYTES = 512, 4 << 20  #: texts, and bytes, of a block on average
 GROUP_BYTES = 4 << 20  #: bytes of a task's group of block pairs on average
+BUCKET_BLOCK = 4096  #: classes of a block of a band's bucket on average
 
 
 @lru_cache(maxsize=8)
@@ -47,7 +49,11 @@ def least_matches(threshold: float, tolerance: float, perms: int, step: int) ->
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """``doc_id, key (digest of the text), n_bytes, bands`` of documents with a word; whole texts."""
+    """``doc_id, key (digest of the text), n_bytes, bands, sig`` of documents with a word; whole texts.
+
+    sig: eight bits of each MinHash value.  Different values agree in them by chance (1 in 256), which only keeps
+    more pairs.
+    """
     bounded_batches(docs.sparkSession)
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.md5(text_of().cast("binary")).alias("key"), text_of().cast("binary").alias("raw"))
@@ -56,15 +62,83 @@ def sketches(docs: DataFrame) -> DataFrame:
         for b in arrow_rows(batches, 512, 2 << 20):
             raw = b.column(2).to_pylist()
             h, begin = S.Words(raw).shingles(SHINGLE)
-            keys = S.band_keys(S.minhash(h, begin, ROWS * BANDS), ROWS)
+            least = S.minhash(h, begin, ROWS * BANDS)
+            keys = S.band_keys(least, ROWS)
             has = np.diff(begin) > 0
             bands = pa.ListArray.from_arrays(pa.array(np.arange(0, (has.sum() + 1) * BANDS, BANDS, dtype=np.int32)), pa.array(keys[has].ravel()))
             mask = pa.array(has)
             yield pa.RecordBatch.from_arrays([b.column(0).filter(mask), b.column(1).filter(mask),
-                                              pa.array([len(x) for x, k in zip(raw, has) if k], pa.int64()), bands],
-                                             ["doc_id", "key", "n_bytes", "bands"])
+                                              pa.array([len(x) for x, k in zip(raw, has) if k], pa.int64()), bands,
+                                              pa.array([x.tobytes() for x in (least[has] & 0xFF).astype(np.uint8)], pa.binary())],
+                                             ["doc_id", "key", "n_bytes", "bands", "sig"])
 
-    return rows.mapInArrow(run, "doc_id long, key string, n_bytes long, bands array<long>")
+    return rows.mapInArrow(run, "doc_id long, key string, n_bytes long, bands array<long>, sig binary")
+
+
+def alike(a: np.ndarray, b: np.ndarray, steps: tuple[tuple[int, int], ...]) -> np.ndarray:
+    """Which rows of b stay a candidate with any row of a, by the values of their signatures compared in steps."""
+    out = np.zeros(len(b), bool)
+    n, least = steps[0]
+    wide = max(1, (1 << 22) // (len(b) * n + 1))
+    for at in range(0, len(a), wide):
+        hits = np.zeros((len(a[at:at + wide]), len(b)), np.uint8)
+        for k in range(n):
+            hits += a[at:at + wide, k][:, None] == b[None, :, k]
+        i, j = np.nonzero((hits >= least) & ~out[None, :])
+        m, done = hits[i, j].astype(np.int32), n
+        for upto, few in steps[1:]:
+            for part in range(0, len(i), 1 << 16):
+                p = slice(part, part + (1 << 16))
+                m[p] += (a[at + i[p], done:upto] == b[j[p], done:upto]).sum(1, dtype=np.int32)
+            good = m >= few
+            i, j, m, done = i[good], j[good], m[good], upto
+        out[j] = True
+    return out
+
+
+def tied(ids: np.ndarray, sig: np.ndarray, steps: tuple[tuple[int, int], ...]) -> tuple[np.ndarray, np.ndarray]:
+    """The connected parts of the candidates among rows, as a star each: every other id, and the part's smallest.
+
+    A search in breadth: those alike to the rows reached last are reached next, and only rows not reached
+    yet are compared, so a bucket of near copies takes one comparison a row.
+    """
+    order = np.argsort(ids, kind="stable")
+    ids, sig = ids[order], sig[order]
+    rest = np.arange(len(ids))
+    out: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64),) * 2]
+    while len(rest) > 1:
+        first, front, rest = rest[0], rest[:1], rest[1:]
+        while len(front) and len(rest):
+            hit = alike(sig[front], sig[rest], steps)
+            front, rest = rest[hit], rest[~hit]
+            out.append((ids[front], np.full(len(front), ids[first])))
+    return np.concatenate([o[0] for o in out]), np.concatenate([o[1] for o in out])
+
+
+def candidate_parts(classes: DataFrame, threshold: float) -> DataFrame:
+    """``id, component`` of classes ``id, bands, sig`` that stay a candidate with another that shares a band."""
+    steps = least_matches(threshold, TOLERANCE, ROWS * BANDS, STEP)
+    bands = classes.select("id", F.explode("bands").alias("band"))
+    sizes = bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    sizes = materialize(sizes.select("band", "n", F.ceil(F.col("n") / BUCKET_BLOCK).cast("int").alias("nb")))
+    total = sizes.agg(F.sum(F.col("n") * F.col("nb"))).first()[0] or 0
+    groups = max(1, -(-int(total) * (ROWS * BANDS + 32) // GROUP_BYTES))
+    met = classes.select("id", "sig", F.explode("bands").alias("band")).join(sizes, "band")
+    met = met.withColumn("block", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int")).withColumn("other", F.explode(F.expr("sequence(0, nb - 1)")))
+    met = met.select("id", "sig", "band", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
+    met = met.withColumn("g", F.pmod(F.xxhash64("band", "lo", "hi"), F.lit(groups)))
+
+    def compare(table: pa.Table) -> pa.Table:
+        what = np.stack([table[c].to_numpy().astype(np.int64) for c in ("band", "lo", "hi")], 1)
+        ids, sig = table["id"].to_numpy(), np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint8).reshape(table.num_rows, -1)
+        order = np.lexsort(what.T)
+        cut = np.flatnonzero(np.concatenate([[True], (np.diff(what[order], axis=0) != 0).any(1)]))
+        out = [tied(ids[rows], sig[rows], steps) for rows in np.split(order, cut[1:]) if len(rows) > 1]
+        u, v = (np.concatenate([o[k] for o in out]) if out else np.zeros(0, np.int64) for k in range(2))
+        u, v = S.star(u, v) if len(u) else (u, v)  # buckets of a group tie the same classes again
+        return pa.table({"a": pa.array(u, pa.int64()), "b": pa.array(v, pa.int64())})
+
+    return connected_components(met.groupBy("g").applyInArrow(compare, "a long, b long"))
 
 
 class Texts:
@@ -130,15 +204,12 @@ def links(a: Texts, b: Texts, same: bool, threshold: float = THRESHOLD) -> tuple
 
 
 def linked(docs: DataFrame, classes: DataFrame, threshold: float, block: int) -> DataFrame:
-    """Links between classes ``key, id, n, n_bytes, bands`` of equal texts, and how many documents each links.
+    """Links between classes ``key, id, n, n_bytes, bands, sig`` of equal texts, and how many documents each links.
 
     Returns ``id, other, n, link``: counts (not link), and stars over the linked ids.  The text of a class is
     that of the document ``id``, or of ``lead`` (null for a row without an id) where classes have that column.
     """
-    bands = classes.select("id", F.explode("bands").alias("band"))
-    first = bands.groupBy("band").agg(F.min("id").alias("lead"), F.count("*").alias("n")).where("n > 1").drop("n")
-    parts = connected_components(bands.join(first, "band").select(F.col("id").alias("a"), F.col("lead").alias("b")))
-    members = materialize(classes.drop("bands").join(parts, "id"))
+    members = materialize(classes.drop("bands", "sig").join(candidate_parts(classes, threshold), "id"))
     blocks = members.groupBy("component").agg(
         F.greatest(F.lit(1), F.ceil(F.count("*") / block), F.ceil(F.sum("n_bytes") / BLOCK_BYTES)).cast("int").alias("nb"))
     members = members.join(blocks, "component").withColumn("block", F.pmod(F.xxhash64("key"), F.col("nb")).cast("int"))
@@ -187,6 +258,7 @@ def linked(docs: DataFrame, classes: DataFrame, threshold: float, block: int) ->
 
     return materialize(pairs.groupBy("g").applyInArrow(compare, "id long, other long, n long, link boolean"))
 
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
     """One row per document: ``doc_id, class_id, n_links, kept``.
 
@@ -199,7 +271,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, block: int =
     """
     known = materialize(sketches(docs.where(F.col("doc_id").isNotNull())))
     classes = materialize(known.groupBy("key").agg(F.min("doc_id").alias("id"), F.count("*").alias("n"),
-                                                   F.max("n_bytes").alias("n_bytes"), F.any_value("bands").alias("bands")))
+                                                   F.max("n_bytes").alias("n_bytes"), F.any_value("bands").alias("bands"), F.any_value("sig").alias("sig")))
     found = linked(docs, classes, threshold, block)
     counts = found.where("not link").groupBy("id").agg(F.sum("n").alias("linked"))
     joined = connected_components(found.where("link").select(F.col("id").alias("a"), F.col("other").alias("b")))
@@ -221,7 +293,7 @@ def distinct_texts(docs: DataFrame, threshold: float = THRESHOLD, block: int = B
     """
     known = materialize(sketches(docs))
     classes = known.groupBy("key").agg(F.min("doc_id").alias("lead"), F.count("*").alias("n"), F.max("n_bytes").alias("n_bytes"),
-                                       F.any_value("bands").alias("bands"))
+                                       F.any_value("bands").alias("bands"), F.any_value("sig").alias("sig"))
     classes = materialize(classes.withColumn("id", F.monotonically_increasing_id()))  # numbers are read back, never made again
     found = linked(docs, classes, threshold, block)
     joined = connected_components(found.where("link").select(F.col("id").alias("a"), F.col("other").alias("b")))

@@ -10,7 +10,7 @@ import re
 import numpy as np
 import pytest
 
-from flowguard.llm import chat, embeddings, mixing, neardup, warc
+from flowguard.llm import chat, embeddings, mixing, neardup, shingles, warc
 
 
 def test_warc(spark):
@@ -242,6 +242,108 @@ def test_near_vectors(spark):
     assert all(got[1000 + k]["n_links"] == 0 and got[1000 + k]["kept"] for k in (0, 1, 2, 3, 4, 7))
 
 
+def test_weak_collisions_tie_nothing(spark, monkeypatch):
+    """A chain of 5,000 texts that share a band each with the next, but nothing else: no part, and few pairs compared."""
+    seen = spark.sparkContext.accumulator(0)
+    rng = np.random.default_rng(5)
+    rows = [(i, [10 * i, 10 * i + 10], rng.integers(0, 256, neardup.ROWS * neardup.BANDS).astype(np.uint8).tobytes()) for i in range(5000)]
+    near = bytearray(rows[7][2])
+    near[3] ^= 1
+    rows[8] = (8, rows[8][1], bytes(near))
+    df = spark.createDataFrame([(i, b, bytearray(s)) for i, b, s in rows], "id long, bands array<long>, sig binary")
+    alike = neardup.alike
+
+    def counted(a, b, steps):
+        seen.add(len(a) * len(b))
+        return alike(a, b, steps)
+    monkeypatch.setattr(neardup, "alike", counted)
+    assert {tuple(r) for r in neardup.candidate_parts(df, 0.8).collect()} == {(7, 7), (8, 7)}
+    assert alike is not counted
+
+
+def test_tied_parts_are_connected_candidates():
+    """The search in breadth finds the same parts as all pairs do."""
+    rng = np.random.default_rng(9)
+    steps = neardup.least_matches(0.8, neardup.TOLERANCE, 150, 30)
+    base = rng.integers(0, 256, (25, 150)).astype(np.uint8)
+    sig = base[rng.integers(0, 25, 160)]
+    change = rng.random(sig.shape) < rng.choice([0, 0.1, 0.2, 0.3], 160)[:, None]
+    sig = np.where(change, rng.integers(0, 256, sig.shape), sig).astype(np.uint8)
+    ids = rng.permutation(1000)[:160].astype(np.int64)
+    pairs = []
+    for i in range(160):
+        for j in range(i):
+            same = sig[i] == sig[j]
+            if all(same[:n].sum() >= least for n, least in steps):
+                pairs.append((ids[i], ids[j]))
+    want = dict(zip(*map(np.ndarray.tolist, shingles.star(*map(np.array, zip(*pairs))))))
+    u, v = neardup.tied(ids, sig, steps)
+    assert dict(zip(u.tolist(), v.tolist())) == want and len(want) > 50
+    work = []
+    real = neardup.alike
+    try:
+        neardup.alike = lambda a, b, s: work.append(len(a) * len(b)) or real(a, b, s)
+        neardup.tied(np.arange(3000), np.repeat(base[:1], 3000, 0), steps)
+    finally:
+        neardup.alike = real
+    assert sum(work) < 3 * 3000  # near copies take a comparison each, not one for each pair
+
+
+def test_large_buckets_go_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BUCKET_BLOCK", 5)
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 256, (2, 150)).astype(np.uint8)
+    rows = [(i, [1, 2 + i % 2], bytearray(base[i % 2].tobytes())) for i in range(40)]
+    got = neardup.candidate_parts(spark.createDataFrame(rows, "id long, bands array<long>, sig binary"), 0.8)
+    assert {tuple(r) for r in got.collect()} == {(i, i % 2) for i in range(40)}
+
+
+def test_near_duplicates_without_ids(spark):
+    text = " ".join(f"w{i}" for i in range(50))
+    df = spark.createDataFrame([(None, text), (3, text), (None, text + " end"), (4, text + " end"), (None, None)], "doc_id long, text string")
+    got = sorted(((r["doc_id"], r["class_id"], r["n_links"], r["kept"]) for r in neardup.near_duplicates(df).collect()), key=str)
+    assert got == [(3, 3, 1, True), (4, 3, 1, False), (None, None, 0, True), (None, None, 0, True), (None, None, 0, True)]
+
+
+def test_near_vectors_odd_tables(spark):
+    schema = "vec_id long, embedding array<float>, component_id int"
+    rows = [(1, [1.0, 0.0], 9), (1, [1.0, 0.0], 9), (2, [1.0, 0.01], 9), (None, [1.0, 0.0], 9), (3, [0.0, 1.0], 9), (3, [5.0, 0.0], 9)]
+    got = collections.Counter((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in embeddings.near_vectors(spark.createDataFrame(rows, schema)).collect())
+    # rows count by themselves, also where they share an id; a row without an id links with nothing
+    assert got == collections.Counter([(1, 3, 1, True), (1, 3, 1, True), (2, 3, 1, False), (3, 0, 3, True), (3, 3, 1, False), (None, 0, None, True)])
+    assert embeddings.near_vectors(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_near_vector_recall_at_20000(spark):
+    """10,000 planted pairs at cosine 0.95 and more among 20,000 vectors: at least nine tenths are found, none false."""
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(10000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    away = rng.normal(size=x.shape)
+    away -= (away * x).sum(1, keepdims=True) * x
+    away /= np.linalg.norm(away, axis=1, keepdims=True)
+    c = rng.uniform(0.951, 0.97, (10000, 1))
+    y = c * x + np.sqrt(1 - c * c) * away
+    v = np.concatenate([x, y]).astype(np.float32)
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(v.tolist())], "vec_id long, embedding array<float>")
+    got = embeddings.near_vectors(df).where("n_links > 0").select("vec_id", "component_id", "n_links").toPandas()
+    assert (got["n_links"] == 1).all() and (got["component_id"] == got["vec_id"] % 10000).all()
+    assert len(got) >= 0.9 * 20000
+
+
+def test_probes_reach_pairs_at_4096_lists():
+    """Pairs outside the sample that the index was fitted on, with as many lists as there can be."""
+    rng = np.random.default_rng(12)
+    index = embeddings.Index(embeddings._unit(rng.normal(size=(embeddings.SAMPLE, 64))), embeddings.MAX_LISTS)
+    x = embeddings._unit(rng.normal(size=(2000, 64)))
+    away = rng.normal(size=x.shape)
+    away = embeddings._unit(away - (away * x).sum(1, keepdims=True) * x)
+    y = 0.955 * x + np.sqrt(1 - 0.955 ** 2) * away
+    home_x, home_y = index.probe(x)[:, 0], index.probe(y)[:, 0]
+    met = (index.probe(x) == home_y[:, None]).any(1) | (index.probe(y) == home_x[:, None]).any(1)
+    assert len(index.centroids) == 4096 and met.mean() >= 0.95
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline as p
 
