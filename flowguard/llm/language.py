@@ -1,27 +1,31 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
-Training counts cover every labelled text; the log-probability matrix (buckets x languages, a fixed size)
-is broadcast, and whole batches of texts are scored with numpy gathers and segment sums.
+Training counts cover every labelled text; the log-probability matrix (buckets x languages) is broadcast in
+groups of a bounded number of languages, and whole batches of texts are scored with numpy gathers and segment
+sums; what the groups find is merged by best score and log-sum.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowguard.llm.common import arrow_rows, bounded_batches, crc_remainder, text_of
+from flowguard.llm.common import arrow_rows, bounded_batches, crc_remainder, materialize, text_of
+from flowguard.session import bounded_rows
 
 BITS = 16  #: n-grams hash into 2 ** BITS buckets
 ORDERS = (1, 2, 3)  #: code points of an n-gram
 ALPHA = 0.5  #: added to every count
-MAX_LANGS = 100  #: more languages are an error: the matrix is broadcast (2 ** 16 x 100 floats are 26 MB)
+GROUP_LANGS = 100  #: languages of a group: its matrix is broadcast (2 ** 16 x 100 floats are 26 MB)
+CHAINED = 4  #: groups scored in one stage
+ALL_LANGS = 100_000  #: names of languages on the driver at most
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTERLIKE = re.compile(r"[^\W\d_]")  # letters, and numerals that are no digits
 _SLICE = 1 << 20
 
 
@@ -43,14 +47,19 @@ def ngram_buckets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return out, starts
 
 
+def has_letter(text: str | None) -> bool:
+    """Whether a text has a character of a letter category (L), which numerals such as the Roman ones are not."""
+    return bool(text) and any(m.group().isalpha() for m in _LETTERLIKE.finditer(text))
+
+
 class Model:
-    """Languages in code-point order and the matrix of log probabilities, buckets x languages."""
+    """A group of languages in code-point order and the matrix of log probabilities, buckets x languages."""
 
-    def __init__(self, langs: list[str], counts: np.ndarray, docs: np.ndarray):
+    def __init__(self, langs: list[str], counts: np.ndarray, docs: np.ndarray, total: float | None = None):
         self.langs = langs
         p = counts.T.astype(np.float64) + ALPHA
         self.matrix = np.ascontiguousarray(np.log(p / p.sum(0)), dtype=np.float32)
-        self.prior = np.log(docs / docs.sum())
+        self.prior = np.log(docs / (docs.sum() if total is None else total))
 
     def scores(self, texts: list[str]) -> np.ndarray:
         """Log probabilities (up to a constant of the text), texts x languages."""
@@ -68,20 +77,29 @@ class Model:
                 out[first:last] += np.add.reduceat(self.matrix[row[at:end]], cut, axis=0, dtype=np.float64)
         return out
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        """Language and its posterior probability; ``und`` and 0 for null texts and texts without a letter."""
-        known = [i for i, t in enumerate(texts) if t and _LETTER.search(t)]
-        lang, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
-        if known and self.langs:
+    def best(self, texts: list[str | None]) -> tuple[list[str | None], np.ndarray, np.ndarray]:
+        """The best language of the group, its log probability and the log of the sum of all; null for null texts and
+        texts without a letter."""
+        known = [i for i, t in enumerate(texts) if has_letter(t)]
+        lang, top, total = [None] * len(texts), np.full(len(texts), -np.inf), np.full(len(texts), -np.inf)
+        if known:
             s = self.scores([texts[i] for i in known])
-            p = np.exp(s - s.max(1, keepdims=True))
-            p /= p.sum(1, keepdims=True)
-            for i, best, row in zip(known, p.argmax(1), p):
-                lang[i], score[i] = self.langs[best], min(1.0, float(row[best]))
-        return lang, score
+            most = s.max(1)
+            top[known], total[known] = most, most + np.log(np.exp(s - most[:, None]).sum(1))
+            for i, k in zip(known, s.argmax(1)):
+                lang[i] = self.langs[k]
+        return lang, top, total
+
+
+class Models:
+    """All languages, in groups in code-point order."""
 
+    def __init__(self, groups: list[Model]):
+        self.groups = groups
+        self.langs = [k for g in groups for k in g.langs]
 
-def train(docs: DataFrame, text: str = "text", lang: str = "lang", max_langs: int = MAX_LANGS) -> Model:
+
+def train(docs: DataFrame, text: str = "text", lang: str = "lang", group: int = GROUP_LANGS) -> Models:
     """Learn from all rows with a language; null texts count as empty.  No labelled row gives an empty model."""
     bounded_batches(docs.sparkSession)
 
@@ -113,38 +131,50 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", max_langs: in
     parts = rows.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     spark = docs.sparkSession
     parts = parts.checkpoint()
-    langs = sorted(r["lang"] for r in parts.where(F.col("bucket") == 1 << BITS).select("lang").limit(max_langs + 1).collect())
-    if len(langs) > max_langs:
-        raise ValueError(f"more than {max_langs} languages: the log-probability matrix would be too large to broadcast")
-    counts = np.zeros((len(langs), (1 << BITS) + 1), np.int64)
-    place = {k: i for i, k in enumerate(langs)}
-    got = parts.toArrow()  # at most max_langs x 2 ** BITS rows
-    codes = np.array([place[x] for x in got["lang"].combine_chunks().dictionary_encode().dictionary.to_pylist()], np.int64)
-    if len(langs):
-        at = codes[got["lang"].combine_chunks().dictionary_encode().indices.to_numpy()]
-        counts[at, got["bucket"].to_numpy()] = got["n"].to_numpy()
-    return Model(langs, counts[:, :-1], np.maximum(counts[:, -1], 1e-9))
-
-
-def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    sizes = {r["lang"]: r["n"] for r in bounded_rows(parts.where(F.col("bucket") == 1 << BITS).select("lang", "n"), ALL_LANGS, "languages")}
+    langs, total, groups = sorted(sizes), max(1e-9, sum(sizes.values())), []
+    for at in range(0, len(langs), group):
+        here = langs[at:at + group]
+        counts = np.zeros((len(here), (1 << BITS) + 1), np.int64)
+        place = {k: i for i, k in enumerate(here)}
+        got = parts.where(F.col("lang").between(here[0], here[-1])).toArrow()  # at most group x 2 ** BITS rows
+        names = got["lang"].combine_chunks().dictionary_encode()
+        codes = np.array([place[x] for x in names.dictionary.to_pylist()], np.int64)
+        counts[codes[names.indices.to_numpy()], got["bucket"].to_numpy()] = got["n"].to_numpy()
+        groups.append(Model(here, counts[:, :-1], np.maximum(counts[:, -1], 1e-9), total))
+    return Models(groups)
+
+
+def predict(docs: DataFrame, models: Models, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Add ``lang_pred, score`` to the kept columns (all by default); same-named columns are replaced.
 
-    Null, empty and letterless texts give ``und`` and 0; ties go to the first language in code-point order;
-    repeated rows stay; an empty table gives none.
+    Null, empty and letterless texts give ``und`` and 0, and so do all without a learnt language; ties go to the first
+    language in code-point order; repeated rows stay; an empty table gives none.
     """
     bounded_batches(docs.sparkSession)
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    given = docs.select(*(F.col(f"`{c}`") for c in keep), F.col(text).alias("__text"))
-    out = given.drop("__text").withColumn("lang_pred", F.lit("")).withColumn("score", F.lit(0.0))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in arrow_rows(batches, 512, 1 << 20):
-            lang, score = shared.value.predict(b.column(b.num_columns - 1).to_pylist())
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(lang, pa.string()), pa.array(score, pa.float64())],
-                                             [*b.schema.names[:-1], "lang_pred", "score"])
-
-    return given.mapInArrow(run, out.schema)
+    out = docs.select(*(F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(keep)), F.col(text).alias("__text"),
+                      F.lit(None).cast("string").alias("__lang"), F.lit(float("-inf")).alias("__top"), F.lit(float("-inf")).alias("__all"))
+
+    def better(model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in arrow_rows(batches, 512, 1 << 20):
+                n = b.num_columns
+                lang, top, every = model.value.best(b.column(n - 4).to_pylist())
+                old, best, total = (b.column(n - k).to_pylist() if k == 3 else b.column(n - k).to_numpy() for k in (3, 2, 1))
+                first = best >= top  # earlier groups have the smaller names
+                lang = [o if f else new for o, f, new in zip(old, first, lang)]
+                yield pa.RecordBatch.from_arrays([*b.columns[:-3], pa.array(lang, pa.string()), pa.array(np.maximum(best, top)),
+                                                  pa.array(np.logaddexp(total, every))], b.schema.names)
+        return run
+
+    for i, model in enumerate(models.groups):
+        if i and i % CHAINED == 0:  # not too many Python workers in one task
+            out = materialize(out)
+        out = out.mapInArrow(better(docs.sparkSession.sparkContext.broadcast(model)), out.schema)
+    sure = F.least(F.lit(1.0), F.exp(F.col("__top") - F.col("__all")))
+    return out.select(*(F.col(f"_{i}").alias(c) for i, c in enumerate(keep)), F.coalesce("__lang", F.lit(UNKNOWN)).alias("lang_pred"),
+                      F.when(F.col("__lang").isNull(), 0.0).otherwise(sure).alias("score"))
 
 
 def identify(docs: DataFrame, mod: int = 4, held: int = 2) -> DataFrame:

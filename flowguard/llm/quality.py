@@ -110,8 +110,10 @@ def _strength(groups: DataFrame, above: str) -> float:
     return MOST if between <= 0 else float(np.clip(inside / between - 1, LEAST, MOST))
 
 
-def classify(docs: DataFrame, labels: DataFrame, host: Column | None = None, path: Column | None = None, mod: int = 4, held: int = 2) -> DataFrame:
-    """Per document ``doc_id, held_out, host, path, evidence, host_posterior, path_posterior, score, good``.
+def classify(docs: DataFrame, labels: DataFrame, host: Column | None = None, path: Column | None = None, mod: int = 4, held: int = 2,
+             keep: list[Column] | None = None) -> DataFrame:
+    """Per document ``doc_id, held_out, host, path, evidence, host_posterior, path_posterior, score, good``, and the
+    columns of ``keep`` (named otherwise).
 
     Labels (quality 0 or 1, others ignored; the largest of repeated ones) of documents whose crc32(doc_id) mod
     ``mod`` is ``held`` are never used.  A site's sums take the label of a training document and the evidence
@@ -124,7 +126,7 @@ def classify(docs: DataFrame, labels: DataFrame, host: Column | None = None, pat
     host = F.substring_index(F.col("source"), "/", 1) if host is None else host
     path = F.concat_ws("/", "source", "lang") if path is None else path
     rows = materialize(document_features(docs, [F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(host, F.lit("")).alias("host"),
-                                                F.coalesce(path, F.lit("")).alias("path")])
+                                                F.coalesce(path, F.lit("")).alias("path"), *(keep or [])])
                        .withColumn("held_out", crc_remainder("doc_id", mod) == held))
     known = (labels.where("quality in (0, 1) and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
              .agg(F.max("quality").cast("double").alias("label")))
@@ -136,7 +138,8 @@ def classify(docs: DataFrame, labels: DataFrame, host: Column | None = None, pat
     for k, w in enumerate(weights):
         logit = logit + F.col("f")[k] * F.lit(float(w))
     odds = F.least(F.greatest(logit, F.lit(-12.0)), F.lit(12.0))
-    rows = rows.select("doc_id", "held_out", "host", "path", "label", odds.alias("odds")).withColumn("evidence", 1 / (1 + F.exp(-F.col("odds"))))
+    more = [c for c in rows.columns if c not in ("doc_id", "held_out", "host", "path", "label", "f")]  # the kept ones
+    rows = rows.select("doc_id", "held_out", "host", "path", "label", *more, odds.alias("odds")).withColumn("evidence", 1 / (1 + F.exp(-F.col("odds"))))
     rows = materialize(rows.withColumn("y", F.coalesce("label", "evidence")).drop("label"))
     sites = rows.groupBy("host", "path").agg(F.sum("y").alias("s"), F.count("*").alias("n"))
     sites = materialize(sites)
@@ -154,4 +157,4 @@ def classify(docs: DataFrame, labels: DataFrame, host: Column | None = None, pat
     kept = F.least(F.greatest("path_posterior", F.lit(1e-6)), F.lit(1 - 1e-6))
     total = F.col("odds") + F.log(kept / (1 - kept)) - float(np.log(mu / (1 - mu)))
     got = got.withColumn("score", 1 / (1 + F.exp(-total)))
-    return got.select("doc_id", "held_out", "host", "path", "evidence", "host_posterior", "path_posterior", "score", (F.col("score") >= 0.5).alias("good"))
+    return got.select("doc_id", "held_out", "host", "path", "evidence", "host_posterior", "path_posterior", "score", (F.col("score") >= 0.5).alias("good"), *more)

@@ -58,10 +58,137 @@ def test_language(spark, odd):
     got = language.predict(odd, language.train(rows)).collect()
     assert len(got) == len(ODD) and got[0].asDict().keys() == {"doc_id", "text", "lang", "source", "lang_pred", "score"}
     for r in got:
-        assert (r["lang_pred"] == "und" and r["score"] == 0) == (not r["text"] or not re.search(r"[^\W\d_]", r["text"]))
+        assert (r["lang_pred"] == "und" and r["score"] == 0) == (not any(c.isalpha() for c in r["text"] or ""))
     assert language.identify(rows.limit(0)).count() == 0
 
 
+def _plain_buckets(text):
+    """Hashed n-grams of one text, one after the other."""
+    a, out, mask = [0, 0] + [ord(c) for c in text.lower()], [], (1 << 32) - 1
+    a += [0, 0]
+    for at in range(len(a) - 2):
+        h = 0
+        for k in range(3):
+            h = ((h ^ a[at + k]) * 0x9E3779B1 + k + 1) & mask
+            h ^= h >> 15
+            out.append(((h * 0x85EBCA77) & mask) >> 16)
+    return out
+
+
+def _plain_bayes(rows, texts):
+    counts, docs = collections.defaultdict(collections.Counter), collections.Counter()
+    for t, lang in rows:
+        docs[lang] += 1
+        counts[lang].update(_plain_buckets(t or ""))
+    out = []
+    for t in texts:
+        if not t or not any(c.isalpha() for c in t):
+            out.append(("und", 0.0))
+            continue
+        grams = collections.Counter(_plain_buckets(t))
+        logs = {k: math.log(docs[k] / sum(docs.values())) + sum(n * math.log((counts[k][g] + 0.5) / (sum(counts[k].values()) + 0.5 * 65536))
+                                                               for g, n in grams.items()) for k in docs}
+        best = min(logs, key=lambda k: (-logs[k], k))
+        out.append((best, 1 / sum(math.exp(v - logs[best]) for v in logs.values())))
+    return out
+
+
+@pytest.mark.parametrize("group, chained", [(100, 4), (2, 1)])
+def test_language_equals_plain_naive_bayes(spark, monkeypatch, group, chained):
+    """Every score, with one group of languages and with several; ties to the first name."""
+    monkeypatch.setattr(language, "CHAINED", chained)
+    rnd = random.Random(4)
+    letters = {"de": "abcdeßü", "en": "abcdefg", "es": "abcdñop", "fr": "abcdeéç", "xx": "abcdefg"}
+    made = lambda k, n: " ".join("".join(rnd.choices(letters[k], k=rnd.randrange(1, 7))) for _ in range(n))
+    same = [made("en", 9) for _ in range(6)]
+    rows = [(t, k) for k in ("en", "xx") for t in same] + [(made(k, rnd.randrange(1, 30)), k) for k in ("de", "es", "fr") for _ in range(9)] + [(None, "fr"), ("", "de")]
+    texts = [made(k, rnd.choice([1, 2, 12])) for k in letters for _ in range(12)] + [None, "", "²½", "Ⅷ", "12 !?", "日本", "é", "ǅ", "x" * 5000, "ª"]
+    train = spark.createDataFrame([(*r, 1) for r in rows], "text string, lang string, score int")
+    docs = spark.createDataFrame([(i, t, "?") for i, t in enumerate(texts)], "doc_id long, text string, lang_pred string")
+    models = language.train(train, group=group)
+    assert models.langs == sorted(letters) and len(models.groups) == -(-len(letters) // group)
+    got = {r["doc_id"]: r for r in language.predict(docs, models).collect()}
+    for i, (lang, score) in enumerate(_plain_bayes(rows, texts)):
+        assert got[i]["lang_pred"] == lang and abs(got[i]["score"] - score) < 1e-4, (i, texts[i])
+    assert "xx" not in {r["lang_pred"] for r in got.values()} and "en" in {r["lang_pred"] for r in got.values()}  # equal counts: a tie
+    nothing = language.predict(docs, language.train(train.limit(0)))
+    assert {(r["lang_pred"], r["score"]) for r in nothing.collect()} == {("und", 0.0)}
+
+
+def test_quality_statistics_equal_plain_python():
+    rnd = random.Random(7)
+    parts = ["Word", "word", "WORD", "12", "a" * 30, "é", "!!", "#", ".", "x-y"]
+    texts = ["", " \n\t ", "one"] + ["".join(rnd.choice([" ", "\n", "  "]) + rnd.choice(parts) for _ in range(rnd.randrange(1, 60))) for _ in range(200)]
+    got = quality.features([t.encode() for t in texts])
+    for t, row in zip(texts, got):
+        words, b = re.findall("[^ \t\n\x0b\x0c\r]+", t), t.encode()
+        seen = [c for c in b if c not in b" \t\n\x0b\x0c\r"]
+        kind = lambda chars: sum(c in chars for c in seen)  # noqa: E731, B023
+        lower, upper = kind(range(97, 123)), kind(range(65, 91))
+        common = kind(b".,;:'\"-?()")
+        signs = sum(33 <= c < 127 and not chr(c).isalnum() for c in seen) - common
+        n, many = max(1, len(seen)), max(1, len(words))
+        count = collections.Counter(words)
+        want = [math.log1p(len(words)), n / many, upper / max(1, lower + upper), kind(range(48, 58)) / n, common / n, signs / n, kind(range(128, 256)) / n, (lower + upper) / n,
+                len(count) / many, max(count.values(), default=0) / many, sum(x == y for x, y in zip(words, words[1:])) / many, t.count("\n") / many,
+                sum(len(w.encode()) > 24 for w in words) / many]
+        assert np.allclose(row, want if words else 0), t
+
+
+def test_quality_regression_is_at_its_optimum():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, quality.N_FEATURES)) * rng.uniform(0.1, 5, quality.N_FEATURES) + 2
+    y = (rng.random(400) < 1 / (1 + np.exp(-(x[:, 0] - x[:, 1])))).astype(float)
+    w, bias = quality.fit(x, y)
+    p = 1 / (1 + np.exp(-(x @ w + bias)))
+    z = (x - x.mean(0)) / x.std(0)
+    assert abs((y - p).sum()) < 1e-3 and np.abs(z.T @ (y - p) - quality.RIDGE * w * x.std(0)).max() < 1e-6
+
+
+def test_quality_posteriors_equal_plain_python(spark):
+    """Strengths, host and path posteriors and scores, from the evidence and the labels, value by value."""
+    rnd = random.Random(12)
+    sources = ["a"] * 30 + ["b"] * 12 + ["c"] * 3 + ["d", None, "a/x", "a/y"]
+    words = ["alpha", "BETA!!", "gamma", "1234", "delta."]
+    docs = [(k % 190 if k else None, None if k == 5 else " ".join(rnd.choices(words, k=rnd.randrange(0, 40))), rnd.choice(["en", "fr", None]), rnd.choice(sources), "x") for k in range(240)]
+    labels = [(i, int((i * 7919) % 10 < (8 if i % 3 else 3)), 0) for i in range(0, 190, 2)] + [(4, 1, 0), (6, None, 0), (8, 7, 0), (None, 1, 0)]
+    got = quality.classify(spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, host string"),
+                           spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    assert len(got) == len(docs)
+    known = {}
+    for i, q, _ in labels:
+        if i is not None and q in (0, 1):
+            known[i] = max(q, known.get(i, 0))
+    rows = []
+    for r in got:
+        held = zlib.crc32(("" if r["doc_id"] is None else str(r["doc_id"])).encode()) % 4 == 2
+        assert r["held_out"] == held
+        rows.append((r["host"], r["path"], known.get(r["doc_id"], r["evidence"]) if not held else r["evidence"]))
+    path, host = collections.defaultdict(list), collections.defaultdict(list)
+    for h, p, y in rows:
+        path[h, p].append(y)
+        host[h].append(y)
+    mu = (sum(y for *_, y in rows) + 1) / (len(rows) + 2)
+
+    def strength(groups):  # (values, mean above)
+        n = sum(len(v) for v, _ in groups)
+        v = sum(len(v) * a * (1 - a) for v, a in groups)
+        spread = sum(len(v) * (sum(v) / len(v) - a) ** 2 for v, a in groups)
+        between = (spread - v / n * len(groups)) / n
+        return quality.MOST if between <= 0 else min(max(v / n / between - 1, quality.LEAST), quality.MOST)
+    hk = strength([(v, mu) for v in host.values()])
+    above = {h: (sum(v) + hk * mu) / (len(v) + hk) for h, v in host.items()}
+    pk = strength([(v, above[h]) for (h, _), v in path.items()])
+    for r, (h, p, y) in zip(got, rows):
+        hp = (sum(host[h]) - y + hk * mu) / (len(host[h]) - 1 + hk)
+        pp = (sum(path[h, p]) - y + pk * hp) / (len(path[h, p]) - 1 + pk)
+        odds = math.log(r["evidence"] / (1 - r["evidence"])) + math.log(pp / (1 - pp)) - math.log(mu / (1 - mu))
+        assert abs(r["host_posterior"] - hp) < 1e-9 and abs(r["path_posterior"] - pp) < 1e-9 and abs(r["score"] - 1 / (1 + math.exp(-odds))) < 1e-9
+        assert r["good"] == (r["score"] >= 0.5)
+    # repeated rows get equal values, sparse sites stay nearer the prior than full ones
+    assert len({(r["doc_id"], r["path"], r["evidence"]) for r in got}) <= len(got)
+
+
 def test_quality(spark, odd):
     rnd = random.Random(2)
     words = ["alpha", "beta", "gamma", "delta", "words", "go", "on", "here"]
