@@ -26,16 +26,25 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     model = language.train(docs.where(crc_remainder("doc_id", 4) != 2))
     if not model.langs:
-        return docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+        return docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))  # the same letters as predict's
     known = language.predict(docs, model).where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE))
     return known.select(docs.columns)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Reject documents that the quality classifier finds bad (of rows that share a doc_id: all of them, if all are)."""
-    judged = quality.classify(docs, table(spark, sf_dir, "labels"))
-    bad = judged.where("doc_id is not null").groupBy("doc_id").agg(F.max("good").alias("good")).where("not good").select("doc_id")
-    return docs.join(broadcast_if_small(bad, 16), "doc_id", "left_anti").select(docs.columns)
+    """Reject rows that the quality classifier finds bad.
+
+    Each row is judged by its own text, source, language and doc_id (null ones included), whatever the others that
+    share its doc_id are; equal rows share a verdict.
+    """
+    def part(c: str):
+        return F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("-"))
+    key = F.md5(F.concat_ws("\0", part("source"), part("lang"), part("text")).cast("binary")).alias("__key")
+    judged = quality.classify(docs, table(spark, sf_dir, "labels"), keep=[key])
+    bad = judged.where("not good").select(F.col("doc_id").alias("__id"), F.col("__key").alias("__sum")).distinct()
+    bad = broadcast_if_small(bad, 64)
+    left = docs.withColumn("__key", key)
+    return left.join(bad, (F.col("__key") == F.col("__sum")) & F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti").select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
