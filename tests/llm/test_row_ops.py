@@ -376,3 +376,21 @@ def test_pipeline_keeps_distinct_texts_of_one_id(spark, tmp_path):
     seven = next(t for i, t in got if i is None and t in (text[7], text[7] + " end"))  # of null ids the digest decides
     want = [(3, text[0]), (5, text[1]), (2, text[2]), (7, text[3]), (8, text[4]), (8, text[5]), (9, text[8]), (None, text[6]), (None, seven), (None, None)]
     assert kept.columns == df.columns and sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_pipeline_judges_quality_row_by_row(spark, tmp_path):
+    """A bad row goes and a good one stays, whatever else shares their doc_id, or where they have none."""
+    import corpus_pipeline as p
+
+    rnd = random.Random(14)
+    good = lambda: " ".join(rnd.choice("alpha beta gamma delta words go on here".split()) for _ in range(60)) + "."
+    bad = lambda: " ".join(rnd.choice("ALPHA!! BETA!! GAMMA!! GO!!".split()) for _ in range(60))
+    rows = [(i, good() if i < 60 else bad(), "en", f"s{i % 3}", 0) for i in range(120)]
+    odd = [(7, bad(), "en", "s1", 1), (7, good(), "en", "s1", 2), (None, bad(), "en", "s1", 3), (None, good(), None, None, 4), (None, None, "en", "s1", 5)]
+    df = spark.createDataFrame(rows + odd + odd[:2], "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([(i, int(i < 60), 0) for i in range(0, 120, 2)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = p.quality_classifier(spark, df, str(tmp_path))
+    got = kept.collect()
+    assert kept.columns == df.columns
+    assert sorted(r["doc_id"] for r in got if r["n_chars"] == 0) == list(range(60))
+    assert collections.Counter(r["n_chars"] for r in got if r["n_chars"]) - collections.Counter({5: 1}) == collections.Counter({2: 2, 4: 1})
