@@ -29,6 +29,7 @@ TOLERANCE = 1e-6  #: posterior probability below which a candidate is dropped
 BLOCK, BLOCK_BYTES = 512, 4 << 20  #: texts, and bytes, of a block on average
 GROUP_BYTES = 4 << 20  #: bytes of a task's group of block pairs on average
 BUCKET_BLOCK = 4096  #: classes of a block of a band's bucket on average
+FIRST = 6  #: bands that are looked at first: they tie nine tenths of the pairs at the threshold
 
 
 @lru_cache(maxsize=8)
@@ -116,14 +117,30 @@ def tied(ids: np.ndarray, sig: np.ndarray, steps: tuple[tuple[int, int], ...]) -
 
 
 def candidate_parts(classes: DataFrame, threshold: float) -> DataFrame:
-    """``id, component`` of classes ``id, bands, sig`` that stay a candidate with another that shares a band."""
+    """``id, component`` of classes ``id, bands, sig`` that stay a candidate with another that shares a band.
+
+    The first bands tie most of what there is to tie; of the others only those buckets meet that still hold
+    several parts, so a signature does not travel to every bucket of a part that is known.
+    """
+    known = _met(classes.select("id", "sig", F.slice("bands", 1, FIRST).alias("bands"), F.col("id").alias("part")), threshold)
+    known = connected_components(known)
+    known = broadcast_if_small(known, 16)
+    rest = classes.select("id", "sig", F.expr(f"slice(bands, {FIRST + 1}, {BANDS})").alias("bands")).where(F.size("bands") > 0)
+    rest = rest.join(known, "id", "left").select("id", "sig", "bands", F.coalesce("component", "id").alias("part"))
+    both = _met(rest, threshold).unionByName(known.where("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b")))
+    return connected_components(both)
+
+
+def _met(classes: DataFrame, threshold: float) -> DataFrame:
+    """Stars ``a, b`` of the candidates among classes ``id, bands, sig, part`` in the buckets of several parts."""
     steps = least_matches(threshold, TOLERANCE, ROWS * BANDS, STEP)
-    bands = classes.select("id", F.explode("bands").alias("band"))
-    sizes = bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    bands = classes.select("id", "part", F.explode("bands").alias("band"))
+    sizes = bands.groupBy("band").agg(F.count("*").alias("n"), F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi")
     sizes = materialize(sizes.select("band", "n", F.ceil(F.col("n") / BUCKET_BLOCK).cast("int").alias("nb")))
     total = sizes.agg(F.sum(F.col("n") * F.col("nb"))).first()[0] or 0
     groups = max(1, -(-int(total) * (ROWS * BANDS + 32) // GROUP_BYTES))
-    met = classes.select("id", "sig", F.explode("bands").alias("band")).join(sizes, "band")
+    # ids alone meet the buckets; a signature travels only to those that there are
+    met = bands.select("id", "band").join(sizes, "band").join(classes.select("id", "sig"), "id")
     met = met.withColumn("block", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int")).withColumn("other", F.explode(F.expr("sequence(0, nb - 1)")))
     met = met.select("id", "sig", "band", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
     met = met.withColumn("g", F.pmod(F.xxhash64("band", "lo", "hi"), F.lit(groups)))
@@ -138,7 +155,7 @@ def candidate_parts(classes: DataFrame, threshold: float) -> DataFrame:
         u, v = S.star(u, v) if len(u) else (u, v)  # buckets of a group tie the same classes again
         return pa.table({"a": pa.array(u, pa.int64()), "b": pa.array(v, pa.int64())})
 
-    return connected_components(met.groupBy("g").applyInArrow(compare, "a long, b long"))
+    return met.groupBy("g").applyInArrow(compare, "a long, b long")
 
 
 class Texts:
