@@ -87,17 +87,17 @@ def fingerprints(docs: DataFrame, scale: int = SCALE, shingle: int = SHINGLE) ->
     in_edited, in_next`` and ``exact_`` forms of the last four.  The near columns are Jaccard similarities, the in
     columns containments, both of the retained hashes; the exact ones of all.  Texts that retain no hash are alike
     only if equal.  Null text counts as empty.  Rows of equal doc_id are kept, and as a next document they count by
-    their smallest text; a row of null doc_id is nobody's next and its own next is the first document (its own text
-    where no row has an id); the only document is its own next; an empty table gives none; other columns are ignored.
+    their smallest text; a row of null doc_id has no place in the order and is its own next, as the only document
+    is; an empty table gives none; other columns are ignored.
     """
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    known = base.where(F.col("doc_id").isNotNull())
-    order = next_ids(known)
-    order = order.unionByName(known.agg(F.max("doc_id").alias("next_id")).select(F.lit(None).cast("long").alias("doc_id"), "next_id"))
-    wanted = order.select(F.col("next_id").alias("doc_id"), F.col("doc_id").alias("for_id"))
+    # a long stays as it is: under a name of its own the plan would shuffle the texts once more
+    ident = F.col("doc_id") if dict(docs.dtypes)["doc_id"] == "bigint" else F.col("doc_id").cast("long").alias("doc_id")
+    base = docs.select(ident, text_of().alias("text"))
+    known, alone = base.where(F.col("doc_id").isNotNull()), base.where(F.col("doc_id").isNull())
+    wanted = next_ids(known).select(F.col("next_id").alias("doc_id"), F.col("doc_id").alias("for_id"))
     # the next text travels, not its hashes: they are more bytes, and no easier to make
     given = known.join(wanted, "doc_id").groupBy("for_id").agg(F.min("text").alias("nx"))
-    both = base.join(given, base["doc_id"].eqNullSafe(given["for_id"]), "left").withColumn("nx", F.coalesce("nx", "text"))
+    both = known.join(given, known["doc_id"] == given["for_id"]).drop("for_id").unionByName(alone.withColumn("nx", F.col("text")))
     n = F.char_length("text")
     both = both.withColumn("edited", F.concat(F.expr("left(text, char_length(text) - cast(floor(char_length(text) / 3) as int))"),
                                               F.expr("left(nx, cast(floor(char_length(text) / 3) as int))")))

@@ -260,7 +260,7 @@ def test_sketches_equal_brute_force(spark, scale):
         return 1.0 if same else len(a & b) / len(a) if a else 0.0
     for i, t in rows:
         t = t or ""
-        nx = least[ids[ids.index(i) - 1]] if i is not None else least[ids[-1]]
+        nx = least[ids[ids.index(i) - 1]] if i is not None else t
         edited = t[:len(t) - len(t) // 3] + nx[:len(t) // 3]
         h, eh, nh = map(shingle_set, (t, edited, nx))
         s, es, ns = (retained(x, scale) for x in (h, eh, nh))
