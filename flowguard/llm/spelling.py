@@ -159,16 +159,18 @@ def reached(x: np.ndarray, low: np.ndarray, high: np.ndarray, radius: int) -> tu
     return i[near_], j[near_]
 
 
-def one_edit(a: list[str], b: list[str], i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Which pairs (a[i], b[j]) differ by exactly one inserted, deleted or replaced letter.
+def grid(words: list[str]) -> np.ndarray:
+    """The letters of words of one length, a row per word."""
+    return letters(words)[0].reshape(len(words), -1)
 
-    All words of a have one length, all of b one that differs by at most one.
+
+def one_edit(x: np.ndarray, y: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which pairs of rows (x[i], y[j]) differ by exactly one inserted, deleted or replaced letter.
+
+    The words of x have one length, those of y one that differs by at most one.
     """
-    if not len(i):
-        return np.zeros(0, bool)
-    if len(a[0]) > len(b[0]):
-        return one_edit(b, a, j, i)
-    x, y = (letters(w)[0].reshape(len(w), -1) for w in (a, b))
+    if x.shape[1] > y.shape[1]:
+        return one_edit(y, x, j, i)
     n, out = x.shape[1], np.zeros(len(i), bool)
     step = max(1, (1 << 22) // n)
     for at in range(0, len(i), step):
@@ -203,14 +205,14 @@ def near(words: list[str], x: np.ndarray, others: list[str], y: np.ndarray) -> t
     z = y[row].astype(np.int16)
     i, box = reached(x, np.minimum.reduceat(z, cut), np.maximum.reduceat(z, cut), radius)
     size = np.diff(np.concatenate([cut, [len(row)]]))[box]
-    found = [(np.zeros(0, int),) * 2]
+    found, left, right = [(np.zeros(0, int),) * 2], grid(words), grid(others)
     for at in np.array_split(np.arange(len(i)), max(1, int(size.sum()) >> 18)):  # bounded pieces
         n = size[at]
         u = np.repeat(i[at], n)
         v = np.repeat(cut[box[at]], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         close = np.abs(x[u].astype(np.int16) - z[v]).sum(1, dtype=np.int32) <= radius
         u, v = u[close], row[v[close]]
-        good = one_edit(words, others, u, v)
+        good = one_edit(left, right, u, v)
         found.append((u[good], v[good]))
     return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 

@@ -78,7 +78,7 @@ def test_letter_vectors_never_add_distance():
         for v in (w[:at] + w[at + 1:], w[:at] + c + w[at:], w[:at] + c + w[at + 1:]):
             x = spelling.vectors([w, v]).astype(int)
             assert np.abs(x[0] - x[1]).sum() <= 2
-            assert spelling.one_edit([w], [v], np.array([0]), np.array([0]))[0] == (w != v and edits(w, v))
+            assert spelling.one_edit(spelling.grid([w]), spelling.grid([v]), np.array([0]), np.array([0]))[0] == (w != v and edits(w, v))
     assert (spelling.vectors(["a" * 900, "a" * 901]) <= 255).all()
 
 
