@@ -184,7 +184,10 @@ def ingest_stage_saved(spark, sf):
                             scratch_path(spark, "stage"))
 
 
-_DAY_NO = F.regexp_extract(DAY, r"(\d+)", 1).cast("int")
+def _day_no():
+    return F.regexp_extract(DAY, r"(\d+)", 1).cast("int")
+
+
 _DAY_SQL = """CAST(regexp_extract("Day", '(\\d+)', 1) AS INTEGER)"""
 
 
@@ -193,11 +196,11 @@ def write_malformed_csvs(spark, sf):
     those hold quotes, separators and line ends inside quoted values."""
     f = flows_raw(spark, sf).select("row_key", DAY, "Label", "`Flow Duration`")
     key = F.col("row_key")
-    odd = f.filter(_DAY_NO % 5 == 0).withColumn("Label", F.when(key % 2 == 0, F.concat("Label", F.lit(",EXTRA"))).otherwise(F.col("Label")))
+    odd = f.filter(_day_no() % 5 == 0).withColumn("Label", F.when(key % 2 == 0, F.concat("Label", F.lit(",EXTRA"))).otherwise(F.col("Label")))
     note = F.when(key % 11 == 0, 'two\nlines, "quoted"').when(key % 11 == 1, "a,b").otherwise("plain")
     bases = []
-    for name, part, options in (("odd", odd, {"quote": ""}), ("even", f.filter(_DAY_NO % 5 != 0).withColumn(
-            "Label", F.when(_DAY_NO % 5 == 1, note).otherwise(F.col("Label"))), {"escape": '"'})):
+    for name, part, options in (("odd", odd, {"quote": ""}), ("even", f.filter(_day_no() % 5 != 0).withColumn(
+            "Label", F.when(_day_no() % 5 == 1, note).otherwise(F.col("Label"))), {"escape": '"'})):
         base = scratch_path(spark, "flow-csv") + "/" + name
         (part.hint("rebalance", DAY).write.partitionBy(DAY).option("header", True).options(**options)
          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(base))
@@ -259,9 +262,9 @@ def ingest_types(spark, sf):
     f = flows_raw(spark, sf).select("row_key", DAY)
     key = F.col("row_key").cast("string")
     f = f.withColumns({
-        "Mixed": F.when(_DAY_NO % 3 == 0, key).when(_DAY_NO % 3 == 1, F.concat(key, F.lit(".5"))).otherwise(F.concat(F.lit("k"), key)),
-        "Number": F.when(_DAY_NO % 2 == 0, key).otherwise(F.concat(key, F.lit("e-1"))),
-        "Sometimes": F.when(_DAY_NO % 2 == 0, "NA").otherwise(key)})
+        "Mixed": F.when(_day_no() % 3 == 0, key).when(_day_no() % 3 == 1, F.concat(key, F.lit(".5"))).otherwise(F.concat(F.lit("k"), key)),
+        "Number": F.when(_day_no() % 2 == 0, key).otherwise(F.concat(key, F.lit("e-1"))),
+        "Sometimes": F.when(_day_no() % 2 == 0, "NA").otherwise(key)})
     base = scratch_path(spark, "flow-csv")
     f.hint("rebalance", DAY).write.partitionBy(DAY).option("header", True).csv(base)
     got = load_days(spark, [base])
