@@ -138,25 +138,37 @@ def median_cut(x: np.ndarray) -> tuple[int, int]:
     return best[1], best[2]
 
 
+def codes(x: np.ndarray) -> np.ndarray:
+    """Letter counts as 64 bits: for each letter whether it occurs, and whether twice or more.
+
+    The bits in which two codes differ are the L1 distance of the counts cut at two, which is at most that of
+    the counts; ``and`` and ``or`` of codes are the corners of their box.
+    """
+    return np.packbits(np.concatenate([x > 0, x > 1], 1), axis=1).view(np.uint64).ravel()
+
+
 def reached(x: np.ndarray, low: np.ndarray, high: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs (vector, box) whose L1 distance is at most the radius; boxes lie in a tree's order.
+    """Index pairs (vector, box) of codes whose L1 distance is at most the radius; boxes lie in a tree's order.
 
     Many boxes are first met as boxes around FAN neighbours, level by level.
     """
+    found = []
     if len(low) > 4 * FAN:
         cut = np.arange(0, len(low), FAN)
-        i, j = reached(x, np.minimum.reduceat(low, cut), np.maximum.reduceat(high, cut), radius)
-        i, j = np.repeat(i, FAN), (j[:, None] * FAN + np.arange(FAN)).ravel()
-        i, j = i[j < len(low)], j[j < len(low)]
+        i, j = reached(x, np.bitwise_and.reduceat(low, cut), np.bitwise_or.reduceat(high, cut), radius)
+        for at in range(0, len(i), 1 << 13):  # bounded pieces
+            u, v = i[at:at + (1 << 13), None], j[at:at + (1 << 13), None] * FAN + np.arange(FAN)
+            there = np.minimum(v, len(low) - 1)
+            near_ = (np.bitwise_count((low[there] & ~x[u]) | (x[u] & ~high[there])) <= radius) & (v < len(low))
+            k, box = np.nonzero(near_)
+            found.append((u[k, 0], v[k, box]))
     else:
-        i, j = np.repeat(np.arange(len(x)), len(low)), np.tile(np.arange(len(low)), len(x))
-    near_ = np.zeros(len(i), bool)
-    for at in range(0, len(i), 1 << 16):
-        part = slice(at, at + (1 << 16))
-        v = x[i[part]].astype(np.int16)
-        d = np.maximum(low[j[part]] - v, v - high[j[part]])
-        near_[part] = np.maximum(d, 0, out=d).sum(1, dtype=np.int32) <= radius
-    return i[near_], j[near_]
+        step = max(1, (1 << 16) // max(1, len(low)))
+        for at in range(0, len(x), step):
+            v = x[at:at + step, None]
+            k, box = np.nonzero(np.bitwise_count((low & ~v) | (v & ~high)) <= radius)
+            found.append((k + at, box))
+    return tuple(np.concatenate([np.zeros(0, int), *c]) for c in zip(*found)) if found else (np.zeros(0, int),) * 2
 
 
 def grid(words: list[str]) -> np.ndarray:
@@ -186,33 +198,44 @@ def one_edit(x: np.ndarray, y: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.n
     return out
 
 
-def near(words: list[str], x: np.ndarray, others: list[str], y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of words and others that are one edit apart; each side has one length."""
-    radius = 2 if len(words[0]) == len(others[0]) else 1
-    order, cuts = [], []
+class Boxes:
+    """Words of one length in the boxes of a k-d tree, BUCKET words a box."""
 
-    def split(rows: np.ndarray) -> None:  # a k-d tree's leaves, in order
-        d, c = median_cut(y[rows]) if len(rows) > BUCKET else (-1, 0)
-        if d < 0:
-            cuts.append(sum(map(len, order)))
-            order.append(rows)
-        else:
-            split(rows[y[rows, d] <= c])
-            split(rows[y[rows, d] > c])
-
-    split(np.arange(len(others)))
-    row, cut = np.concatenate(order), np.array(cuts)
-    z = y[row].astype(np.int16)
-    i, box = reached(x, np.minimum.reduceat(z, cut), np.maximum.reduceat(z, cut), radius)
-    size = np.diff(np.concatenate([cut, [len(row)]]))[box]
-    found, left, right = [(np.zeros(0, int),) * 2], grid(words), grid(others)
+    def __init__(self, words: list[str]):
+        y = vectors(words)
+        order, cuts = [], []
+
+        def split(rows: np.ndarray) -> None:  # a tree's leaves, in order
+            d, c = median_cut(y[rows]) if len(rows) > BUCKET else (-1, 0)
+            if d < 0:
+                cuts.append(sum(map(len, order[-1:])) + (cuts[-1] if cuts else 0))
+                order.append(rows)
+            else:
+                split(rows[y[rows, d] <= c])
+                split(rows[y[rows, d] > c])
+
+        split(np.arange(len(words)))
+        self.row, self.cut, self.letters = np.concatenate(order), np.array(cuts), grid(words)
+        self.codes = codes(y[self.row])
+        self.low, self.high = np.bitwise_and.reduceat(self.codes, self.cut), np.bitwise_or.reduceat(self.codes, self.cut)
+        self.size = np.diff(np.concatenate([self.cut, [len(words)]]))
+
+
+def near(words: list[str], boxes: Boxes) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of words, all of one length, and words of the boxes that are one edit apart."""
+    left = grid(words)
+    radius = 2 if left.shape[1] == boxes.letters.shape[1] else 1
+    x = codes(vectors(words))
+    i, box = reached(x, boxes.low, boxes.high, radius)
+    size = boxes.size[box]
+    found = [(np.zeros(0, int),) * 2]
     for at in np.array_split(np.arange(len(i)), max(1, int(size.sum()) >> 18)):  # bounded pieces
         n = size[at]
         u = np.repeat(i[at], n)
-        v = np.repeat(cut[box[at]], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        close = np.abs(x[u].astype(np.int16) - z[v]).sum(1, dtype=np.int32) <= radius
-        u, v = u[close], row[v[close]]
-        good = one_edit(left, right, u, v)
+        v = np.repeat(boxes.cut[box[at]] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        close = np.bitwise_count(x[u] ^ boxes.codes[v]) <= radius
+        u, v = u[close], boxes.row[v[close]]
+        good = one_edit(left, boxes.letters, u, v)
         found.append((u[good], v[good]))
     return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
@@ -241,9 +264,6 @@ def _leaves(words: list[str], x: np.ndarray, trees: dict[int, Tree]) -> np.ndarr
     return out
 
 
-_BOX = [f"{side}{k}" for side in ("lo", "hi") for k in range(DIMS)]
-
-
 def near_words(words: DataFrame) -> DataFrame:
     """For ``word, n`` of distinct words: ``word, n_near, best_n, best`` of those with a near word.
 
@@ -266,26 +286,25 @@ def near_words(words: DataFrame) -> DataFrame:
         for b in batches:
             if not b.num_rows:
                 continue
-            x = vectors(b.column(0).to_pylist())
+            x = codes(vectors(b.column(0).to_pylist()))
             key = b.column(1).to_numpy().astype(np.int64) << 32 | b.column(2).to_numpy()
             order = np.argsort(key, kind="stable")
             cut = np.flatnonzero(np.diff(key[order], prepend=-1))
             x, key = x[order], key[order][cut]
-            ends = np.concatenate([np.minimum.reduceat(x, cut), np.maximum.reduceat(x, cut)], 1).astype(np.int16)
+            ends = [f.reduceat(x, cut).view(np.int64) for f in (np.bitwise_and, np.bitwise_or)]
             n = np.diff(np.concatenate([cut, [len(order)]]))
-            yield pa.RecordBatch.from_arrays([pa.array((key >> 32).astype(np.int32)), pa.array(key.astype(np.int32)), pa.array(n),
-                                              *(pa.array(ends[:, k].copy()) for k in range(2 * DIMS))], ["len", "leaf", "n", *_BOX])
+            yield pa.RecordBatch.from_arrays([pa.array((key >> 32).astype(np.int32)), pa.array(key.astype(np.int32)), pa.array(n), *map(pa.array, ends)],
+                                             ["len", "leaf", "n", "low", "high"])
 
-    parts = homes.select("word", "len", "leaf").mapInArrow(box, "len int, leaf int, n long, " + ", ".join(f"{c} short" for c in _BOX))
-    boxes = materialize(parts.groupBy("len", "leaf").agg(F.sum("n").alias("n"), *(
-        (F.min if c[:2] == "lo" else F.max)(c).alias(c) for c in _BOX)))
+    parts = homes.select("word", "len", "leaf").mapInArrow(box, "len int, leaf int, n long, low long, high long")
+    boxes = materialize(parts.groupBy("len", "leaf").agg(F.sum("n").alias("n"), F.bit_and("low").alias("low"), F.bit_or("high").alias("high")))
     # leaves of trees are at most MAX_LEAVES; a length without a tree is one leaf, known by its length alone
     treed = boxes.where(F.col("leaf") > 0).select("len").distinct()
     table = boxes.join(treed, "len", "left_semi").toPandas()
     wide: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
     for n, rows in table.groupby("len"):
-        ends = rows[_BOX].to_numpy(np.int16)
-        wide[int(n)] = (rows["leaf"].to_numpy(np.int32), ends[:, :DIMS], ends[:, DIMS:])
+        rows = rows.sort_values("leaf")  # leaves are numbered in a tree's order
+        wide[int(n)] = (rows["leaf"].to_numpy(np.int32), *(rows[c].to_numpy(np.int64).view(np.uint64) for c in ("low", "high")))
     known = spark.sparkContext.broadcast(wide)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -293,7 +312,7 @@ def near_words(words: DataFrame) -> DataFrame:
             if not b.num_rows:
                 continue
             w = b.column(0).to_pylist()
-            x, size = vectors(w), b.column(2).to_numpy()
+            x, size = codes(vectors(w)), b.column(2).to_numpy()
             leaves, parts = b.column(3).to_numpy(), []
             for n in np.unique(size):
                 at = np.flatnonzero(size == n)
@@ -348,11 +367,11 @@ def near_words(words: DataFrame) -> DataFrame:
             if not len(i):
                 continue
             others = word[i].tolist()
-            y = vectors(others)
+            boxes = Boxes(others)
             for m in np.unique(size[asking]):
                 q = asking[size[asking] == m]
                 words = word[q].tolist()
-                u, v = near(words, vectors(words), others, y)
+                u, v = near(words, boxes)
                 nq, ni, once = n[q], n[i], home[q]
                 for a, c in zip(u.tolist(), v.tolist()):
                     if not once[a] or words[a] < others[c]:  # within its own leaf a pair is met from both ends

@@ -86,15 +86,31 @@ def test_box_search_loses_nothing():
     rng = np.random.default_rng(2)
     x = rng.integers(0, 4, (400, spelling.DIMS)).astype(np.uint8)
     x[:, 6:] = 0
-    low, high = x[:300].reshape(60, 5, -1).min(1).astype(np.int16), x[:300].reshape(60, 5, -1).max(1).astype(np.int16)
+    code, cut = spelling.codes(x), np.minimum(x.astype(int), 2)
+    assert (np.bitwise_count(code[:, None] ^ code) == np.abs(cut[:, None] - cut).sum(2)).all()
+    low, high = cut[:300].reshape(60, 5, -1).min(1), cut[:300].reshape(60, 5, -1).max(1)
     for radius in (1, 2):
-        d = np.maximum(np.maximum(low[None] - x[:, None].astype(int), x[:, None].astype(int) - high[None]), 0).sum(2)
-        i, j = spelling.reached(x, low, high, radius)
-        assert set(zip(i.tolist(), j.tolist())) == set(zip(*map(np.ndarray.tolist, np.nonzero(d <= radius))))
+        d = np.maximum(np.maximum(low[None] - cut[:, None], cut[:, None] - high[None]), 0).sum(2)
+        corners = (f.reduce(code[:300].reshape(60, 5), axis=1) for f in (np.bitwise_and, np.bitwise_or))
+        i, j = spelling.reached(code, *corners, radius)
+        assert len(i) == (d <= radius).sum() and set(zip(i.tolist(), j.tolist())) == set(zip(*map(np.ndarray.tolist, np.nonzero(d <= radius))))
     tree = spelling.Tree(x, 16)
     assert tree.leaves > 8 and set(tree.place(x)) == set(range(tree.leaves))
 
 
+def test_pairs_within_boxes_equal_brute_force():
+    rnd = random.Random(8)
+    stems = ["".join(rnd.choices("abcdeé", k=9)) for _ in range(30)]
+    words = sorted({s[:k] + rnd.choice("abcé") + s[k + 1:] for s in stems for k in range(9) for _ in range(3)})
+    shorter = sorted({w[:k] + w[k + 1:] for w in words[::5] for k in (0, 4, 8)})
+    boxes = spelling.Boxes(words)
+    assert len(boxes.cut) > 4 * spelling.FAN and (boxes.size <= spelling.BUCKET).all() and sorted(boxes.row) == list(range(len(words)))
+    for left in (words, shorter):
+        got = list(zip(*map(np.ndarray.tolist, spelling.near(left, boxes))))
+        assert len(got) == len(set(got)) > 100
+        assert set(got) == {(i, j) for i, a in enumerate(left) for j, b in enumerate(words) if edits(a, b)}
+
+
 def test_long_texts_go_in_slices(monkeypatch):
     monkeypatch.setattr(spelling, "SLICE", 10)
     text = "abc Défghij, klmnopqrstuvwxyzabcdefgh x 12 yz" * 3
