@@ -16,6 +16,7 @@ from flowguard.operators import clean, encode, sampling
 from flowguard.plans import flows as P
 from flowguard.plans.flows import Workflow
 from flowguard.plans import oracle as O
+from flowguard.session import small_table
 from flowguard.plans.fixtures import (
     DAY, FLOW_FEATURES, KEY, LABEL, RAW_LABELS_STRIPPED, SEED, flows_raw,
 )
@@ -207,7 +208,8 @@ FROM (SELECT s.split, CAST(lower(m.label) <> 'benign' AS INTEGER) AS label_binar
       FROM split s JOIN mapping m USING (label_id) GROUP BY 1, 2)"""))
 def split_binary_counts(spark, sf):
     w = Workflow(spark, sf)
-    b = encode.binary_label(w.split.join(F.broadcast(w.mapping), "label_id"), "label")
+    classes, _ = small_table(w.mapping)
+    b = encode.binary_label(w.split.join(classes, "label_id"), "label")
     g = b.groupBy("split", "label_binary").agg(F.count(F.lit(1)).alias("count"))
     from pyspark.sql import Window
     return rounded(g.withColumn("pct", F.col("count") * 100.0 / F.sum("count").over(Window.partitionBy("split"))))

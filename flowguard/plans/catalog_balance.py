@@ -13,6 +13,7 @@ from flowguard.plans.catalog import register, rounded
 from flowguard.plans.catalog_ingest import EVEN_DAY, latin1_files, load_faulty
 from flowguard.plans.fixtures import KEY, SEED
 from flowguard.plans.flows import Workflow
+from flowguard.session import small_table
 
 qi, rnd = O.qi, O.rnd
 
@@ -109,8 +110,8 @@ def rule_predictions(w: Workflow) -> DataFrame:
     t = w.test_filled
     name = (F.when(F.col("`Flow Bytes/s`") > 5000, "Dos Hulk")
             .when(F.col("`Destination Port`") % 10 == 0, "Ftp Patator").otherwise("Benign"))
-    m = w.mapping.select(F.col("label").alias("_pl"), F.col("label_id").alias("prediction"))
-    return t.withColumn("_pl", name).join(F.broadcast(m), "_pl", "left").drop("_pl")
+    m, _ = small_table(w.mapping.select(F.col("label").alias("_pl"), F.col("label_id").alias("prediction")))
+    return t.withColumn("_pl", name).join(m, "_pl", "left").drop("_pl")
 
 
 def majority_predictions(w: Workflow) -> DataFrame:

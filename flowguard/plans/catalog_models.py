@@ -15,7 +15,7 @@ from flowguard.plans import oracle as O
 from flowguard.plans.catalog import register, rounded
 from flowguard.plans.fixtures import KEY, SEED
 from flowguard.plans.flows import Workflow
-from flowguard.session import scratch_path
+from flowguard.session import scratch_path, small_table
 from flowguard.sources.contract import contract_of, contract_violations, load_contract, save_contract
 from flowguard.sources.csv_flows import path_exists
 from flowguard.sources.stage import read_stage
@@ -48,8 +48,8 @@ def _tree_report(w, model, feats, te) -> DataFrame:
 
 def _weighted_report(w: Workflow):
     feats, _, tr, te = _scaled(w)
-    cw = imbalance.class_weights(w.train, w.mapping).select("label_id", "weight")
-    demo = _demo(tr).join(F.broadcast(cw), "label_id")
+    cw, _ = small_table(imbalance.class_weights(w.train, w.mapping).select("label_id", "weight"))
+    demo = _demo(tr).join(cw, "label_id")
     m = models.fit_tree(demo, feats, "label_id", KEY, weight="weight", seed=SEED)
     return _tree_report(w, m, feats, te)
 
@@ -265,8 +265,8 @@ def score_batch(spark, sf):
         raise ValueError(f"{bad} contract violations")
     te = preprocess.apply_preprocess(w.test_filled, a.params, keep=[KEY, "label_id"])
     pred = models.predict(a.model, te, a.features, keep=[KEY, "label_id"])
-    m = a.mapping.select(F.col("label_id").alias("prediction"), F.col("label").alias("predicted_class"))
-    return pred.join(F.broadcast(m), "prediction", "left")
+    m, _ = small_table(a.mapping.select(F.col("label_id").alias("prediction"), F.col("label").alias("predicted_class")))
+    return pred.join(m, "prediction", "left")
 
 
 @register("score_batch_checks", O.with_(O.SPLIT, """

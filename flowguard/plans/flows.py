@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from flowguard.operators import clean, encode, profile, sampling
 from flowguard.plans.fixtures import DAY, KEY, LABEL, SEED, flows_raw
-from flowguard.session import bounded_rows, materialize
+from flowguard.session import bounded_rows, materialize, small_table
 
 
 def normalized(spark: SparkSession, sf: str) -> DataFrame:
@@ -163,8 +163,8 @@ class Workflow:
         return [f for f in self.after_zv if f not in gone]
 
     def with_binary(self, df: DataFrame) -> DataFrame:
-        m = self.mapping.select("label_id", (F.lower("label") != "benign").cast("int").alias("label_binary"))
-        return df.join(F.broadcast(m), "label_id")
+        m, _ = small_table(self.mapping.select("label_id", (F.lower("label") != "benign").cast("int").alias("label_binary")))
+        return df.join(m, "label_id")
 
     @property
     def importance(self) -> DataFrame:

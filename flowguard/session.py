@@ -11,11 +11,13 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StringType, StructType
 
-# Largest number of rows a derived "small" table may have to be broadcast.
+# Largest number of rows and of bytes that a derived "small" table may have to be broadcast.
 BROADCAST_MAX_ROWS = 200_000
+BROADCAST_MAX_BYTES = 32 << 20
 # Largest number of classes that a label may have; tables of one row per class are broadcast.
 MAX_CLASSES = 10_000
 
@@ -86,14 +88,31 @@ def bounded_rows(df: DataFrame, limit: int = MAX_CLASSES, what: str = "classes")
     return rows
 
 
-def small_table(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, int]:
+def value_bytes(value: Column, kind: DataType) -> Column:
+    """Bytes of a value of the given type: eight and what it holds (null: eight)."""
+    if isinstance(kind, (StringType, BinaryType)):
+        held = F.octet_length(value)
+    elif isinstance(kind, ArrayType):
+        held = F.aggregate(value, F.lit(0).cast("bigint"), lambda so_far, x: so_far + value_bytes(x, kind.elementType))
+    elif isinstance(kind, MapType):
+        held = value_bytes(F.map_keys(value), ArrayType(kind.keyType)) + value_bytes(F.map_values(value), ArrayType(kind.valueType))
+    elif isinstance(kind, StructType):
+        held = sum((value_bytes(value.getField(f.name), f.dataType) for f in kind.fields), F.lit(0))
+    else:
+        return F.lit(8).cast("bigint")
+    return F.coalesce(held.cast("bigint"), F.lit(0)) + 8
+
+
+def small_table(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> tuple[DataFrame, int]:
     """Checkpoint a derived table and broadcast it only if its size is proven small.
 
-    Returns ``(table, rows)``; above ``max_rows`` the table is returned without a
-    broadcast hint so the planner uses a shuffle join instead.
+    Returns ``(table, rows)``; above ``max_rows`` rows or ``max_bytes`` bytes (of all its
+    values, as they are) the table is returned without a broadcast hint so the planner
+    uses a shuffle join instead.
     """
     # a reliable checkpoint: survives executor loss and gives later plans a
     # shallow lineage (fast planning, fast cache matching)
     df = materialize(df)
-    n = df.count()
-    return (F.broadcast(df) if n <= max_rows else df), n
+    size = sum((value_bytes(F.col("`" + f.name.replace("`", "``") + "`"), f.dataType) for f in df.schema.fields), F.lit(0))
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("size")).first()
+    return (F.broadcast(df) if r["n"] <= max_rows and r["size"] <= max_bytes else df), r["n"]

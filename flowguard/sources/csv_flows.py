@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowguard.operators.clean import q
-from flowguard.session import BROADCAST_MAX_ROWS, bounded_rows, materialize
+from flowguard.session import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, bounded_rows, materialize
 
 UTF8, LATIN1 = "utf-8", "latin-1"
 _SPARK_CHARSET = {UTF8: "UTF-8", LATIN1: "ISO-8859-1"}
@@ -147,7 +147,7 @@ def read_texts(spark: SparkSession, paths: Sequence[str], names: Sequence[str],
     if len(values) == 1:
         return df.select(*cols, F.lit(values.pop()).alias(tag), PATH)
     files = spark.createDataFrame(list(tags.items()), "_name string, _tag string")
-    if len(tags) <= BROADCAST_MAX_ROWS:
+    if len(tags) <= BROADCAST_MAX_ROWS and sum(len(f) + len(t) for f, t in tags.items()) <= BROADCAST_MAX_BYTES // 2:
         files = F.broadcast(files)
     return df.join(files, F.col(PATH) == F.col("_name")).select(*cols, F.col("_tag").alias(tag), PATH)
 

@@ -1,7 +1,7 @@
 """Streaming operators.
 
-Both are stateless per row (projections and a stream-static broadcast join),
-so they need no watermark; results go to a Parquet sink with its checkpoint in
+Both are stateless per row (projections and a stream-static join, broadcast where
+the mapping's size is proven), so they need no watermark; results go to a Parquet sink with its checkpoint in
 the shared checkpoint folder, and ``trigger(availableNow=True)`` processes
 everything present and stops (exactly-once through the sink's commit log).
 """
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from flowguard.functions.labels import strip_ws
 from flowguard.operators import clean, models, preprocess
-from flowguard.session import scratch_path
+from flowguard.session import scratch_path, small_table
 from flowguard.sources.contract import check_schema
 
 EVENTS_SCHEMA = ("event_id bigint, ts timestamp, user_id bigint, event_type string, "
@@ -44,7 +44,7 @@ def run_to_parquet(df: DataFrame, name: str) -> str:
 
 def flag_unknown(flows: DataFrame, mapping: DataFrame, label: str = "Label") -> DataFrame:
     """Rows whose (stripped) label is not in the class mapping (stream-static anti join)."""
-    m = F.broadcast(mapping.select(F.col("label").alias("_known")))
+    m, _ = small_table(mapping.select(F.col("label").alias("_known")))
     s = flows.withColumn(label, strip_ws(F.col(label)))
     return s.join(m, s[label] == m["_known"], "left_anti")
 
@@ -63,7 +63,7 @@ def score(flows: DataFrame, medians: dict, params: DataFrame, model, features: l
                    if c in medians else F.col(clean.q(c)) for c in v.columns])
     x = preprocess.apply_preprocess(v, params, keep=keep)
     pred = models.predict(model, x, features, keep=keep)
-    m = F.broadcast(mapping.select(F.col("label_id").alias("prediction"),
-                                   F.col("label").alias("predicted_class")))
+    m, _ = small_table(mapping.select(F.col("label_id").alias("prediction"),
+                                      F.col("label").alias("predicted_class")))
     return (pred.join(m, "prediction", "left")
             .withColumn("alert", (F.lower("predicted_class") != benign.lower()).cast("int")))

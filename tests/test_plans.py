@@ -43,3 +43,40 @@ def test_small_table_broadcast_is_size_checked(spark):
     assert n == m == 5
     assert "broadcast" in small._jdf.queryExecution().logical().toString().lower()
     assert "broadcast" not in big._jdf.queryExecution().logical().toString().lower()
+
+
+def _hinted(df):
+    return "broadcast" in df._jdf.queryExecution().logical().toString().lower()
+
+
+def test_small_table_counts_bytes_of_what_values_hold(spark):
+    """Few rows of long texts, long arrays or nested values are no small table."""
+    from flowguard.session import small_table
+    rows = [(k, "x" * 1000, [k] * 100, {"k" * 50: ["v" * 50]}, (k, "y" * 300), None) for k in range(10)]
+    df = spark.createDataFrame(rows, "`a.b` int, s string, xs array<long>, m map<string,array<string>>, t struct<i:int,w:string>, z string")
+    for part, least in (("`a.b`", 80), ("s", 10000), ("xs", 8000), ("m", 1000), ("t", 3000), ("z", 80)):
+        small, n = small_table(df.select(part), max_bytes=2 * least)
+        assert n == 10 and _hinted(small), part
+        assert not _hinted(small_table(df.select(part), max_bytes=least - 1)[0]), part
+    assert _hinted(small_table(df.limit(0))[0])
+
+
+def test_class_tables_of_callers_are_size_checked(spark, monkeypatch):
+    """A mapping that a caller gives is broadcast only where its size allows; results are the same without."""
+    from flowguard import session
+    from flowguard.operators import evaluate, imbalance
+    from flowguard.streaming import score
+    mapping = spark.createDataFrame([(0, "Benign"), (1, "Bot"), (2, "Ddos")], "label_id int, label string")
+    pred = spark.createDataFrame([(0, 0), (0, 1), (1, 1), (2, 0)], "label_id int, prediction int")
+    seen = spark.createDataFrame([("Benign",), (" Bot ",), ("Worm",)], "Label string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        def run():
+            out = [evaluate.classification_report(pred, mapping), imbalance.class_weights(pred, mapping), score.flag_unknown(seen, mapping)]
+            return [_hinted(d) for d in out], [sorted(map(tuple, d.collect()), key=repr) for d in out]
+        hinted, small = run()
+        monkeypatch.setattr(session.small_table, "__defaults__", (1, 1 << 20))
+        plain, large = run()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert all(hinted) and not any(plain) and small == large and small[2] == [("Worm",)]
