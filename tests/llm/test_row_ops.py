@@ -96,6 +96,18 @@ def test_chat(spark, budget, history):
     assert chat.format_windows(df.limit(0)).count() == 0
 
 
+def test_chat_ignores_other_columns(spark):
+    rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "a </turn>\n b"), (2, 0, "assistant", None), (None, None, None, "x")]
+    plain = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    names = list(dict.fromkeys([*chat.format_windows(plain).columns, "n_turns", "words", "n", "start", "escaped", "formatted_chars"]))
+    other = plain.selectExpr("*", *(f"'clash' AS `{c}`" for c in names if c not in plain.columns))
+    out = []
+    for df in (plain, other):
+        windows = chat.format_windows(df, 12, 4)
+        out.append((sorted(map(repr, windows.collect())), sorted(map(repr, chat.conversation_digests(chat.read_windows(windows)).collect()))))
+    assert out[0] == out[1] and len(out[0][1]) == 3
+
+
 @pytest.mark.parametrize("budget, history", [(60, 20), (25, 9)])
 def test_chat_windows_of_a_long_conversation(spark, budget, history):
     """Windows are those of the greedy rule, and no step of the plan collects a conversation."""
@@ -331,6 +343,32 @@ def test_near_vector_recall_at_20000(spark):
     assert len(got) >= 0.9 * 20000
 
 
+def test_near_vector_query_equals_its_sql_where_there_are_links(spark, tmp_path):
+    """The query and its SQL on a table with copies, near copies, chains whose ends do not link, and odd rows."""
+    import duckdb
+
+    from flowguard.llm import catalog
+    rng = np.random.default_rng(21)
+    base = rng.normal(size=(150, 24))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    away = rng.normal(size=base.shape)
+    away -= (away * base).sum(1, keepdims=True) * base
+    away /= np.linalg.norm(away, axis=1, keepdims=True)
+    rows = []
+    for i in range(150):
+        turns = [0] if i % 3 else [0, 0, 0.05, 0.21, 0.42]  # cosines of a chain's neighbours 0.978, of its ends 0.913
+        rows += [(np.cos(t) * base[i] + np.sin(t) * away[i]).astype(np.float32).tolist() for t in turns]
+    rows += [None, [], [0.0] * 24, [float("nan")] * 24, [float("inf")] * 24, [1.0, 2.0], [2.0, 4.0]]
+    order = rng.permutation(len(rows))
+    df = spark.createDataFrame([(int(k), rows[j], 0) for k, j in enumerate(order)], "vec_id long, embedding array<float>, label int")
+    df.write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = {tuple(r) for r in catalog.queries()["op8_embedding_neardup"](spark, str(tmp_path)).select("vec_id", "n_links", "component_id", "kept").collect()}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    want = set(con.sql(f"SELECT vec_id, n_links, component_id, kept FROM ({catalog.oracle_sql()['op8_embedding_neardup']})").fetchall())
+    assert got == want and sum(r[1] for r in want) > 500 and len({r[2] for r in want}) < len(rows) - 190
+
+
 def test_probes_reach_pairs_at_4096_lists():
     """Pairs outside the sample that the index was fitted on, with as many lists as there can be."""
     rng = np.random.default_rng(12)

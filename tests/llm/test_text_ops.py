@@ -370,6 +370,25 @@ def test_scoring(spark):
     assert scoring.score(spark.createDataFrame(rows[:1], "doc_id long, text string").limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("chunk, block", [(2 << 20, 24 << 20), (300, 2000)])
+def test_scoring_long_texts_and_other_columns(spark, monkeypatch, chunk, block):
+    """Texts longer than a chunk, more blocks than one, and columns that share the operator's names change no score."""
+    monkeypatch.setattr(scoring, "CHUNK", chunk)
+    monkeypatch.setattr(scoring, "BLOCK_BYTES", block)
+    rnd = random.Random(4)
+    words = ["".join(rnd.choices("abcé", k=rnd.randrange(1, 7))) for _ in range(40)]
+    rows = [(i, " ".join(rnd.choices(words, k=n))) for i, n in enumerate([3, 900, 0, 20, 5, 1200, 7, 60, 2, 300, 11, 1])]
+    plain = spark.createDataFrame(rows, "doc_id long, text string")
+    other = plain.selectExpr("*", "1 AS block", "'x' AS raw", "2 AS held_out", "'k' AS kind", "'b' AS bucket", "3.5 AS score", "'f' AS file", "7 AS row")
+    got = [sorted(map(tuple, scoring.score(df).collect())) for df in (plain, other)]
+    assert [r[:5] for r in got[0]] == [r[:5] for r in got[1]]
+    assert np.allclose([r[5:] for r in got[0]], [r[5:] for r in got[1]], rtol=1e-6)
+    raw = [t.encode() for _, t in rows]
+    train = [x for (i, _), x in zip(rows, raw) if zlib.crc32(str(i).encode()) % 7 != 2]
+    want = _frozen_tree(train, raw, scoring.DEPTH)
+    assert np.allclose([r[6] for r in got[0]], want, rtol=1e-5, atol=1e-3)
+
+
 def test_word_hashes_do_not_depend_on_place():
     a, b = shingles.Words([b"one two", b"", b" three  one\ttwo "]), shingles.Words([b"two one three"])
     assert a.hash[[0, 1, 2]].tolist() == b.hash[[1, 0, 2]].tolist() and a.hash[[3, 4]].tolist() == a.hash[[0, 1]].tolist()
