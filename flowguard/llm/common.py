@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -40,7 +39,6 @@ def ship_package(spark: SparkSession) -> None:
         with zipfile.ZipFile(f, "w") as z:
             for p in sorted(root.rglob("*.py")):
                 z.write(p, str(p.relative_to(root.parent)))
-    atexit.register(Path(f.name).unlink, missing_ok=True)  # executors that join later fetch it from the driver
     spark.sparkContext.addPyFile(f.name)
     _SHIPPED.add(spark.sparkContext.applicationId)
 
