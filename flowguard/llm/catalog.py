@@ -90,12 +90,13 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Judge every page's url; the method learns from the pages whose id has labels: bad are quality 0 and toxic."""
+    """Judge every page's url; the method learns from the pages whose id has labels,
+    from all frequent tokens of their urls: bad are quality 0 and toxic."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     bad = F.expr("quality = 0 or coalesce(toxic, 0) = 1")
     labelled = pages.join(table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), bad.alias("bad")), "page_id").select("url", "bad")
     rules = spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(h).alias("host"), F.lit(p).alias("path"), F.lit(b).alias("block")) for h, p, b in URL_RULES])))
-    return urlrules.judge(pages, rules, labelled)
+    return urlrules.judge(pages, rules, labelled, items=None)
 
 
 _QUERIES = (op1_sentencepiece, op2_warc, op3_ctw_scoring, op4_chat_windows, op5_language_id, op6_mix_budget, op7_fingerprints,

@@ -253,6 +253,38 @@ def test_mined_rules_equal_enumeration(spark):
     assert {(r["rule"], r["verdict"], r["because"]) for r in none.collect()} == {(None, "allow", None)}
 
 
+def test_all_frequent_tokens_are_mined(spark):
+    """The query's mining leaves out no frequent token: rules lie beyond the eight that say most, and tokens of the same rows keep all of theirs."""
+    rnd, rows = random.Random(4), []
+    for k in range(300):
+        bad = rnd.random() < 0.5
+        strong = "&".join(f"s{i}=1" for i in range(8) if rnd.random() < (0.72 if bad else 0.28))
+        pair = [rnd.random() < 0.5 for _ in range(2)]
+        bad = bad if pair[0] == pair[1] else pair[0]  # two weak tokens that decide only together
+        rows.append(("http://h.org/" + "/".join(["twin/same"] * (k % 3 == 0) + ["one"] * pair[0] + ["two"] * pair[1]) + "?" + strong, bad))
+    df = spark.createDataFrame(rows, "url string, bad boolean")
+    text = [(r["t"], r["bad"]) for r in df.select("bad", urlrules.url_tokens(*urlrules.url_parts(df["url"])).alias("t")).collect()]
+    want = rules_by_force(text, 0.15, 0.6, 1.05, 10, 99)
+    assert set(want) != set(rules_by_force(text, 0.15, 0.6, 1.05, 10, 8))
+    rules = urlrules.mine_rules(df, support=0.15, items=None)
+    got = {(tuple(r["tokens"]), r["block"]): r["confidence"] for r in rules.collect()}
+    assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-12 for k in got)
+    n = Counter(t for ts, _ in text for t in ts)
+    assert all(r["post"] == min(r["tokens"], key=lambda t: (n[t], t)) for r in rules.collect())
+    assert {"path:twin", "path:same"} & {t for c, _ in want for t in c} in (set(), {"path:twin", "path:same"})
+
+
+def test_op13_mines_all_tokens(spark, monkeypatch, tmp_path):
+    """The query asks for all tokens."""
+    from flowguard.llm import catalog
+
+    spark.createDataFrame([(k, f"http://h{k % 3}.org/p") for k in range(9)], "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame([(k, k % 2, 0) for k in range(9)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    asked, mine = [], urlrules.mine_rules
+    monkeypatch.setattr(urlrules, "mine_rules", lambda labelled, **mining: asked.append(mining) or mine(labelled, **mining))
+    assert catalog.op13_url_rules(spark, str(tmp_path)).count() == 9 and asked == [{"items": None}]
+
+
 def test_url_filter_is_native(spark, monkeypatch):
     df = spark.createDataFrame([(k, f"http://h{k % 3}.org/p", k % 3 == 0) for k in range(60)], "page_id long, url string, bad boolean")
     df.write.mode("overwrite").parquet(path := spark.sparkContext.getCheckpointDir() + "/native-urls")
