@@ -79,3 +79,10 @@ def test_class_tables_are_bounded(spark):
     assert len(bounded_rows(spark.range(3), 3)) == 3
     with pytest.raises(ValueError, match="more than 2"):
         bounded_rows(spark.range(3), 2)
+
+
+def test_draws_are_joined_without_broadcast(spark):
+    df = spark.range(400).selectExpr("id", "CASE WHEN id < 5 THEN 0 ELSE 1 END AS y")
+    plan = sampling.oversample(df, "y", key=["id"])._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join [" in line and "_rn#" in line]
+    assert joins and all("SortMergeJoin" in j for j in joins), plan
