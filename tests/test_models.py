@@ -107,3 +107,7 @@ def test_reports_equal_sql_over_saved_predictions(spark, tmpdir_path):
         r = got[name]
         assert r["support"] == support
         assert all(a == b or abs(a - b) < 1e-9 for a, b in zip((r["precision"], r["recall"], r["f1"]), values)), name
+
+
+def test_partitions_stay_few_while_rows_grow():
+    assert [models.fit_layout(n).partitions for n in (20_000, 200_000, 1_400_000, 8_400_000)] == [1, 8, 12, 12]
