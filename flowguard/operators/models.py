@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -28,6 +29,7 @@ FIT_CHUNK = 1_000_000  #: training rows of a partition on average: trees depend
 #: Smaller tables have partitions of this many rows, but no more than so many of them: every partition makes and sends
 #: the histograms of all nodes, and nodes grow with the rows too.
 FIT_CHUNK_SMALL, FIT_PARTITIONS = 25_000, 12
+FOREST_NODES = 1_000_000  #: nodes of the trees that MLlib grows at a time, all held by the driver, about
 
 
 @dataclass(frozen=True)
@@ -43,6 +45,13 @@ def fit_layout(rows: int, seed: int = 42) -> FitLayout:
     return FitLayout(rows, max(1, parts), seed)
 
 
+def tree_groups(rows: int, trees: int, max_depth: int) -> list[int]:
+    """Trees to grow at a time: a tree has about as many nodes as rows, and no more than its depth allows."""
+    nodes = max(1, min(rows, 2 ** (max_depth + 1)))
+    size = min(trees, max(1, FOREST_NODES // nodes))
+    return [min(size, trees - i) for i in range(0, trees, size)]
+
+
 def _assembled(df: DataFrame, cols: Sequence[str], label: str, key: str | None,
                weight: str | None, seed: int) -> tuple[DataFrame, FitLayout]:
     sel = [F.col(q(c)).cast("double").alias(f"_x{i}") for i, c in enumerate(cols)]
@@ -76,12 +85,15 @@ def fit_tree(df: DataFrame, cols: Sequence[str], label: str = "label_id", key: s
     return _fit(dt, df, cols, label, key, weight, seed)
 
 
+def _forest(trees: int, max_depth: int, seed: int) -> RandomForestClassifier:
+    return RandomForestClassifier(featuresCol="_v", labelCol="_y", seed=seed, numTrees=trees,
+                                  maxDepth=max_depth, maxBins=64, maxMemoryInMB=1024,
+                                  cacheNodeIds=True)
+
+
 def fit_forest(df: DataFrame, cols: Sequence[str], label: str = "label_id", key: str | None = None,
                trees: int = 50, max_depth: int = MAX_DEPTH, seed: int = 42, weight: str | None = None):
-    rf = RandomForestClassifier(featuresCol="_v", labelCol="_y", seed=seed, numTrees=trees,
-                                maxDepth=max_depth, maxBins=64, maxMemoryInMB=1024,
-                                cacheNodeIds=True)
-    return _fit(rf, df, cols, label, key, weight, seed)
+    return _fit(_forest(trees, max_depth, seed), df, cols, label, key, weight, seed)
 
 
 def predict(model, df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (),
@@ -93,9 +105,32 @@ def predict(model, df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (),
     return pred.select(*[F.col(q(k)) for k in keep], F.col("_pred").cast("int").alias(out))
 
 
+def forest_importances(df: DataFrame, cols: Sequence[str], label: str = "label_id", key: str | None = None, trees: int = 50,
+                       max_depth: int = MAX_DEPTH, seed: int = 42, weight: str | None = None) -> np.ndarray:
+    """Importances of a forest whose trees are grown in groups and let go, so the driver never holds all their nodes.
+
+    One group is ``fit_forest``; more groups have seeds of their own and draw rows and features as MLlib's trees do.
+    """
+    data, layout = _assembled(df, cols, label, key, weight, seed)
+    total = np.zeros(len(cols))
+    try:
+        for i, n in enumerate(groups := tree_groups(layout.rows, trees, max_depth)):
+            learner = _forest(n, max_depth, seed + i)
+            if len(groups) > 1:
+                learner = learner.setFeatureSubsetStrategy("sqrt")  # MLlib's rule for forests, here for a group of one tree too
+            model = (learner.setWeightCol("_w") if weight else learner).fit(data)
+            if len(groups) == 1:
+                return model.featureImportances.toArray()
+            total += model.featureImportances.toArray() * sum(t.numNodes > 1 for t in model.trees)  # trees without a split say nothing
+            del model
+    finally:
+        data.unpersist()
+    return total / total.sum() if total.sum() else total
+
+
 def importances(model, cols: Sequence[str], spark, scope: str | None = None) -> DataFrame:
-    """(scope_class, feature, importance, rank) — the vector is one value per feature."""
-    imp = model.featureImportances.toArray()
+    """(scope_class, feature, importance, rank) — the vector is one value per feature.  ``model``: a fitted one, or its importances."""
+    imp = model if isinstance(model, np.ndarray) else model.featureImportances.toArray()
     rows = [(scope, c, float(imp[i])) for i, c in enumerate(cols)]
     df = spark.createDataFrame(rows, "scope_class string, feature string, importance double")
     from pyspark.sql import Window
@@ -105,8 +140,8 @@ def importances(model, cols: Sequence[str], spark, scope: str | None = None) ->
 
 def rf_importance(df: DataFrame, cols: Sequence[str], label: str = "label_id", key: str | None = None,
                   trees: int = 50, max_depth: int = MAX_DEPTH, top: int = 20, seed: int = 42, weight: str | None = None) -> DataFrame:
-    m = fit_forest(df, cols, label, key, trees, max_depth, seed, weight)
-    return importances(m, cols, df.sparkSession).filter(F.col("rank") <= top)
+    imp = forest_importances(df, cols, label, key, trees, max_depth, seed, weight)
+    return importances(imp, cols, df.sparkSession).filter(F.col("rank") <= top)
 
 
 def rf_per_class(df: DataFrame, cols: Sequence[str], mapping: DataFrame, label: str = "label_id",

@@ -111,3 +111,20 @@ def test_reports_equal_sql_over_saved_predictions(spark, tmpdir_path):
 
 def test_partitions_stay_few_while_rows_grow():
     assert [models.fit_layout(n).partitions for n in (20_000, 200_000, 1_400_000, 8_400_000)] == [1, 8, 12, 12]
+
+
+def test_forest_in_groups_of_trees(spark, monkeypatch):
+    """Groups bounded by nodes; one group is the forest itself, several give importances that agree with it."""
+    assert models.tree_groups(16_000, 50, 30) == [50] and models.tree_groups(10 ** 7, 3, 30) == [1, 1, 1]
+    assert models.tree_groups(10 ** 7, 50, 8) == [50] and sum(models.tree_groups(300_000, 50, 30)) == 50
+    df = spark.createDataFrame([(int(i), *map(float, r[:4]), int(r[1] + 0.3 * r[3] > 0)) for i, r in
+                                enumerate(np.random.default_rng(3).normal(size=(2000, 4)))], "key bigint, a double, b double, c double, d double, y int")
+    cols = list("abcd")
+    whole = models.fit_forest(df, cols, "y", "key", trees=12, max_depth=6).featureImportances.toArray()
+    assert models.forest_importances(df, cols, "y", "key", trees=12, max_depth=6).tolist() == whole.tolist()
+    monkeypatch.setattr(models, "FOREST_NODES", 500)
+    fitted, fit = [], models.RandomForestClassifier.fit
+    monkeypatch.setattr(models.RandomForestClassifier, "fit", lambda self, d: fitted.append(self.getNumTrees()) or fit(self, d))
+    parts = models.forest_importances(df, cols, "y", "key", trees=12, max_depth=6)
+    assert fitted == [3, 3, 3, 3] and abs(parts.sum() - 1) < 1e-9
+    assert np.abs(parts - whole).max() < 0.1 and parts.argmax() == whole.argmax() == 1
