@@ -26,9 +26,9 @@ from flowguard.llm.common import arrow_rows, bounded_batches, text_of
 
 SPACE = "▁"
 #: Encoded chunks that a worker keeps in each of two generations (about 260 bytes each).
-CACHE = 80_000
+CACHE = 250_000
 #: Pairs of pieces whose check a worker remembers (about 200 bytes each).
-PAIRS = 200_000
+PAIRS = 500_000
 #: Longer chunks are encoded each time they come.
 CACHE_CHARS = 40
 

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -393,3 +394,14 @@ def test_word_hashes_do_not_depend_on_place():
     a, b = shingles.Words([b"one two", b"", b" three  one\ttwo "]), shingles.Words([b"two one three"])
     assert a.hash[[0, 1, 2]].tolist() == b.hash[[1, 0, 2]].tolist() and a.hash[[3, 4]].tolist() == a.hash[[0, 1]].tolist()
     assert a.first.tolist() == [0, 2, 2, 5]
+
+
+def test_encoder_remembers_a_large_vocabulary():
+    """170,000 different words are encoded once each, however often they come back."""
+    m = pieces.Merges(piece_model())
+    words = ["".join(w) for w in itertools.islice(itertools.product("abcdefghijklmnopqrstuvwxyz", repeat=4), 170_000)]
+    text, calls, chunk = " ".join(words), [], m.chunk
+    m.chunk = lambda c: calls.append(c) or chunk(c)
+    first = m.packed(text)
+    seen = len(calls)
+    assert m.packed(text) == first and len(calls) == seen
